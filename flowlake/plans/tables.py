@@ -137,7 +137,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(flag == "N", "single").when(flag == "A", "thread").otherwise("process").alias("mode"),
         F.when(F.col("l_linestatus") == "F", "cpu").otherwise("gpu").alias("device"),
         F.col("l_linenumber").alias("workers"),
-        F.shiftleft(F.lit(1), F.col("l_linenumber")).alias("batch_size"),
+        F.expr("shiftleft(1, l_linenumber)").alias("batch_size"),
         (F.col("l_suppkey") % 4).alias("worker_id"),
         F.col("l_quantity").alias("latency_ms"),
     )
