@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _FOLDER = "flowlake"
 
@@ -43,6 +44,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# A side that has been counted and is no longer than this is sent to every executor.
+BROADCAST_ROWS = 1_000_000
+
+
+def stored_lookup(df: DataFrame, name: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A lookup table, written once and counted; broadcast only if the count allows it.
+
+    Beyond ``max_rows`` it is joined by shuffle, where adaptive execution splits skewed keys.
+    Deciding before the join is planned spares the shuffle of the big side.
+    """
+    table = stored(df, name)
+    return F.broadcast(table) if table.count() <= max_rows else table
+
+
 def release_scratch(spark: SparkSession) -> bool:
     """Remove this application's intermediate tables. Call it after the last action."""
     path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
