@@ -286,6 +286,12 @@ def _aggregate_flows(df: DataFrame) -> DataFrame:
         F.max("closes").alias("closed"),
         F.max("key_ends").alias("is_last"),
     )
+    reason = F.when(F.col("closed"), "fin_rst").when(F.col("is_last"), "open").otherwise("timeout")
+    return derive_features(grouped.withColumn("close_reason", reason))
+
+
+def derive_features(grouped: DataFrame) -> DataFrame:
+    """The 18 features from the sums of a flow, counted per endpoint (``_a``, ``_b``)."""
     fa = F.col("first_from_a")
 
     def pick(of_a: str, of_b: str) -> tuple[Column, Column]:
@@ -298,10 +304,11 @@ def _aggregate_flows(df: DataFrame) -> DataFrame:
     seconds = F.greatest(F.col("flow_duration") / 1e6, F.lit(1e-6))
     packets = F.col("fwd_packets") + F.col("bwd_packets")
     total_bytes = F.col("fwd_bytes") + F.col("bwd_bytes")
+    number = ["segment"] if "segment" in grouped.columns else []
     return grouped.select(
         "flow_id",
         *_endpoints(fa),
-        "segment",
+        *number,
         "start_us",
         "last_us",
         fwd_n.alias("fwd_packets"),
@@ -313,9 +320,7 @@ def _aggregate_flows(df: DataFrame) -> DataFrame:
         "iat_mean",
         F.col("iat_mean").alias("idle_mean"),
         "iat_std",
-        F.when(F.col("closed"), "fin_rst").when(F.col("is_last"), "open").otherwise("timeout").alias(
-            "close_reason"
-        ),
+        "close_reason",
     ).withColumns(
         {
             "flow_bytes_s": total_bytes / seconds,
@@ -328,14 +333,16 @@ def _aggregate_flows(df: DataFrame) -> DataFrame:
     )
 
 
+FEATURES = [f for f in S.FLOW_FEATURES if f != "dst_port"]
+
+
 def flow_features(packets: DataFrame, **options) -> DataFrame:
     """One row per flow: its key, its times, the 18 features and why it ended.
 
     ``close_reason``: ``fin_rst``, ``timeout`` or ``open`` (still running at the end of the input).
     """
     columns = ["flow_id", *S.FIVE_TUPLE, "segment", "start_us", "last_us", "close_reason"]
-    features = [f for f in S.FLOW_FEATURES if f != "dst_port"]
-    return _both(sequence_packets(packets, **options), _aggregate_flows).select(*columns, *features)
+    return _both(sequence_packets(packets, **options), _aggregate_flows).select(*columns, *FEATURES)
 
 
 def assemble_features(flows: DataFrame, output: str = "features") -> DataFrame:

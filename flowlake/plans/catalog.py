@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_AREAS = ["flows", "soc", "telemetry", "tables", "models"]
+_AREAS = ["flows", "soc", "telemetry", "tables", "models", "streams"]
 
 
 def _merged(attribute: str) -> dict:
