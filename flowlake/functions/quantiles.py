@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlake.runtime import stored_lookup
+from flowlake.runtime import checked_lookup
 
 # Buckets per doubling of (1 + |value|): neighbours differ by about 0.1 %.
 _RESOLUTION = 512
@@ -81,7 +81,7 @@ def distribution(
         hit = hit | ((F.col("__start") <= F.col(r)) & (F.col(r) < F.col("__start") + F.col("__c")))
     wanted = ranked.where(hit).drop("__c", "__n")
     # At most two buckets per percentile and group.
-    wanted = stored_lookup(wanted, "ranks") if by else F.broadcast(wanted)
+    wanted = checked_lookup(wanted, "ranks") if by else F.broadcast(wanted)
 
     by_value = (
         values.alias("v")

@@ -37,16 +37,19 @@ def keyed_packets(packets: DataFrame, direction: str = "bidirectional") -> DataF
     ``directional`` keys on (source, destination), so every packet goes forward;
     ``bidirectional`` puts both directions of a conversation into one flow.
     """
-    text = {"src_ip": "0.0.0.0", "dst_ip": "0.0.0.0"}
-    numbers = {"src_port": 0, "dst_port": 0, "protocol": 0, "size": 0}
-    df = with_micros(packets).fillna({**text, **numbers})
+    df = with_micros(packets)
+
+    def filled(name: str, default):
+        return F.coalesce(F.col(name), F.lit(default)).alias(name)
+
     df = df.select(
         "packet_id",
         "us",
-        *S.FIVE_TUPLE,
-        F.col("size").cast("bigint").alias("size"),
-        *[F.coalesce(F.col(f), F.lit(False)).alias(f) for f in S.FLAGS],
-    ).withColumn("closes", F.col("fin") | F.col("rst"))
+        *[filled(c, "0.0.0.0") for c in ("src_ip", "dst_ip")],
+        *[filled(c, 0) for c in ("src_port", "dst_port", "protocol")],
+        F.coalesce(F.col("size").cast("bigint"), F.lit(0)).alias("size"),
+        *[filled(f, False) for f in S.FLAGS],
+    )
     if direction == "directional":
         from_a = F.lit(True)
     elif direction == "bidirectional":
@@ -54,16 +57,29 @@ def keyed_packets(packets: DataFrame, direction: str = "bidirectional") -> DataF
         from_a = (F.col("src_ip") < F.col("dst_ip")) | (same_ip & (F.col("src_port") <= F.col("dst_port")))
     else:
         raise ValueError(f"unknown direction {direction!r}")
-    df = df.withColumn("from_a", from_a)
-    a = F.col("from_a")
-    return df.withColumns(
-        {
-            "ip_a": F.when(a, F.col("src_ip")).otherwise(F.col("dst_ip")),
-            "port_a": F.when(a, F.col("src_port")).otherwise(F.col("dst_port")),
-            "ip_b": F.when(a, F.col("dst_ip")).otherwise(F.col("src_ip")),
-            "port_b": F.when(a, F.col("dst_port")).otherwise(F.col("src_port")),
-        }
-    ).drop("src_ip", "dst_ip", "src_port", "dst_port")
+
+    def sided(name: str, of_a: str, of_b: str) -> Column:
+        return F.when(from_a, F.col(of_a)).otherwise(F.col(of_b)).alias(name)
+
+    return df.select(
+        "packet_id",
+        "us",
+        sided("ip_a", "src_ip", "dst_ip"),
+        sided("port_a", "src_port", "dst_port"),
+        sided("ip_b", "dst_ip", "src_ip"),
+        sided("port_b", "dst_port", "src_port"),
+        "protocol",
+        "size",
+        *S.FLAGS,
+        (F.col("fin") | F.col("rst")).alias("closes"),
+        from_a.alias("from_a"),
+    )
+
+
+def _boundaries(timeout_us: int) -> tuple[Column, Column]:
+    """(silence before this packet?, first packet of a segment?) from the packet before."""
+    gap = F.coalesce(F.col("us") - F.col("prev_us") > timeout_us, F.lit(False))
+    return gap, F.col("prev_us").isNull() | F.col("prev_closes") | gap
 
 
 def _sequence_ordinary(df: DataFrame, timeout_us: int) -> DataFrame:
@@ -80,13 +96,12 @@ def _sequence_ordinary(df: DataFrame, timeout_us: int) -> DataFrame:
             ),
         }
     )
-    gap = F.coalesce(F.col("us") - F.col("prev_us") > timeout_us, F.lit(False))
-    starts = F.col("prev_us").isNull() | F.col("prev_closes") | F.col("gap")
-    return (
-        df.withColumn("gap", gap)
-        .withColumn("starts", starts)
-        .withColumn("gaps_before", F.sum(F.col("gap").cast("bigint")).over(upto))
-        .withColumn("segment", F.sum(F.col("starts").cast("bigint")).over(upto) - 1)
+    gap, starts = _boundaries(timeout_us)
+    return df.withColumns({"gap": gap, "starts": starts}).withColumns(
+        {
+            "gaps_before": F.sum(F.col("gap").cast("bigint")).over(upto),
+            "segment": F.sum(F.col("starts").cast("bigint")).over(upto) - 1,
+        }
     )
 
 
@@ -147,13 +162,11 @@ def _sequence_hot(df: DataFrame, timeout_us: int, slice_us: int) -> DataFrame:
             + F.coalesce(F.sum(F.col("closes").cast("bigint")).over(before), zero),
         }
     )
-    gap = F.coalesce(F.col("us") - F.col("prev_us") > timeout_us, F.lit(False))
-    starts = F.col("prev_us").isNull() | F.col("prev_closes") | F.col("gap")
+    gap, starts = _boundaries(timeout_us)
+    segment = F.col("e_segments") + F.sum(F.col("starts").cast("bigint")).over(upto) - 1
     return (
-        df.withColumn("gap", gap)
-        .withColumn("starts", starts)
-        .withColumn("gaps_before", F.col("e_gaps"))
-        .withColumn("segment", F.col("e_segments") + F.sum(F.col("starts").cast("bigint")).over(upto) - 1)
+        df.withColumns({"gap": gap, "starts": starts, "gaps_before": F.col("e_gaps")})
+        .withColumn("segment", segment)
         .drop("e_prev_us", "e_prev_closes", "e_more", "e_closes", "e_gaps", "e_segments")
     )
 

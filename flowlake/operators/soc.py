@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from flowlake import schema as S
 from flowlake.functions import expressions as X
 from flowlake.operators.flows import with_micros
+from flowlake.runtime import checked_lookup
 
 SEVERITIES = ["critical", "medium", "low"]
 PROTOCOL_NAMES = ["TCP", "UDP", "ICMP"]
@@ -261,10 +262,12 @@ def alert_detail(alerts: DataFrame, flows: DataFrame, scored: DataFrame) -> Data
     """Each alert with the features of its flow and the number of flows from the same source.
 
     ``flow_id`` is unique on both sides. The source counts are aggregated before they are joined,
-    one row per source, so a busy source multiplies nothing; adaptive execution splits its rows.
+    one row per source, so a busy source multiplies nothing. They are broadcast when their counted
+    number allows; beyond that, adaptive execution splits the rows of a busy source.
     """
     features = flows.select("flow_id", *[f for f in S.FLOW_FEATURES if f != "dst_port"])
     related = scored.groupBy("src_ip").agg(F.count(F.lit(1)).alias("related_flows"))
+    related = checked_lookup(related, "sources")
     return alert_projection(alerts).join(features, "flow_id", "left").join(related, "src_ip", "left")
 
 

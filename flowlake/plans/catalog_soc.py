@@ -166,12 +166,10 @@ def last_ticks(spark, sf_dir):
 def alert_detail(spark, sf_dir):
     flows = O.flow_features(T.packets(spark, sf_dir), timeout_s=T.PACKET_TIMEOUT_S)
     df = soc.alert_detail(_alerts(spark, sf_dir), flows, T.scored(spark, sf_dir))
-    micros = ["flow_duration", "iat_mean", "iat_std"]
     return df.select(
         "flow_id", "time", "src_ip", "dst_ip", "port", "protocol", "type", "confidence", "severity",
         "fwd_packets", "bwd_packets", "syn_count", "ack_count", "rst_count", "related_flows",
-        F.round("flow_bytes_s", 4).alias("flow_bytes_s"),
-        *[F.round(F.col(c) / 1e6, 3).alias(f"{c}_s") for c in micros],
+        "flow_bytes_s", "flow_duration", "iat_mean", F.round(F.col("iat_std") / 1e6, 3).alias("iat_std_s"),
     )
 
 
@@ -346,8 +344,7 @@ SELECT critical, medium, round(detection_rate, 6) AS detection_rate, system_stat
 related AS (SELECT src_ip, count(*) AS related_flows FROM scored GROUP BY 1),
 shown AS (SELECT {_RECORD} FROM alerts)
 SELECT shown.*, fwd_packets, bwd_packets, syn_count, ack_count, rst_count, related_flows,
-       round(flow_bytes_s, 4) AS flow_bytes_s, round(flow_duration / 1e6, 3) AS flow_duration_s,
-       round(iat_mean / 1e6, 3) AS iat_mean_s, round(iat_std / 1e6, 3) AS iat_std_s
+       flow_bytes_s, flow_duration, iat_mean, round(iat_std / 1e6, 3) AS iat_std_s
 FROM shown LEFT JOIN flows USING (flow_id) LEFT JOIN related ON related.src_ip = shown.src_ip""",
     "soc_overview": f"""{_TOTALS}
 SELECT total_flows, total_alerts, total_packets, round(elapsed_s, 1) AS elapsed_s, critical, medium, low,

@@ -181,7 +181,7 @@ _SEVERITIES = ", ".join(
 ORACLES = {
     "packet_stream_source": f"WITH {T.PACKETS_SQL} SELECT * EXCLUDE (ts) FROM packets",
     "stream_flows": f"""WITH {_STREAMED}
-SELECT * EXCLUDE (segment, {', '.join(CF._RATES + CF._MICROS)}), {CF._ROUNDED} FROM closed""",
+SELECT * EXCLUDE (iat_std_s, segment), iat_std_s FROM (SELECT {CF.ROUNDED_SQL} FROM closed)""",
     "stream_flows_by_gap": f"""WITH {CF.sequenced_sql('bidirectional')},
 sessions AS (
   SELECT ip_a, port_a, ip_b, port_b, protocol, min(us) AS start_us, max(us) AS last_us, count(*) AS packets,

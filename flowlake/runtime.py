@@ -46,16 +46,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 # A side that has been counted and is no longer than this is sent to every executor.
 BROADCAST_ROWS = 1_000_000
+# A lookup no longer than this is held by the driver as literal rows.
+LITERAL_ROWS = 10_000
 
 
-def stored_lookup(df: DataFrame, name: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A lookup table, written once and counted; broadcast only if the count allows it.
+def checked_lookup(df: DataFrame, name: str) -> DataFrame:
+    """A lookup table whose size is looked at before it is joined.
 
-    Beyond ``max_rows`` it is joined by shuffle, where adaptive execution splits skewed keys.
-    Deciding before the join is planned spares the shuffle of the big side.
+    Up to ``LITERAL_ROWS`` it becomes literal rows. A longer one is written once and counted: it is
+    broadcast up to ``BROADCAST_ROWS`` and joined by shuffle beyond, where adaptive execution splits
+    skewed keys. Deciding before the join is planned spares the shuffle of the big side.
     """
+    rows = df.limit(LITERAL_ROWS + 1).collect()
+    if len(rows) <= LITERAL_ROWS:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
     table = stored(df, name)
-    return F.broadcast(table) if table.count() <= max_rows else table
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
 def release_scratch(spark: SparkSession) -> bool:
