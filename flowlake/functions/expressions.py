@@ -26,7 +26,8 @@ def to_number(col: Column) -> Column:
     A trailing type letter ("1.5d") would pass the JVM's number parser, so it is refused.
     """
     text = strip(col.cast("string"))
-    suffixed = F.lower(F.right(text, F.lit(1))).isin("d", "f")
+    lower = F.lower(text)
+    suffixed = F.right(lower, F.lit(1)).isin("d", "f") & ~lower.isin("inf", "+inf", "-inf")
     return F.when(~suffixed, text.try_cast("double"))
 
 

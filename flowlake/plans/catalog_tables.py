@@ -320,11 +320,12 @@ SELECT source_file || '.csv' AS source_file, {_ATTACK}::INT AS label, count(*) A
 FROM flows_labelled WHERE {_GOOD} GROUP BY ALL""",
     "read_mixed_csv": f"""WITH {_L},
 t AS (SELECT *, CASE WHEN l_partkey % 9 = 0 THEN 'nan' ELSE 'svc-' || (l_suppkey % 5) END AS service
-      FROM flows_labelled)
-SELECT (dense_rank() OVER (ORDER BY source_file) - 1)::INT AS proto,
-       (dense_rank() OVER (ORDER BY service) - 1)::INT AS service,
-       l_linenumber::DOUBLE AS dur, price_cents::DOUBLE AS sbytes, {_ATTACK}::INT AS label
-FROM t WHERE {_GOOD}""",
+      FROM flows_labelled),
+coded AS (
+  SELECT (dense_rank() OVER (ORDER BY source_file) - 1)::INT AS proto,
+         (dense_rank() OVER (ORDER BY service) - 1)::INT AS service, l_partkey,
+         l_linenumber::DOUBLE AS dur, price_cents::DOUBLE AS sbytes, {_ATTACK}::INT AS label FROM t)
+SELECT * EXCLUDE (l_partkey) FROM coded WHERE {_GOOD}""",
     "merge_tables": """
 SELECT o_orderkey AS key, o_totalprice AS price, o_orderpriority AS label FROM orders
 UNION ALL BY NAME SELECT l_orderkey AS key, l_quantity AS quantity, l_returnflag AS label FROM lineitem""",
