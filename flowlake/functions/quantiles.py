@@ -105,13 +105,14 @@ def distribution(
     }
     picked = placed.groupBy(*by).agg(*[agg.alias(f"__at{r}") for r, agg in at.items()])
 
+    at_columns = [f"__at{r}" for r in rank_columns]
     if by:
         joined = stats.join(picked, _same(stats, picked, by)).select(
-            *[stats[c] for c in by], "n", "avg", "min", "max", *[f"__at{r}" for r in rank_columns]
+            *[stats[c] for c in by], "n", "avg", "min", "max", *at_columns
         )
     else:
-        # Both sides are the single row of a global aggregate.
-        joined = stats.withColumn("__one", F.lit(1)).join(picked.withColumn("__one", F.lit(1)), "__one")
+        found = stats.withColumn("__at", picked.select(F.struct(*at_columns)).scalar())
+        joined = found.select("n", "avg", "min", "max", "__at.*")
     zero = F.lit(0.0)
     percentiles = []
     for i, (name, p) in enumerate(zip(names, probs)):

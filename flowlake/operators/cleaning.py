@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowlake import schema as S
 from flowlake.functions import expressions as X
 from flowlake.functions.ranks import global_row_number
-from flowlake.runtime import BROADCAST_ROWS
+from flowlake.runtime import checked_lookup
 
 
 def clean_column_names(df: DataFrame) -> DataFrame:
@@ -97,19 +97,17 @@ def _category(col: Column) -> Column:
 def encode_categoricals(df: DataFrame, cols: list[str]) -> DataFrame:
     """Replace texts by their sorted-order code; null is a category of its own.
 
-    The code table of a column is broadcast when its counted size allows, else joined by shuffle.
+    The code table of a column is joined according to its size, see ``checked_lookup``.
     """
     if not cols:
         return df
     codes = category_codes(df, cols)
-    sizes = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = df.columns
     for c in cols:
-        lookup = codes.where(F.col("column") == c).select(
-            F.col("value").alias("__value"), F.col("code").alias("__code")
+        lookup = checked_lookup(
+            codes.where(F.col("column") == c).select(F.col("value").alias("__value"), F.col("code").alias("__code")),
+            "codes",
         )
-        if sizes.get(c, 0) <= BROADCAST_ROWS:
-            lookup = F.broadcast(lookup)
         df = df.withColumn("__key", _category(F.col(f"`{c}`")))
         df = df.join(lookup, F.col("__key") == F.col("__value"), "left").drop("__key", "__value")
         df = df.withColumn(c, F.col("__code")).drop("__code")

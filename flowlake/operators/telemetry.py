@@ -71,11 +71,14 @@ def _over(value: Column, base: Column) -> Column:
     return value / F.greatest(base, F.lit(1.0))
 
 
-def speedup_vs_baseline(
-    results: DataFrame, baseline: DataFrame, workers: str | None = None
-) -> DataFrame:
-    """Throughput against the one baseline row; per-worker efficiency where ``workers`` is given."""
-    base = baseline.select(F.max("throughput")).scalar()
+def speedup_vs_baseline(results: DataFrame, is_baseline: Column, workers: str | None = None) -> DataFrame:
+    """Throughput against that of the baseline rows taken together; per-worker efficiency where
+    ``workers`` is given.
+
+    The baseline is taken from the same aggregated rows, so the telemetry is not read again for it.
+    """
+    of_base = lambda c: F.sum(F.when(is_baseline, F.col(c)))
+    base = results.agg(of_base("predictions") / F.greatest(of_base("elapsed_s"), F.lit(0.001))).scalar()
     df = results.withColumn("speedup", _over(F.col("throughput"), base))
     return df if workers is None else df.withColumn("efficiency", F.col("speedup") / F.col(workers))
 
@@ -88,10 +91,13 @@ def mode_rating(results: DataFrame) -> DataFrame:
 
 
 def device_speedup(results: DataFrame, config: str = "batch_size") -> DataFrame:
-    """GPU against CPU where both were measured."""
-    cpu = results.where(F.col("device") == "cpu").select(config, F.col("throughput").alias("cpu"))
-    gpu = results.where(F.col("device") == "gpu").select(config, F.col("throughput").alias("gpu"))
-    return cpu.join(gpu, config).withColumn("speedup", _over(F.col("gpu"), F.col("cpu")))
+    """GPU against CPU where both were measured: both sides of the match in one grouping."""
+
+    def of(device: str) -> Column:
+        return F.max(F.when(F.col("device") == device, F.col("throughput"))).alias(device)
+
+    both = results.groupBy(config).agg(of("cpu"), of("gpu")).dropna(subset=["cpu", "gpu"])
+    return both.withColumn("speedup", _over(F.col("gpu"), F.col("cpu")))
 
 
 def config_union_compare(left: DataFrame, right: DataFrame, config: str, names: tuple[str, str]) -> DataFrame:

@@ -60,6 +60,18 @@ def alerts(spark, sf_dir):
     return _alerts(spark, sf_dir).select("flow_id", "src_ip", "dst_ip", "dst_port")
 
 
+def probability_pair(spark, sf_dir):
+    """Logits to class probabilities and the hard label at the alert threshold."""
+    p = X.logistic((F.col("l_quantity") - 25.0) / 5.0)
+    pair = X.probability_pair(p)
+    return T.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.round(pair[0], 9).alias("p_normal"),
+        F.round(pair[1], 9).alias("p_attack"),
+        X.is_alert(pair[1]).cast("int").alias("y_pred"),
+    )
+
+
 def clamp_controls(spark, sf_dir):
     controls = T.table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
@@ -194,7 +206,7 @@ def false_positive_rate(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in [
-        protocol_name, severity, alert_filter, alerts, clamp_controls, apply_controls,
+        protocol_name, severity, alert_filter, alerts, probability_pair, clamp_controls, apply_controls,
         alert_projection, display_rounding, traffic_totals, protocol_split, severity_counts,
         attack_type_counts, alert_counts_by_dim, attack_heatmap, heatmap_intensity,
         confidence_histogram, rolling_latency, rolling_confidence, top_talkers, recent_alerts,
@@ -292,6 +304,9 @@ FROM scored""",
 SELECT flow_id, confidence >= 0.7 AS at_or_above, confidence > 0.7 AS above,
        confidence > 0.5 AND confidence > 0.7 AS labelled_and_above FROM scored""",
     "alerts": f"WITH {_SCORED} SELECT flow_id, src_ip, dst_ip, dst_port FROM alerts",
+    "probability_pair": """
+WITH p AS (SELECT l_orderkey, 1 / (1 + exp(-((l_quantity - 25.0) / 5.0))) AS p FROM lineitem)
+SELECT l_orderkey, round(1 - p, 9) AS p_normal, round(p, 9) AS p_attack, (p >= 0.7)::INT AS y_pred FROM p""",
     "clamp_controls": """
 SELECT l_orderkey, least(greatest(l_quantity / 40.0, 0.3), 0.99)::DOUBLE AS threshold,
        least(greatest(l_partkey, 8), 512)::INT AS batch_size FROM lineitem""",

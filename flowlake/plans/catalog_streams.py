@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from flowlake.functions import expressions as X
 from flowlake.operators import flows as O
 from flowlake.operators import soc
 from flowlake.plans import catalog_flows as CF
 from flowlake.plans import catalog_soc as CS
+from flowlake.plans import monitoring as N
 from flowlake.plans import tables as T
 from flowlake.plans import training as L
 from flowlake.plans.catalog_models import _SMALL
-from flowlake.runtime import scratch_path, write_scratch
+from flowlake.runtime import scratch_path, stored, write_scratch
 from flowlake.streaming import alerts as A
 from flowlake.streaming import flows as W
 from flowlake.streaming import run
@@ -83,6 +85,32 @@ def stream_score_alerts(spark, sf_dir):
     return spark.read.parquet(out).select("l_orderkey", "l_linenumber", "label", "y_pred", "p_attack")
 
 
+def _flow_model(spark, sf_dir):
+    """Learns which flows hold a reset packet, from all flows."""
+    flows = O.flow_features(T.packets(spark, sf_dir), timeout_s=T.PACKET_TIMEOUT_S)
+    rows = N.with_model_features(flows).withColumn("label", (F.col("rst_count") > 0).cast("int"))
+    return L.fit(stored(rows, "flows"), N.MODEL_FEATURES, "random_forest", **_SMALL["random_forest"])
+
+
+def monitor_packets(spark, sf_dir):
+    """Packets to alerts, batch."""
+    packets = T.packets(spark, sf_dir)
+    scored = N.score_packets(packets, _flow_model(spark, sf_dir), timeout_s=T.PACKET_TIMEOUT_S)
+    alerts = scored.where(X.is_alert(F.col("p_attack"), rule="label_and_gt", label=F.col("y_pred")))
+    return alerts.select("flow_id", "start_us", "close_reason", "p_attack")
+
+
+def monitor_stream(spark, sf_dir):
+    """Packets to alerts, stream."""
+    model = _flow_model(spark, sf_dir)
+    alerts = _appended(
+        spark,
+        T.packets(spark, sf_dir),
+        lambda p: N.monitor(p, model, _DELAY, timeout_s=T.PACKET_TIMEOUT_S, slice_s=_SLICE_S),
+    )
+    return alerts.select("flow_id", "start_us", "close_reason", "p_attack")
+
+
 def alert_sink(spark, sf_dir):
     out = scratch_path(spark, "alerts")
     _replay(
@@ -150,7 +178,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         packet_stream_source, stream_flows, stream_flows_by_gap, stream_timeline, stream_score_alerts,
-        alert_sink, stats_snapshot_sink, stream_running_stats, micro_batching, late_and_dropped,
+        monitor_packets, monitor_stream, alert_sink, stats_snapshot_sink, stream_running_stats, micro_batching, late_and_dropped,
         stream_controls,
     ]
 }

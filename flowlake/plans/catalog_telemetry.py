@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from flowlake.operators import flows as O
 from flowlake.operators import telemetry as M
 from flowlake.plans import tables as T
+from flowlake.runtime import stored
 
 _SUMMARY = ["avg", "p50", "p95", "p99", "min", "max"]
 
@@ -36,10 +37,13 @@ def average_runs(spark, sf_dir):
     return _rounded(df, [c for c in df.columns if c != "batch_size"])
 
 
+def _is_single():
+    return F.col("mode") == "single"
+
+
 def _by_workers(spark, sf_dir):
-    t = T.telemetry(spark, sf_dir)
-    baseline = M.throughput(t.where(F.col("mode") == "single"), ["mode"])
-    return M.speedup_vs_baseline(M.throughput(t, ["mode", "workers"]), baseline, "workers")
+    results = M.throughput(T.telemetry(spark, sf_dir), ["mode", "workers"])
+    return M.speedup_vs_baseline(results, _is_single(), "workers")
 
 
 def speedup_vs_baseline(spark, sf_dir):
@@ -50,7 +54,7 @@ def speedup_vs_baseline(spark, sf_dir):
 
 def mode_rating(spark, sf_dir):
     t = M.throughput(T.telemetry(spark, sf_dir), ["mode"])
-    rated = M.mode_rating(M.speedup_vs_baseline(t, t.where(F.col("mode") == "single")))
+    rated = M.mode_rating(M.speedup_vs_baseline(t, _is_single()))
     return _rounded(rated, ["elapsed_s", "throughput", "avg_latency_ms", "speedup"])
 
 
@@ -60,7 +64,8 @@ def device_speedup(spark, sf_dir):
 
 
 def config_union_compare(spark, sf_dir):
-    results = _by_workers(spark, sf_dir)
+    # Two result sets out of one pass: the rows are one per configuration.
+    results = stored(_by_workers(spark, sf_dir), "results")
     thread = results.where(F.col("mode") == "thread")
     process = results.where(F.col("mode") == "process")
     df = M.config_union_compare(thread, process, "workers", ("thread", "process"))

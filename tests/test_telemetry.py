@@ -72,9 +72,9 @@ def test_average_runs(spark):
 
 
 def test_baseline_guard_and_rating(spark):
-    results = spark.createDataFrame([("a", 0.5, 2), ("b", 2.0, 4)], "mode string, throughput double, workers int")
-    slow = results.where("mode = 'a'")
-    got = {r.mode: r for r in M.speedup_vs_baseline(results, slow, "workers").collect()}
+    rows = [("a", 1, 2.0, 0.5, 2), ("b", 4, 2.0, 2.0, 4)]
+    results = spark.createDataFrame(rows, "mode string, predictions long, elapsed_s double, throughput double, workers int")
+    got = {r.mode: r for r in M.speedup_vs_baseline(results, F.col("mode") == "a", "workers").collect()}
     # a baseline below 1 counts as 1
     assert (got["a"].speedup, got["b"].speedup, got["b"].efficiency) == (0.5, 2.0, 0.5)
     speeds = spark.createDataFrame([(1.0,), (0.99,), (0.5,), (0.49,)], "speedup double")
