@@ -47,11 +47,8 @@ def _joined(*cols):
     return F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
 
 
-def _write_files(spark, sf_dir):
-    """Three labelled "files" (one with fewer columns and another label spelling), some lines too
-    long and some too short."""
-    folder = scratch_path(spark, "labelled-files")
-    rows = T.flows_labelled(spark, sf_dir)
+def _full_line():
+    """All columns; some lines are too long and some too short."""
     c = F.col
     full = _joined(
         c("l_partkey"), c("l_quantity").cast("int"), _odd_number(), c("l_linenumber"), c("l_linenumber"),
@@ -59,8 +56,15 @@ def _write_files(spark, sf_dir):
     )
     too_long = F.concat(full, F.lit(",surplus"))
     too_short = _joined(c("l_partkey"), c("l_quantity").cast("int"))
-    full = F.when(c("l_orderkey") % 40 == 7, too_long).when(c("l_orderkey") % 40 == 8, too_short).otherwise(full)
-    short = _joined(c("l_partkey"), _odd_number(), c("l_suppkey"), _label_text())
+    return F.when(c("l_orderkey") % 40 == 7, too_long).when(c("l_orderkey") % 40 == 8, too_short).otherwise(full)
+
+
+def _write_files(spark, sf_dir):
+    """Three labelled "files", one with fewer columns and another label spelling."""
+    folder = scratch_path(spark, "labelled-files")
+    rows = T.flows_labelled(spark, sf_dir)
+    c = F.col
+    full, short = _full_line(), _joined(c("l_partkey"), _odd_number(), c("l_suppkey"), _label_text())
     for flag, line, header in [("A", full, _HEADER), ("N", full, _HEADER), ("R", short, _HEADER_SHORT)]:
         _write_lines(rows.where(c("source_file") == flag), line, header, f"{folder}/{flag}.csv")
     return folder
@@ -70,8 +74,9 @@ _FILE_COLUMNS = ["flow_duration", "fwd_packets", "flow_bytes_s", "dst_port"]
 
 
 def read_flow_csv(spark, sf_dir):
-    df = R.read_flow_csv(spark, f"{_write_files(spark, sf_dir)}/N.csv")
-    return df.select(*_FILE_COLUMNS, "label", "source_file")
+    path = f"{scratch_path(spark, 'labelled')}/all.csv"
+    _write_lines(T.flows_labelled(spark, sf_dir), _full_line(), _HEADER, path)
+    return R.read_flow_csv(spark, path).select(*_FILE_COLUMNS, "label", "source_file")
 
 
 def read_flow_csv_dir(spark, sf_dir):
@@ -301,8 +306,8 @@ ORACLES = {
     "read_flow_csv": f"""WITH {_L}
 SELECT l_partkey::DOUBLE AS flow_duration, floor(l_quantity)::DOUBLE AS fwd_packets,
        price_cents::DOUBLE AS flow_bytes_s, l_suppkey::DOUBLE AS dst_port, {_ATTACK}::INT AS label,
-       'N.csv' AS source_file
-FROM flows_labelled WHERE source_file = 'N' AND {_GOOD} AND {_WHOLE_LINES}""",
+       'all.csv' AS source_file
+FROM flows_labelled WHERE {_GOOD} AND l_orderkey % 40 NOT IN (7, 8)""",
     # File R has no packet count, so none of its rows is complete.
     "read_flow_csv_dir": f"""WITH {_L}
 SELECT l_partkey::DOUBLE AS flow_duration, floor(l_quantity)::DOUBLE AS fwd_packets,
