@@ -7,8 +7,6 @@ few buckets that hold a wanted rank are read again and counted by value.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,11 +139,3 @@ def approximate_distribution(
         *[F.coalesce(c, zero).alias(c) for c in ("avg", "min", "max")],
         *[F.coalesce(F.col("__p")[i], zero).alias(name) for i, name in enumerate(probabilities)],
     )
-
-
-def numpy_percentile(values: list[float], p: float) -> float:
-    """Linear interpolation on a sorted copy; for tests."""
-    ordered = sorted(values)
-    position = (len(ordered) - 1) * p
-    low, high = ordered[math.floor(position)], ordered[math.ceil(position)]
-    return low + (high - low) * (position - math.floor(position))

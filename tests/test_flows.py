@@ -104,7 +104,7 @@ def random_packets(seed, n=600):
 
 
 def brute_force(rows, timeout_us=60 * S1):
-    """Reference fold, packet by packet in time order (bidirectional)."""
+    """Plain fold, packet by packet in time order (bidirectional)."""
     state, done = {}, []
     for r in sorted(rows, key=lambda r: (r[1], r[0])):
         ends = frozenset([(r[2], r[4]), (r[3], r[5])])
