@@ -6,9 +6,10 @@
    is kept as its leading-zero count and ten mantissa bits (16 bits in all).
 3. Four compressed registers make a band. Classes that share one of the 32 bands are candidates; sets too
    small to fill all buckets borrow registers along fixed probe orders.
-4. Candidates are compared in two rounds: first each against the leader of its band, then, inside bands that
-   still hold several components, all others in blocks. A group of copies therefore costs one comparison
-   per member and band, not the square, and no pair that could link two components is left out.
+4. Candidates are first compared with the leader of their band. In bands that then still hold several
+   components, each class is compared with its nearest class of another component, and at last all pairs of
+   different components that are left, in blocks. A group of copies costs a few comparisons per member and
+   band, not the square, and no pair that could link two components is left out.
 5. The collision-corrected Jaccard estimate rejects candidates that are six standard errors below the
    threshold; the rest is verified on the full sets.
 """
@@ -80,9 +81,8 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return np.maximum(equal - chance, 0) / np.maximum(used, 1), used
 
 
-def plausible(a, b, n_a, n_b, similarity: float) -> np.ndarray:
-    """Whether the estimate is at most six standard errors below ``similarity``."""
-    guess, used = estimate(a, b, n_a, n_b)
+def close_enough(guess: np.ndarray, used: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether an estimate is at most six standard errors below ``similarity``."""
     return guess >= similarity - 6 * np.sqrt(similarity * (1 - similarity) / np.maximum(used, 1))
 
 
@@ -129,26 +129,29 @@ def _likely(similarity: float):
         for batch in batches:
             n_a, n_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             if len(batch):
-                keep = plausible(_registers(batch.column(4)), _registers(batch.column(5)), n_a, n_b, similarity)
+                keep = close_enough(*estimate(_registers(batch.column(4)), _registers(batch.column(5)), n_a, n_b), similarity)
                 yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
 
 
-def _block_pairs(similarity: float):
-    """Plausible pairs of different components inside runs of equal (band, lo, hi); see ``_rest``."""
+def _block_pairs(similarity: float, nearest: bool):
+    """Plausible pairs of different components inside runs of equal (band, lo, hi); see ``_open_pairs``."""
 
     def pairs(run: pa.Table):
         side, cid, comp, n = (run.column(c).to_numpy() for c in ("side", "cid", "comp", "n"))
         sig = np.stack([np.frombuffer(x, np.uint16) for x in run.column("sig").to_pylist()])
         same = run.column("lo")[0].as_py() == run.column("hi")[0].as_py()
-        left, right = (np.arange(len(cid)),) * 2 if same else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-        for i in left.tolist():
-            j = right[right > i] if same else right
-            ok = (comp[j] != comp[i]) & (np.minimum(n[j], n[i]) >= similarity * np.maximum(n[j], n[i]) - 1e-9)
-            j = j[ok]
+        for i in range(len(cid)) if same or nearest else np.flatnonzero(side == 0).tolist():
+            ok = comp != comp[i] if same else (side != side[i]) & (comp != comp[i])
+            if same and not nearest:
+                ok[: i + 1] = False
+            ok &= np.minimum(n, n[i]) >= similarity * np.maximum(n, n[i]) - 1e-9
+            j = np.flatnonzero(ok)
             if len(j):
-                j = j[plausible(sig[j], sig[i][None, :], n[j], n[i], similarity)]
+                guess, used = estimate(sig[j], sig[i][None, :], n[j], n[i])
+                keep = close_enough(guess, used, similarity)
+                j = j[[np.argmax(guess)]] if nearest and keep.any() else j[keep]
                 yield np.minimum(cid[i], cid[j]), np.maximum(cid[i], cid[j])
 
     def emit(run):
@@ -225,6 +228,8 @@ class NearDuplicates:
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.width, self.similarity = width, Fraction(str(similarity))
         self.scratch = Scratch(self.spark, "near-duplicates")
+        #: Full sets of the classes that were candidates so far.
+        self.sets: DataFrame | None = None
 
     def result(self) -> DataFrame:
         s = self.scratch
@@ -244,14 +249,14 @@ class NearDuplicates:
         stars = crowd.where(size_ok & (F.col("cid") != F.col("lead"))).select(F.col("lead").alias("a"), F.col("cid").alias("b"))
         links = s.store(self._links(self._likely(stars.distinct())), "links")
         same_id = self._same_id(named)
-        first = components(links.unionByName(same_id), s)
-        first = s.store(first, "first-components")
-        rest = self._rest(crowd, first)
-        if rest.isEmpty():
-            groups = first
-        else:
-            more = s.store(self._links(rest), "links")
-            groups = s.store(components(links.unionByName(same_id).unionByName(more), s), "components")
+        links = links.unionByName(same_id)
+        groups = s.store(components(links, s), "components")
+        for nearest in (True, True, False):
+            pairs = self._open_pairs(crowd, groups, nearest)
+            more = s.store(self._links(pairs), "links")
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                groups = s.store(components(links, s), "components")
         s.drop(crowd)
         return self._labelled(rows, groups)
 
@@ -269,9 +274,12 @@ class NearDuplicates:
         full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "sig_a", "sig_b")
         return self.scratch.store(full.mapInArrow(_likely(float(self.similarity)), "a long, b long"), "likely")
 
-    def _rest(self, crowd: DataFrame, first: DataFrame) -> DataFrame:
-        """Plausible pairs of different components that share a band but are not with its leader."""
-        named = crowd.where("size > 2").join(first.withColumnRenamed("node", "cid"), "cid", "left")
+    def _open_pairs(self, crowd: DataFrame, groups: DataFrame, nearest: bool) -> DataFrame:
+        """Plausible pairs of different components that share a band, less those with its leader.
+
+        All of them, or for each class only the one with the highest estimate in its block.
+        """
+        named = crowd.where("size > 2").join(groups.withColumnRenamed("node", "cid"), "cid", "left")
         named = named.withColumn("comp", F.coalesce("component", "cid"))
         open_bands = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y")
         named = named.where("cid != lead").join(open_bands.select("band"), "band")
@@ -284,15 +292,23 @@ class NearDuplicates:
             (F.col("own") > F.col("other")).cast("int").alias("side"), "cid", "comp", "n", "sig",
         )
         sides = sides.repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi", "cid")
-        return self.scratch.store(sides.mapInArrow(_block_pairs(float(self.similarity)), "a long, b long").distinct(), "rest")
+        found = sides.mapInArrow(_block_pairs(float(self.similarity), nearest), "a long, b long")
+        return self.scratch.store(found.distinct(), "open-pairs")
 
     def _links(self, pairs: DataFrame) -> DataFrame:
         """The pairs that hold on the full sets."""
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-        wanted = self.scratch.store(wanted.join(self.classes, "cid").select("cid", "rep", "d1", "d2"), "wanted")
-        texts = wanted.join(self.docs, F.col("rep") == F.col("doc_id")).select("cid", "d1", "d2", "text")
-        sets = texts.mapInArrow(_own_sets(self.width), "cid long, hashes array<long>").dropDuplicates(["cid"])
-        sets = self.scratch.store(sets, "sets")
+        wanted = wanted.join(self.sets.select("cid"), "cid", "left_anti") if self.sets is not None else wanted
+        wanted = wanted.join(self.classes, "cid").select("cid", "rep", "d1", "d2")
+        wanted = self.scratch.store(wanted, "wanted")
+        if not wanted.isEmpty():
+            texts = wanted.join(self.docs, F.col("rep") == F.col("doc_id")).select("cid", "d1", "d2", "text")
+            new = texts.mapInArrow(_own_sets(self.width), "cid long, hashes array<long>").dropDuplicates(["cid"])
+            new = self.scratch.store(new, "sets")
+            self.sets = new if self.sets is None else self.sets.unionByName(new)
+        sets = self.sets
+        if sets is None:
+            return pairs.where(F.lit(False))
         side = lambda c: sets.select(F.col("cid").alias(c), F.col("hashes").alias(f"set_{c}"))
         full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
         return full.mapInArrow(_verified(self.similarity), "a long, b long")
