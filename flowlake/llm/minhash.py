@@ -135,30 +135,61 @@ def _likely(similarity: float):
     return run
 
 
-def _block_pairs(similarity: float, nearest: bool):
-    """Plausible pairs of different components inside runs of equal (band, lo, hi); see ``_open_pairs``."""
+#: Rows of a block whose estimates against the whole block are worked out at once.
+_SLAB = 32
 
-    def pairs(run: pa.Table):
-        side, cid, comp, n = (run.column(c).to_numpy() for c in ("side", "cid", "comp", "n"))
-        sig = np.stack([np.frombuffer(x, np.uint16) for x in run.column("sig").to_pylist()])
+
+def _open_blocks(similarity: Fraction, nearest: bool):
+    """Pairs of different components inside runs of equal (band, lo, hi); see ``NearDuplicates._open``.
+
+    With ``nearest`` each class's most similar plausible partner, unverified. Without, the pairs that hold on
+    the full sets (column hashes); a pair that shares several bands is looked at in the first of them.
+    """
+    limit = float(similarity)
+
+    def plausible(run: pa.Table, n: np.ndarray, sig: np.ndarray):
+        side, comp = run.column("side").to_numpy(), run.column("comp").to_numpy()
         same = run.column("lo")[0].as_py() == run.column("hi")[0].as_py()
-        for i in range(len(cid)) if same or nearest else np.flatnonzero(side == 0).tolist():
-            ok = comp != comp[i] if same else (side != side[i]) & (comp != comp[i])
-            if same and not nearest:
-                ok[: i + 1] = False
-            ok &= np.minimum(n, n[i]) >= similarity * np.maximum(n, n[i]) - 1e-9
-            j = np.flatnonzero(ok)
-            if len(j):
-                guess, used = estimate(sig[j], sig[i][None, :], n[j], n[i])
-                keep = close_enough(guess, used, similarity)
-                j = j[[np.argmax(guess)]] if nearest and keep.any() else j[keep]
-                yield np.minimum(cid[i], cid[j]), np.maximum(cid[i], cid[j])
+        rows = np.arange(len(n)) if same or nearest else np.flatnonzero(side == 0)
+        for at in range(0, len(rows), _SLAB):
+            i = rows[at : at + _SLAB][:, None]
+            ok = comp != comp[i]
+            if not same:
+                ok &= side != side[i]
+            elif not nearest:
+                ok &= np.arange(len(n)) > i
+            ok &= np.minimum(n, n[i]) >= limit * np.maximum(n, n[i]) - 1e-9
+            if ok.any():
+                guess, used = estimate(sig[None, :, :], sig[i], n[None, :], n[i])
+                yield i[:, 0], np.where(ok & close_enough(guess, used, limit), guess, -1.0)
+
+    def found(run: pa.Table):
+        cid, n = run.column("cid").to_numpy(), run.column("n").to_numpy()
+        sig = np.stack([np.frombuffer(x, np.uint16) for x in run.column("sig").to_pylist()])
+        if nearest:
+            for i, guess in plausible(run, n, sig):
+                best = guess.argmax(axis=1)
+                held = guess.max(axis=1) > 0
+                yield cid[i[held]], cid[best[held]]
+            return
+        filled = np.stack([dense(r) for r in sig]).reshape(len(sig), BANDS, ROWS)
+        band = np.flatnonzero(band_keys(filled[:1].reshape(1, -1))[0] == np.uint64(run.column("band")[0].as_py() % (1 << 64)))
+        lists = run.column("hashes").combine_chunks()
+        sets = [np.asarray(v.values).view(np.uint64) for v in lists]
+        for i, guess in plausible(run, n, sig):
+            x, j = np.nonzero(guess >= 0)
+            i = i[x]
+            first = (filled[i] == filled[j]).all(axis=2).argmax(axis=1) == band[0]
+            links = [(a, b) for a, b in zip(i[first].tolist(), j[first].tolist(), strict=True) if _similar(sets[a], sets[b], similarity)]
+            if links:
+                a, b = np.array(links).T
+                yield cid[a], cid[b]
 
     def emit(run):
-        found = list(pairs(run))
-        if found:
-            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
+        pairs = list(found(run))
+        if pairs:
+            a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     def run(batches):
         held = None
@@ -177,6 +208,14 @@ def _block_pairs(similarity: float, nearest: bool):
     return run
 
 
+def _similar(s: np.ndarray, t: np.ndarray, similarity: Fraction) -> bool:
+    """Whether two sorted sets have at least that Jaccard similarity."""
+    short, long = (s, t) if len(s) <= len(t) else (t, s)
+    at = np.minimum(np.searchsorted(long, short), len(long) - 1)
+    both = int((long[at] == short).sum())
+    return both * similarity.denominator >= similarity.numerator * (len(s) + len(t) - both)
+
+
 def _own_sets(width: int):
     """Sets of the texts that really have the class's digest; columns cid, d1, d2, text."""
 
@@ -202,12 +241,8 @@ def _verified(similarity: Fraction):
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for s, t in zip(batch.column(2), batch.column(3), strict=True):
-                s, t = (np.asarray(v.values).view(np.uint64) for v in (s, t))
-                both = len(s) + len(t) - len(np.unique(np.concatenate([s, t])))
-                union = len(s) + len(t) - both
-                keep.append(both * similarity.denominator >= similarity.numerator * union)
+            sets = ((np.asarray(v.values).view(np.uint64) for v in pair) for pair in zip(batch.column(2), batch.column(3), strict=True))
+            keep = [_similar(*pair, similarity) for pair in sets]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -251,9 +286,9 @@ class NearDuplicates:
         same_id = self._same_id(named)
         links = links.unionByName(same_id)
         groups = s.store(components(links, s), "components")
-        for nearest in (True, True, False):
-            pairs = self._open_pairs(crowd, groups, nearest)
-            more = s.store(self._links(pairs), "links")
+        for nearest in (True, False):
+            pairs = self._open(crowd, groups, nearest)
+            more = s.store(self._links(pairs), "links") if nearest else pairs
             if not more.isEmpty():
                 links = links.unionByName(more)
                 groups = s.store(components(links, s), "components")
@@ -274,41 +309,46 @@ class NearDuplicates:
         full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "sig_a", "sig_b")
         return self.scratch.store(full.mapInArrow(_likely(float(self.similarity)), "a long, b long"), "likely")
 
-    def _open_pairs(self, crowd: DataFrame, groups: DataFrame, nearest: bool) -> DataFrame:
-        """Plausible pairs of different components that share a band, less those with its leader.
+    def _open(self, crowd: DataFrame, groups: DataFrame, nearest: bool) -> DataFrame:
+        """Pairs of different components that share a band, less those with its leader.
 
-        All of them, or for each class only the one with the highest estimate in its block.
+        For each class the one with the highest estimate in its block, or all that are verified.
         """
         named = crowd.where("size > 2").join(groups.withColumnRenamed("node", "cid"), "cid", "left")
         named = named.withColumn("comp", F.coalesce("component", "cid"))
         open_bands = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y")
-        named = named.where("cid != lead").join(open_bands.select("band"), "band")
-        sides = named.join(self.classes.select("cid", "sig"), "cid")
+        named = self.scratch.store(named.where("cid != lead").join(open_bands.select("band"), "band").drop("lead", "n_l", "component"), "open")
+        kept = named.join(self.classes.select("cid", "sig"), "cid")
+        if not nearest:
+            sets = self._sets(named.select("cid").distinct())
+            kept = kept.join(sets, "cid") if sets is not None else kept.withColumn("hashes", F.array().cast("array<long>"))
         blocks = F.ceil(F.col("size") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-        sides = sides.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        sides = kept.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         sides = sides.select(
             "band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-            (F.col("own") > F.col("other")).cast("int").alias("side"), "cid", "comp", "n", "sig",
+            (F.col("own") > F.col("other")).cast("int").alias("side"), "cid", "comp", "n", "sig", *["hashes"][nearest:],
         )
         sides = sides.repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi", "cid")
-        found = sides.mapInArrow(_block_pairs(float(self.similarity), nearest), "a long, b long")
+        found = sides.mapInArrow(_open_blocks(self.similarity, nearest), "a long, b long")
         return self.scratch.store(found.distinct(), "open-pairs")
 
-    def _links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that hold on the full sets."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-        wanted = wanted.join(self.sets.select("cid"), "cid", "left_anti") if self.sets is not None else wanted
-        wanted = wanted.join(self.classes, "cid").select("cid", "rep", "d1", "d2")
-        wanted = self.scratch.store(wanted, "wanted")
+    def _sets(self, cids: DataFrame) -> DataFrame | None:
+        """Full sets of at least these classes; those that were asked for earlier are not made again."""
+        wanted = cids.join(self.sets.select("cid"), "cid", "left_anti") if self.sets is not None else cids
+        wanted = self.scratch.store(wanted.join(self.classes, "cid").select("cid", "rep", "d1", "d2"), "wanted")
         if not wanted.isEmpty():
             texts = wanted.join(self.docs, F.col("rep") == F.col("doc_id")).select("cid", "d1", "d2", "text")
             new = texts.mapInArrow(_own_sets(self.width), "cid long, hashes array<long>").dropDuplicates(["cid"])
             new = self.scratch.store(new, "sets")
             self.sets = new if self.sets is None else self.sets.unionByName(new)
-        sets = self.sets
+        return self.sets
+
+    def _links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that hold on the full sets."""
+        sets = self._sets(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
         if sets is None:
-            return pairs.where(F.lit(False))
+            return pairs
         side = lambda c: sets.select(F.col("cid").alias(c), F.col("hashes").alias(f"set_{c}"))
         full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
         return full.mapInArrow(_verified(self.similarity), "a long, b long")
