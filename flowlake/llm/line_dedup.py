@@ -7,7 +7,7 @@ class. Classes are joined when the Jaccard similarity of their sets is at least
   count last), so that the few words of a line's prefix are its rarest;
 * prefix filter: two similar lines share a word of the longer line's prefix and the shorter line's (shorter)
   index prefix; words that occur in one line only are never sent;
-* length and positional filters in the join condition;
+* length, positional and parity filters in the join condition;
 * the surviving pairs are verified on their whole sets.
 
 A line goes when an equal or similar line stands earlier, by document id, then position.
@@ -28,6 +28,15 @@ from flowlake.llm.scratch import Scratch
 
 #: Frequent words whose exact counts are sent to the tasks; rarer ones are ordered by hash before them.
 RANKED_WORDS = 1 << 18
+#: Classes with most copies, whose lines are sent from their first place only; others once per batch.
+HOT_CLASSES = 1 << 18
+
+
+def _by_line(line: np.ndarray, key: np.ndarray, n_lines: int) -> np.ndarray:
+    """Order by line, then by the leading 48 bits of ``key``; one key sorts several times faster than two."""
+    if n_lines > 1 << 16:
+        return np.lexsort((key, line))
+    return np.argsort((line.astype(np.uint64) << np.uint64(48)) | (key >> np.uint64(16)))
 
 
 class _Lines:
@@ -39,7 +48,7 @@ class _Lines:
         ends = words.text_ends - 1  # the separator behind each text also ends its last line
         bounds = np.sort(np.concatenate([breaks, ends]))
         line = np.searchsorted(bounds, words.starts)
-        order = np.lexsort((words.hashes, line))
+        order = _by_line(line, words.hashes, len(bounds))
         line, h = line[order], words.hashes[order]
         new = np.ones(len(h), dtype=bool)
         new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
@@ -62,39 +71,48 @@ class _Lines:
             return (np.zeros(0, np.uint64),) * 2
         return tuple(np.add.reduceat(X.mixed(self.hashes, salt), self.starts) for salt in (0x1234567, 0x89ABCDEF))
 
+    def parities(self) -> np.ndarray:
+        """Per line 64 bits, each telling whether an odd number of its words fall on it.
+
+        Bits in which two lines differ come from words that only one of them has, so there are at least that
+        many such words.
+        """
+        return np.bitwise_xor.reduceat(np.uint64(1) << (self.hashes & np.uint64(63)), self.starts)
+
+
+_LISTED = "doc_id long, place long, n_lines long, line_no array<long>, d1 array<long>, d2 array<long>, words array<long>, counts array<long>"
+
 
 def _listed(least: int):
-    """doc_id, place, text -> doc_id, place, n_lines and parallel lists of the lines that take part."""
+    """doc_id, place, text -> doc_id, place, n_lines and parallel lists of the lines that take part.
+
+    After the rows of a batch comes one row that holds the batch's distinct words and in how many of its lines
+    each occurs; only that row's ``words`` is not null.
+    """
 
     def run(batches):
         for batch in batches:
             texts = X.raw_texts(batch.column(2))
             null = batch.column(2).is_null().to_numpy(zero_copy_only=False)
-            n_lines, nos, d1, d2 = [], [], [], []
+            n_lines, nos, d1, d2, hashes = [], [], [], [], []
             for a, b in X.pieces(texts):
                 lines = _Lines(texts[a:b], least)
                 n_lines.append(lines.per_text)
+                hashes.append(lines.hashes)
                 one, two = lines.digests()
                 cut = np.searchsorted(lines.text, np.arange(1, b - a))
                 for out, values in ((nos, lines.line_no), (d1, X.signed(one)), (d2, X.signed(two))):
                     out.extend(np.split(values, cut))
-            count = np.where(null, 0, np.concatenate(n_lines)) if n_lines else np.zeros(0, np.int64)
-            columns = [batch.column(0), batch.column(1), pa.array(count), *map(X.long_lists, (nos, d1, d2))]
-            yield pa.record_batch(columns, ["doc_id", "place", "n_lines", "line_no", "d1", "d2"])
-
-    return run
-
-
-def _word_counts(least: int):
-    """Lines in which each word occurs, per batch."""
-
-    def run(batches):
-        for batch in batches:
-            texts, parts = X.raw_texts(batch.column(0)), []
-            for a, b in X.pieces(texts):
-                parts.append(_Lines(texts[a:b], least).hashes)
-            h, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_counts=True)
-            yield pa.record_batch([pa.array(X.signed(h)), pa.array(n)], ["word", "n"])
+            if not texts:
+                continue
+            count = np.where(null, 0, np.concatenate(n_lines))
+            none = pa.nulls(len(texts), pa.list_(pa.int64()))
+            columns = [batch.column(0), batch.column(1), pa.array(count), *map(X.long_lists, (nos, d1, d2)), none, none]
+            names = [f.split()[0] for f in _LISTED.split(", ")]
+            yield pa.record_batch(columns, names)
+            words, n = np.unique(np.concatenate(hashes), return_counts=True)
+            nothing = [pa.nulls(1, pa.int64())] * 3 + [pa.nulls(1, pa.list_(pa.int64()))] * 3
+            yield pa.record_batch([*nothing, X.long_lists([X.signed(words)]), X.long_lists([n])], names)
 
     return run
 
@@ -107,35 +125,53 @@ def prefix_lengths(sizes: np.ndarray, similarity: Fraction) -> tuple[np.ndarray,
     return probe, index
 
 
-def _prefixes(least: int, similarity: Fraction, ranked, shared):
-    """Prefix words of every line: word, d1, size, position, whether it is in the index prefix."""
+_PREFIXES = "word long, d1 long, bits long, size int, pos int, index int"
+
+
+def _prefixes(least: int, similarity: Fraction, ranked, shared, hot):
+    """place, text -> the prefix words of every line: word, d1, parity bits, size, position, index prefix.
+
+    A line is sent once per batch; a line of a hot class only where the class stands first.
+    """
 
     def run(batches):
         words, counts = ranked.value
-        table = shared.value
+        hot_d1, hot_place, hot_line = hot.value
         for batch in batches:
-            texts, parts = X.raw_texts(batch.column(0)), []
+            texts, parts = X.raw_texts(batch.column(1)), []
+            places = batch.column(0).to_numpy()
             for a, b in X.pieces(texts):
                 x = _Lines(texts[a:b], least)
                 if not len(x.lines):
                     continue
-                at = np.minimum(np.searchsorted(words, x.hashes), max(len(words) - 1, 0))
-                known = words[at] == x.hashes if len(words) else np.zeros(len(x.hashes), bool)
-                rank = np.where(known, counts[at], 1) if len(words) else np.ones(len(x.hashes), np.int64)
-                common = present(table, x.hashes)
-                order = np.lexsort((x.hashes, np.where(common, rank, 0), x.line))
+                one = x.digests()[0]
+                sent = np.ones(len(one), dtype=bool)
+                if len(hot_d1):
+                    at = np.minimum(np.searchsorted(hot_d1, one), len(hot_d1) - 1)
+                    here = (hot_place[at] == places[a:b][x.text]) & (hot_line[at] == x.line_no)
+                    sent = (hot_d1[at] != one) | here
+                first = np.zeros(len(one), dtype=bool)
+                first[np.unique(one, return_index=True)[1]] = True
+                sent &= first
+                common = present(shared.value, x.hashes)
+                rank = np.ones(len(x.hashes), np.uint64)
+                if len(words):
+                    at = np.minimum(np.searchsorted(words, x.hashes), len(words) - 1)
+                    rank = np.where(words[at] == x.hashes, counts[at], rank).astype(np.uint64)
+                # Rarest first, up to a count of a million; then the hash decides.
+                rank = np.minimum(np.where(common, rank, np.uint64(0)), np.uint64((1 << 20) - 1))
+                key = (rank << np.uint64(44)) | (x.hashes >> np.uint64(20))
+                order = _by_line(np.repeat(np.arange(len(x.lines)), x.sizes), key, len(x.lines))
                 h, common = x.hashes[order], common[order]
                 position = np.arange(len(h)) - np.repeat(x.starts, x.sizes)
                 probe, index = prefix_lengths(x.sizes, similarity)
-                keep = (position < np.repeat(probe, x.sizes)) & common
-                one = np.repeat(x.digests()[0], x.sizes)[keep]
-                size = np.repeat(x.sizes, x.sizes)[keep]
-                parts.append(np.stack([h[keep], one, size.astype(np.uint64), position[keep].astype(np.uint64),
-                                       (position < np.repeat(index, x.sizes))[keep].astype(np.uint64)]))
+                keep = (position < np.repeat(probe, x.sizes)) & common & np.repeat(sent, x.sizes)
+                parts.append([h[keep], *(np.repeat(v, x.sizes)[keep] for v in (one, x.parities(), x.sizes, index)), position[keep]])
             if parts:
-                rows = np.concatenate(parts, axis=1)
-                columns = [pa.array(X.signed(rows[i].copy())) for i in (0, 1)] + [pa.array(rows[i].astype(np.int32)) for i in (2, 3)]
-                yield pa.record_batch([*columns, pa.array(rows[4] > 0)], ["word", "d1", "size", "pos", "indexed"])
+                h, one, bits, size, index, position = (np.concatenate(v) for v in zip(*parts, strict=True))
+                _, first = np.unique(X.mixed(h) ^ one, return_index=True)
+                numbers = [pa.array(v[first].astype(np.int32)) for v in (size, position, index)]
+                yield pa.record_batch([pa.array(X.signed(h[first])), pa.array(X.signed(one[first])), pa.array(X.signed(bits[first])), *numbers], [f.split()[0] for f in _PREFIXES.split(", ")])
 
     return run
 
@@ -187,34 +223,40 @@ class LineDedup:
         self.texts = docs.select(F.col("text").cast("string").alias("text"))
         self.scratch = Scratch(self.spark, "line-dedup")
 
-    def _similar(self) -> DataFrame:
+    def _similar(self, listed: DataFrame, classes: DataFrame) -> DataFrame:
         """Pairs (a1, a2, b1, b2) of digests of different classes that are similar."""
         s = self.scratch
-        counts = self.texts.mapInArrow(_word_counts(self.least), "word long, n long")
-        counts = s.store(counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "word-counts")
+        counts = listed.where("words IS NOT NULL").select(F.explode(F.arrays_zip("words", "counts")).alias("w"))
+        counts = counts.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n")).where("n > 1")
+        counts = s.store(counts, "word-counts")
         shared = bitset(counts, F.col("word"))
         # A fixed number of words with their counts: 4 MB at most.
-        top = counts.orderBy(F.desc("n"), "word").limit(RANKED_WORDS).toPandas()
-        words = top["word"].to_numpy().view(np.uint64)
+        top = counts.orderBy(F.desc("n"), "word").limit(RANKED_WORDS).toArrow()
+        words = top.column("word").to_numpy().view(np.uint64)
         order = np.argsort(words)
-        ranked = self.spark.sparkContext.broadcast((words[order], top["n"].to_numpy()[order] + 1))
-        rows = self.texts.mapInArrow(
-            _prefixes(self.least, self.similarity, ranked, shared), "word long, d1 long, size int, pos int, indexed boolean"
-        ).distinct()
-        rows = s.store(rows, "prefixes")
-        x = rows.where("indexed").select("word", *[F.col(c).alias(f"x_{c}") for c in ("d1", "size", "pos")])
-        y = rows.select("word", *[F.col(c).alias(f"y_{c}") for c in ("d1", "size", "pos")])
+        ranked = self.spark.sparkContext.broadcast((words[order], (top.column("n").to_numpy()[order] + 1).astype(np.uint64)))
+        # A fixed number of classes: those with most copies, with the place of their first line.
+        most = classes.where("n > 1").orderBy(F.desc("n"), "d1").limit(HOT_CLASSES)
+        most = most.select("d1", F.col("first.place").alias("place"), F.col("first.line_no").alias("line_no")).toArrow()
+        keys = most.column("d1").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        hot = self.spark.sparkContext.broadcast((keys[order], *(most.column(c).to_numpy()[order] for c in ("place", "line_no"))))
+        places = self.docs.select(F.xxhash64(F.col("text").cast("string")).alias("place"), F.col("text").cast("string").alias("text"))
+        rows = places.mapInArrow(_prefixes(self.least, self.similarity, ranked, shared, hot), _PREFIXES)
+        x, y = rows.alias("x"), rows.alias("y")
         up, down = self.similarity.numerator, self.similarity.denominator
-        left = lambda c: F.col(f"{c}_size") - F.col(f"{c}_pos")  # noqa: E731  words from this one on
+        left = lambda c: F.col(f"{c}.size") - F.col(f"{c}.pos")  # noqa: E731  words from this one on
+        # Both sides of every comparison are named, so that no filter parts the two shuffles: they are one.
         near = (
-            ((F.col("x_size") < F.col("y_size")) | ((F.col("x_size") == F.col("y_size")) & (F.col("x_d1") < F.col("y_d1"))))
-            & (F.col("y_size") * up <= F.col("x_size") * down)
-            & (F.col("x_d1") != F.col("y_d1"))
-            & (F.least(left("x"), left("y")) * (up + down) >= (F.col("x_size") + F.col("y_size")) * up)
+            (F.col("x.pos") < F.col("x.index") + F.col("y.index") - F.col("y.index"))
+            & ((F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.d1") < F.col("y.d1"))))
+            & (F.col("y.size") * up <= F.col("x.size") * down)
+            & (F.col("x.d1") != F.col("y.d1"))
+            & (F.least(left("x"), left("y")) * (up + down) >= (F.col("x.size") + F.col("y.size")) * up)
+            & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) * (up + down) <= (F.col("x.size") + F.col("y.size")) * (down - up))
         )
-        pairs = x.join(y, (x["word"] == y["word"]) & near).select(F.col("x_d1").alias("a1"), F.col("y_d1").alias("b1"))
+        pairs = x.join(y, (F.col("x.word") == F.col("y.word")) & near).select(F.col("x.d1").alias("a1"), F.col("y.d1").alias("b1"))
         pairs = s.store(pairs.distinct(), "candidates")
-        s.drop(rows)
         wanted = bitset(pairs.select(F.explode(F.array("a1", "b1")).alias("k")), F.col("k"))
         sets = self.texts.mapInArrow(_sets(self.least, wanted), "d1 long, d2 long, words array<long>")
         sets = s.store(sets.dropDuplicates(["d1", "d2"]), "sets")
@@ -228,15 +270,14 @@ class LineDedup:
         s = self.scratch
         text = F.col("text").cast("string")
         rows = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("place"), text.alias("text"))
-        schema = "doc_id long, place long, n_lines long, line_no array<long>, d1 array<long>, d2 array<long>"
-        rows = rows.mapInArrow(_listed(self.least), schema).withColumn("uid", F.monotonically_increasing_id())
-        rows = s.store(rows, "lines")
+        listed = s.store(rows.mapInArrow(_listed(self.least), _LISTED).withColumn("uid", F.monotonically_increasing_id()), "lines")
+        rows = listed.where("words IS NULL").drop("words", "counts")
         zipped = F.explode(F.arrays_zip("line_no", "d1", "d2")).alias("l")
         lines = rows.select("doc_id", "place", "uid", zipped)
         at = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "place", "uid", F.col("l.line_no").alias("line_no")).alias("at")
         lines = lines.select(F.col("l.d1").alias("d1"), F.col("l.d2").alias("d2"), at)
         classes = s.store(lines.groupBy("d1", "d2").agg(F.min("at").alias("first"), F.count("*").alias("n")), "classes")
-        similar = self._similar()
+        similar = self._similar(listed, classes)
         both = similar.unionByName(similar.selectExpr("b1 AS a1", "b2 AS a2", "a1 AS b1", "a2 AS b2"))
         name = lambda c: classes.select(F.col("d1").alias(f"{c}1"), F.col("d2").alias(f"{c}2"), F.col("first").alias(f"{c}f"))
         late = both.join(name("a"), ["a1", "a2"]).join(name("b"), ["b1", "b2"]).where("bf < af")
