@@ -26,8 +26,10 @@ from flowlake.llm import textops as X
 from flowlake.llm.bitset import bitset, present
 from flowlake.llm.scratch import Scratch
 
-#: Frequent words whose exact counts are sent to the tasks; rarer ones are ordered by hash before them.
+#: Frequent words whose exact counts order a line's words; rarer ones are ordered by hash before them.
 RANKED_WORDS = 1 << 18
+#: The counts are looked up by the leading bits of a word's hash (16 MB); words that share a place rank alike.
+_RANK_BITS = 22
 #: Classes with most copies, whose lines are sent from their first place only; others once per batch.
 HOT_CLASSES = 1 << 18
 
@@ -125,17 +127,21 @@ def prefix_lengths(sizes: np.ndarray, similarity: Fraction) -> tuple[np.ndarray,
     return probe, index
 
 
-_PREFIXES = "word long, d1 long, bits long, size int, pos int, index int"
+_PREFIXES = "word int, d1 long, bits long, size int, rest int, indexed int"
 
 
 def _prefixes(least: int, similarity: Fraction, ranked, shared, hot):
-    """place, text -> the prefix words of every line: word, d1, parity bits, size, position, index prefix.
+    """place, text -> the prefix words of every line. word is half of its hash: sharing it proposes, no more.
+
+    d1 and bits tell the line, size its words, rest those from this one on, indexed the shorter prefix.
 
     A line is sent once per batch; a line of a hot class only where the class stands first.
     """
 
     def run(batches):
+        ranks = np.ones(1 << _RANK_BITS, dtype=np.uint32)
         words, counts = ranked.value
+        np.maximum.at(ranks, words >> np.uint64(64 - _RANK_BITS), counts)
         hot_d1, hot_place, hot_line = hot.value
         for batch in batches:
             texts, parts = X.raw_texts(batch.column(1)), []
@@ -154,12 +160,9 @@ def _prefixes(least: int, similarity: Fraction, ranked, shared, hot):
                 first[np.unique(one, return_index=True)[1]] = True
                 sent &= first
                 common = present(shared.value, x.hashes)
-                rank = np.ones(len(x.hashes), np.uint64)
-                if len(words):
-                    at = np.minimum(np.searchsorted(words, x.hashes), len(words) - 1)
-                    rank = np.where(words[at] == x.hashes, counts[at], rank).astype(np.uint64)
-                # Rarest first, up to a count of a million; then the hash decides.
-                rank = np.minimum(np.where(common, rank, np.uint64(0)), np.uint64((1 << 20) - 1))
+                # Rarest first, up to a count of a million; then the hash decides. Words of one line only lead.
+                rank = np.where(common, ranks[x.hashes >> np.uint64(64 - _RANK_BITS)], 0)
+                rank = np.minimum(rank, (1 << 20) - 1).astype(np.uint64)
                 key = (rank << np.uint64(44)) | (x.hashes >> np.uint64(20))
                 order = _by_line(np.repeat(np.arange(len(x.lines)), x.sizes), key, len(x.lines))
                 h, common = x.hashes[order], common[order]
@@ -170,8 +173,11 @@ def _prefixes(least: int, similarity: Fraction, ranked, shared, hot):
             if parts:
                 h, one, bits, size, index, position = (np.concatenate(v) for v in zip(*parts, strict=True))
                 _, first = np.unique(X.mixed(h) ^ one, return_index=True)
-                numbers = [pa.array(v[first].astype(np.int32)) for v in (size, position, index)]
-                yield pa.record_batch([pa.array(X.signed(h[first])), pa.array(X.signed(one[first])), pa.array(X.signed(bits[first])), *numbers], [f.split()[0] for f in _PREFIXES.split(", ")])
+                h, one, bits, size, index, position = (v[first] for v in (h, one, bits, size, index, position))
+                word = (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                numbers = [pa.array(v.astype(np.int32)) for v in (size, size - position)]
+                columns = [pa.array(word), pa.array(X.signed(one)), pa.array(X.signed(bits)), *numbers, pa.array((position < index).astype(np.int32))]
+                yield pa.record_batch(columns, [f.split()[0] for f in _PREFIXES.split(", ")])
 
     return run
 
@@ -234,7 +240,7 @@ class LineDedup:
         top = counts.orderBy(F.desc("n"), "word").limit(RANKED_WORDS).toArrow()
         words = top.column("word").to_numpy().view(np.uint64)
         order = np.argsort(words)
-        ranked = self.spark.sparkContext.broadcast((words[order], (top.column("n").to_numpy()[order] + 1).astype(np.uint64)))
+        ranked = self.spark.sparkContext.broadcast((words[order], np.minimum(top.column("n").to_numpy()[order] + 1, 1 << 30).astype(np.uint32)))
         # A fixed number of classes: those with most copies, with the place of their first line.
         most = classes.where("n > 1").orderBy(F.desc("n"), "d1").limit(HOT_CLASSES)
         most = most.select("d1", F.col("first.place").alias("place"), F.col("first.line_no").alias("line_no")).toArrow()
@@ -243,20 +249,21 @@ class LineDedup:
         hot = self.spark.sparkContext.broadcast((keys[order], *(most.column(c).to_numpy()[order] for c in ("place", "line_no"))))
         places = self.docs.select(F.xxhash64(F.col("text").cast("string")).alias("place"), F.col("text").cast("string").alias("text"))
         rows = places.mapInArrow(_prefixes(self.least, self.similarity, ranked, shared, hot), _PREFIXES)
+        rows = s.store(rows, "prefixes")
         x, y = rows.alias("x"), rows.alias("y")
         up, down = self.similarity.numerator, self.similarity.denominator
-        left = lambda c: F.col(f"{c}.size") - F.col(f"{c}.pos")  # noqa: E731  words from this one on
-        # Both sides of every comparison are named, so that no filter parts the two shuffles: they are one.
+        # Every condition and column names both sides alike, so that their shuffles are equal and run once.
         near = (
-            (F.col("x.pos") < F.col("x.index") + F.col("y.index") - F.col("y.index"))
+            (F.col("x.indexed") * 2 + F.col("y.indexed") >= 2)
             & ((F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.d1") < F.col("y.d1"))))
             & (F.col("y.size") * up <= F.col("x.size") * down)
             & (F.col("x.d1") != F.col("y.d1"))
-            & (F.least(left("x"), left("y")) * (up + down) >= (F.col("x.size") + F.col("y.size")) * up)
+            & (F.least("x.rest", "y.rest") * (up + down) >= (F.col("x.size") + F.col("y.size")) * up)
             & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) * (up + down) <= (F.col("x.size") + F.col("y.size")) * (down - up))
         )
         pairs = x.join(y, (F.col("x.word") == F.col("y.word")) & near).select(F.col("x.d1").alias("a1"), F.col("y.d1").alias("b1"))
         pairs = s.store(pairs.distinct(), "candidates")
+        s.drop(rows)
         wanted = bitset(pairs.select(F.explode(F.array("a1", "b1")).alias("k")), F.col("k"))
         sets = self.texts.mapInArrow(_sets(self.least, wanted), "d1 long, d2 long, words array<long>")
         sets = s.store(sets.dropDuplicates(["d1", "d2"]), "sets")
