@@ -35,6 +35,8 @@ MANTISSA_BITS = 10
 _COLLISION = 0.169919487159739093975315012348
 #: Classes of a band that are compared with one another in one piece.
 BLOCK = 256
+#: Rows of four numbers (16 MB) that are broadcast at most.
+MOST_SENT = 1 << 19
 _BUCKET_BITS = BUCKETS.bit_length() - 1
 _EDGES = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(64 - _BUCKET_BITS)
 _PROBES = np.argsort(np.random.Generator(np.random.PCG64(7)).random((BUCKETS, BUCKETS)), axis=1)
@@ -74,8 +76,9 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
 
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Jaccard estimates of rows of registers less the collisions expected by chance, and buckets in use."""
-    used = ((a | b) > 0).sum(axis=-1)
-    equal = ((a == b) & (a > 0)).sum(axis=-1)
+    void = ((a == 0) & (b == 0)).sum(axis=-1) if not (a.all() or b.all()) else 0
+    used = BUCKETS - void
+    equal = np.count_nonzero(a == b, axis=-1) - void
     ratio = np.maximum(n_a, n_b) / np.maximum(np.minimum(n_a, n_b), 1)
     chance = BUCKETS * _COLLISION * 2.0**-MANTISSA_BITS * 4 * ratio / (1 + ratio) ** 2
     return np.maximum(equal - chance, 0) / np.maximum(used, 1), used
@@ -147,9 +150,8 @@ def _open_blocks(similarity: Fraction, nearest: bool):
     """
     limit = float(similarity)
 
-    def plausible(run: pa.Table, n: np.ndarray, sig: np.ndarray):
-        side, comp = run.column("side").to_numpy(), run.column("comp").to_numpy()
-        same = run.column("lo")[0].as_py() == run.column("hi")[0].as_py()
+    def plausible(x: dict, same: bool):
+        n, sig, comp, side = x["n"], x["sig"], x["comp"], x["side"]
         rows = np.arange(len(n)) if same or nearest else np.flatnonzero(side == 0)
         for at in range(0, len(rows), _SLAB):
             i = rows[at : at + _SLAB][:, None]
@@ -163,47 +165,60 @@ def _open_blocks(similarity: Fraction, nearest: bool):
                 guess, used = estimate(sig[None, :, :], sig[i], n[None, :], n[i])
                 yield i[:, 0], np.where(ok & close_enough(guess, used, limit), guess, -1.0)
 
-    def found(run: pa.Table):
-        cid, n = run.column("cid").to_numpy(), run.column("n").to_numpy()
-        sig = np.stack([np.frombuffer(x, np.uint16) for x in run.column("sig").to_pylist()])
-        if nearest:
-            for i, guess in plausible(run, n, sig):
+    def found(x: dict, same: bool):
+        cid, sig = x["cid"], x["sig"]
+        for i, guess in plausible(x, same):
+            if nearest:
                 best = guess.argmax(axis=1)
                 held = guess.max(axis=1) > 0
                 yield cid[i[held]], cid[best[held]]
-            return
-        filled = np.stack([dense(r) for r in sig]).reshape(len(sig), BANDS, ROWS)
-        band = np.flatnonzero(band_keys(filled[:1].reshape(1, -1))[0] == np.uint64(run.column("band")[0].as_py() % (1 << 64)))
-        lists = run.column("hashes").combine_chunks()
-        sets = [np.asarray(v.values).view(np.uint64) for v in lists]
-        for i, guess in plausible(run, n, sig):
-            x, j = np.nonzero(guess >= 0)
-            i = i[x]
-            first = (filled[i] == filled[j]).all(axis=2).argmax(axis=1) == band[0]
-            links = [(a, b) for a, b in zip(i[first].tolist(), j[first].tolist(), strict=True) if _similar(sets[a], sets[b], similarity)]
+                continue
+            row, j = np.nonzero(guess >= 0)
+            if not len(row):
+                continue
+            i = i[row]
+            used = np.unique(np.concatenate([i, j]))
+            filled = np.zeros((len(sig), BANDS, ROWS), np.uint16)
+            filled[used] = np.stack([dense(r) for r in sig[used]]).reshape(-1, BANDS, ROWS)
+            band = np.flatnonzero(X.signed(band_keys(filled[used[:1]].reshape(1, -1))[0]) == x["band"][0])[0]
+            first = (filled[i] == filled[j]).all(axis=2).argmax(axis=1) == band
+            links = [(a, b) for a, b in zip(i[first].tolist(), j[first].tolist(), strict=True) if _similar(x["set"](a), x["set"](b), similarity)]
             if links:
                 a, b = np.array(links).T
                 yield cid[a], cid[b]
 
-    def emit(run):
-        pairs = list(found(run))
-        if pairs:
-            a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
-            yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
     def run(batches):
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = pa.concat_tables([held, table]).combine_chunks() if held is not None else table
-            key = np.stack([table.column(c).to_numpy() for c in ("band", "lo", "hi")])
-            cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
-            cuts = [0, *cuts.tolist()]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                yield from emit(table.slice(a, b - a))
-            held = table.slice(cuts[-1])
+            yield from blocks(table, last=False)
+            held = table.slice(held_from(table))
         if held is not None and len(held):
-            yield from emit(held)
+            yield from blocks(held.combine_chunks(), last=True)
+
+    def cuts(table):
+        key = np.stack([table.column(c).to_numpy() for c in ("band", "lo", "hi")])
+        return [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist()]
+
+    def held_from(table):
+        return cuts(table)[-1]
+
+    def blocks(table, last: bool):
+        """All runs of the table, but for its last one if more of it may follow."""
+        ends = cuts(table) + [len(table)] * last
+        x = {c: table.column(c).to_numpy() for c in ("band", "lo", "hi", "side", "cid", "comp", "n")}
+        x["sig"] = _registers(table.column("sig").combine_chunks())
+        lists = None if nearest else table.column("hashes").combine_chunks()
+        out = []
+        for a, b in zip(ends, ends[1:], strict=False):
+            if (x["comp"][a:b] != x["comp"][a]).any():
+                part = {c: v[a:b] for c, v in x.items()}
+                part["set"] = lambda k, a=a: np.asarray(lists[a + k].values).view(np.uint64)
+                out.extend(found(part, x["lo"][a] == x["hi"][a]))
+        if out:
+            a, b = (np.concatenate(v) for v in zip(*out, strict=True))
+            yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return run
 
@@ -290,8 +305,9 @@ class NearDuplicates:
             pairs = self._open(crowd, groups, nearest)
             more = s.store(self._links(pairs), "links") if nearest else pairs
             if not more.isEmpty():
-                links = links.unionByName(more)
-                groups = s.store(components(links, s), "components")
+                # The groups so far are stars: they stand for all earlier links.
+                stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                groups = s.store(components(stars.unionByName(more), s), "components")
         s.drop(crowd)
         return self._labelled(rows, groups)
 
@@ -338,7 +354,9 @@ class NearDuplicates:
         wanted = cids.join(self.sets.select("cid"), "cid", "left_anti") if self.sets is not None else cids
         wanted = self.scratch.store(wanted.join(self.classes, "cid").select("cid", "rep", "d1", "d2"), "wanted")
         if not wanted.isEmpty():
-            texts = wanted.join(self.docs, F.col("rep") == F.col("doc_id")).select("cid", "d1", "d2", "text")
+            # Rows of four numbers: up to this count they are sent to the texts, beyond it texts are shuffled.
+            side = F.broadcast(wanted) if wanted.count() <= MOST_SENT else wanted
+            texts = self.docs.join(side, F.col("rep") == F.col("doc_id")).select("cid", "d1", "d2", "text")
             new = texts.mapInArrow(_own_sets(self.width), "cid long, hashes array<long>").dropDuplicates(["cid"])
             new = self.scratch.store(new, "sets")
             self.sets = new if self.sets is None else self.sets.unionByName(new)
