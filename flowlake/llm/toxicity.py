@@ -1,12 +1,13 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features are present or absent: words, pairs of neighbours, and pairs with one or two words between them,
-hashed into a fixed number of coordinates. Every coordinate has its own learning rate, and the L1 term keeps
+Features are present or absent: words, pairs of neighbours, and pairs with one word between them, hashed into a fixed number of coordinates. Every coordinate has its own learning rate, and the L1 term keeps
 most weights at exactly zero, so the model that is sent to the tasks is small and of bounded size.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
@@ -23,7 +24,7 @@ EPOCHS = 5
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 8.0, 1.0
 #: The last coordinate is always present and carries no L1 term.
 _BIAS = DIMENSION
-_GAPS = (1, 2, 3)
+_GAPS = (1, 2)
 
 
 def features(texts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -40,17 +41,15 @@ def features(texts: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _listed(batches):
-    """label, order, text -> label, order, distinct coordinates."""
+    """label, place, text -> label, place, distinct coordinates as 32-bit numbers."""
     for batch in batches:
         texts, found = X.raw_texts(batch.column(2)), []
         for a, b in X.pieces(texts):
             row, at = features(texts[a:b])
             code = np.unique(row.astype(np.int64) * DIMENSION + at)
             found.extend(np.split(code % DIMENSION, np.searchsorted(code // DIMENSION, np.arange(1, b - a))))
-        for a in range(0, len(texts), 512):
-            yield pa.record_batch(
-                [batch.column(0)[a : a + 512], batch.column(1)[a : a + 512], X.long_lists(found[a : a + 512])], ["label", "place", "at"]
-            )
+        at = pa.array([f.astype(np.int32).tobytes() for f in found], pa.binary())
+        yield pa.record_batch([batch.column(0), batch.column(1), at], ["label", "place", "at"])
 
 
 class Ftrl:
@@ -79,7 +78,7 @@ def _fitted(batches):
     model, seen = Ftrl(), False
     for batch in batches:
         for label, at in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            model.learn(np.append(np.asarray(at.values), _BIAS), label)
+            model.learn(np.append(np.frombuffer(at.as_buffer(), np.int32), _BIAS), label)
             seen = True
     w = model.weights()
     at = np.flatnonzero(w) if seen else np.zeros(0, np.int64)
@@ -96,15 +95,18 @@ class Toxicity:
 
     def __init__(self, labelled: DataFrame, most_rows: int = MOST_ROWS):
         spark, scratch = labelled.sparkSession, Scratch(labelled.sparkSession, "toxicity")
-        rows = labelled.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"))
         place = F.xxhash64("doc_id").alias("place")
-        rows = rows.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text"))
-        rows = rows.select("label", place, "text").orderBy("place").limit(most_rows)
-        listed = scratch.store(rows.mapInArrow(_listed, "label int, place long, at array<long>"), "features")
-        # The bounded sample goes through one task, epoch by epoch, row by row: the method is sequential.
-        epochs = listed.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS))))
-        ordered = epochs.coalesce(1).sortWithinPartitions("epoch", "place").select("label", "at")
-        got = ordered.mapInArrow(_fitted, "at long, w double").toPandas()  # DIMENSION + 1 rows at most
+        known = labelled.where("doc_id IS NOT NULL AND label IS NOT NULL")
+        # most_rows rows of one number.
+        ids = known.select("doc_id", place).distinct().orderBy("place", "doc_id").limit(most_rows)
+        rows = known.select("doc_id", F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"))
+        rows = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "place").agg(F.max("label").alias("label"), F.min("text").alias("text"))
+        listed = rows.select("label", "place", "text").mapInArrow(_listed, "label int, place long, at binary")
+        # The method is sequential: the bounded sample goes through one task, row by row. It is sorted once, and
+        # the file is read once per epoch.
+        listed = scratch.store(listed.repartition(1).sortWithinPartitions("place", "label"), "features").select("label", "at")
+        epochs = reduce(DataFrame.unionAll, [listed] * EPOCHS).coalesce(1)
+        got = epochs.mapInArrow(_fitted, "at long, w double").toPandas()  # DIMENSION + 1 rows at most
         weights = np.zeros(DIMENSION + 1, dtype=np.float32)
         weights[got["at"].to_numpy()] = got["w"].to_numpy()
         self.nonzero = int((weights != 0).sum())
