@@ -163,6 +163,7 @@ class Contamination:
         docs = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         hits = docs.mapInArrow(_hits(self.width, levels, bits), "doc_id long, text string, keys array<long>")
         hits = s.store(hits.withColumn("uid", F.monotonically_increasing_id()), "hits")
+        bits.destroy()
         pairs = hits.select("uid", F.explode("keys").alias("key")).join(minima, "key").select("uid", "iid").distinct()
         pairs = s.store(pairs, "candidates")
         full = pairs.join(items.select("iid", "item_id", "hashes"), "iid").join(hits.drop("keys"), "uid")

@@ -264,9 +264,12 @@ class LineDedup:
         pairs = x.join(y, (F.col("x.word") == F.col("y.word")) & near).select(F.col("x.d1").alias("a1"), F.col("y.d1").alias("b1"))
         pairs = s.store(pairs.distinct(), "candidates")
         s.drop(rows)
+        for sent in (shared, ranked, hot):
+            sent.destroy()
         wanted = bitset(pairs.select(F.explode(F.array("a1", "b1")).alias("k")), F.col("k"))
         sets = self.texts.mapInArrow(_sets(self.least, wanted), "d1 long, d2 long, words array<long>")
         sets = s.store(sets.dropDuplicates(["d1", "d2"]), "sets")
+        wanted.destroy()
         side = lambda c: sets.select(F.col("d1").alias(f"{c}1"), F.col("d2").alias(f"{c}2"), F.col("words").alias(f"{c}w"))
         full = pairs.join(side("a"), "a1").join(side("b"), "b1").select("a1", "a2", "b1", "b2", "aw", "bw")
         found = full.mapInArrow(_verified(self.similarity), "a1 long, a2 long, b1 long, b2 long")

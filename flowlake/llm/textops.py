@@ -54,6 +54,7 @@ def mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:
 
 def raw_texts(column: pa.Array) -> list[memoryview]:
     """The UTF-8 bytes of every text without copying; null is empty."""
+    pa.default_memory_pool().release_unused()  # of the batch before
     if column.null_count:
         column = column.fill_null("")
     if not len(column):
