@@ -6,6 +6,8 @@ one checkpoint: three or more micro-batches, state carried over, watermark movin
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from flowlake.functions import expressions as X
@@ -35,6 +37,18 @@ def _third(ts):
     return F.when(ts < _THIRDS[0], 0).when(ts < _THIRDS[1], 1).otherwise(2)
 
 
+@contextmanager
+def _state_partitions(spark, n):
+    """State partitions of a replay on one machine; the library itself takes the session's number."""
+    name = "spark.sql.shuffle.partitions"
+    wanted = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, wanted)
+
+
 def _replay(spark, df, start, order=(0, 1, 2)):
     """Write the thirds of ``df`` one after the other; after each, ``start(stream, checkpoint)`` runs
     to the end of what is there."""
@@ -42,7 +56,8 @@ def _replay(spark, df, start, order=(0, 1, 2)):
     thirds = df.withColumn("third", _third(F.col("ts")))
     for i in order:
         thirds.where(F.col("third") == i).drop("third").write.mode("append").parquet(folder)
-        start(R.file_stream(spark, folder, df.schema), checkpoint).awaitTermination()
+        with _state_partitions(spark, 2 * spark.sparkContext.defaultParallelism):
+            start(R.file_stream(spark, folder, df.schema), checkpoint).awaitTermination()
 
 
 def _appended(spark, df, build):

@@ -105,15 +105,10 @@ def read_flow_csv_sampled(spark, sf_dir):
 
 
 def dataset_cache(spark, sf_dir):
-    """Built on the first call, read back on the second."""
+    """Built on the first call, from which a sample is drawn; read back whole on the second."""
     folder, cache = _write_full_files(spark, sf_dir), scratch_path(spark, "cache")
-    R.dataset_cache(spark, cache, folder, per_source=None)
-    df = R.dataset_cache(spark, cache, folder, per_source=None)
-    return df.groupBy("source_file", "label").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("dst_port").cast("bigint").alias("ports"),
-        F.sum("flow_bytes_s").cast("bigint").alias("bytes"),
-    )
+    R.sample_of_cache(R.dataset_cache(spark, cache, folder), _PER_SOURCE).count()
+    return R.dataset_cache(spark, cache, folder).select(*_FILE_COLUMNS, "label", "label_text", "source_file")
 
 
 def read_mixed_csv(spark, sf_dir):
@@ -320,9 +315,10 @@ SELECT l_partkey::DOUBLE AS flow_duration, l_linenumber::DOUBLE AS fwd_packets,
        trim(label) AS label_text, source_file || '.csv' AS source_file
 FROM sampled WHERE {_GOOD}""",
     "dataset_cache": f"""WITH {_L}
-SELECT source_file || '.csv' AS source_file, {_ATTACK}::INT AS label, count(*) AS n,
-       sum(l_suppkey)::BIGINT AS ports, sum(price_cents)::BIGINT AS bytes
-FROM flows_labelled WHERE {_GOOD} GROUP BY ALL""",
+SELECT l_partkey::DOUBLE AS flow_duration, l_linenumber::DOUBLE AS fwd_packets,
+       price_cents::DOUBLE AS flow_bytes_s, l_suppkey::DOUBLE AS dst_port, {_ATTACK}::INT AS label,
+       trim(label) AS label_text, source_file || '.csv' AS source_file
+FROM flows_labelled WHERE {_GOOD}""",
     "read_mixed_csv": f"""WITH {_L},
 t AS (SELECT *, CASE WHEN l_partkey % 9 = 0 THEN 'nan' ELSE 'svc-' || (l_suppkey % 5) END AS service
       FROM flows_labelled),

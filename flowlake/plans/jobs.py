@@ -22,14 +22,17 @@ from flowlake.streaming import run, sources
 
 def train(spark: SparkSession, args) -> None:
     """Read (or reuse) the clean table, split, fit, evaluate, save the model and its metrics."""
-    data = csv_flows.dataset_cache(spark, args.cache, args.csv, args.sample_per_file)
+    data = csv_flows.dataset_cache(spark, args.cache, args.csv)
+    if args.sample_per_file:
+        # The documented bound on the rows a model is fitted on; 0 takes all.
+        data = csv_flows.sample_of_cache(data, args.sample_per_file)
     rows = monitoring.with_model_features(data).select(*monitoring.MODEL_FEATURES, "label")
     _, metrics = training.train_and_evaluate(
         rows, monitoring.MODEL_FEATURES, [*monitoring.MODEL_FEATURES, "label"], args.model_type, args.model
     )
     metrics = stored(metrics, "metrics")
     names = ["accuracy", "precision", "recall", "f1"]
-    document = metrics.select("model_type", F.struct(*names).alias("metrics"), "tn", "fp", "fn", "tp")
+    document = metrics.select("model_type", F.struct(*names).alias("metrics"), "tn", "fp", "fn", "tp", "train_samples", "test_samples")
     metrics_json.write_metrics_json(document, args.metrics)
 
 

@@ -141,6 +141,27 @@ def test_cache_is_written_once(spark, tmp_path):
         R.dataset_cache(spark, str(tmp_path / "other"), str(tmp_path / "none"))
 
 
+def test_cache_holds_all_rows_whatever_the_sample(spark, tmp_path):
+    folder = tmp_path / "files"
+    folder.mkdir()
+    write(folder, "a.csv", "Flow Duration,Label\n" + "".join(f"{i},BENIGN\n" for i in range(50)))
+    cache = str(tmp_path / "cache")
+    assert R.sample_of_cache(R.dataset_cache(spark, cache, str(folder)), 10).count() == 10
+    assert R.dataset_cache(spark, cache, str(folder)).count() == 50
+
+
+def test_doubled_quotes_and_quoted_commas(spark, tmp_path):
+    write(tmp_path, "a.csv", 'Flow Duration,Label\n4,"DoS, ""slow"""\n1,"a ""x"", b"\n2,BENIGN\n')
+    df = R.read_flow_csv(spark, str(tmp_path / "a.csv"))
+    assert rows(df, "flow_duration", "label_text") == [(1.0, 'a "x", b'), (2.0, "BENIGN"), (4.0, 'DoS, "slow"')]
+
+
+def test_a_folder_without_labels_is_refused(spark, tmp_path):
+    write(tmp_path, "a.csv", "Flow Duration,Kind\n1,BENIGN\n")
+    with pytest.raises(ValueError, match="no label"):
+        R.read_flow_csv_dir(spark, str(tmp_path))
+
+
 def test_missing_features_are_reported(spark):
     df = spark.createDataFrame([("1", "BENIGN")], "`Flow Duration` string, label string")
     kept, missing = C.project_canonical(C.resolve_label_column(df))
