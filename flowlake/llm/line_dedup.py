@@ -8,6 +8,9 @@ class. Classes are joined when the Jaccard similarity of their sets is at least
 * prefix filter: two similar lines share a word of the longer line's prefix and the shorter line's (shorter)
   index prefix; words that occur in one line only are never sent;
 * length, positional and parity filters in the join condition;
+* words in many prefixes first propose only the earliest line they occur in; lines found similar to an earlier
+  one are settled, and two settled lines are not compared any more, so a large group of near copies costs a few
+  comparisons per line and not their square;
 * the surviving pairs are verified on their whole sets.
 
 A line goes when an equal or similar line stands earlier, by document id, then position.
@@ -19,7 +22,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.llm import textops as X
@@ -32,6 +35,9 @@ RANKED_WORDS = 1 << 18
 _RANK_BITS = 22
 #: Classes with most copies, whose lines are sent from their first place only; others once per batch.
 HOT_CLASSES = 1 << 18
+#: A word in more prefixes than this proposes its earliest line before all the others.
+FEW = 8
+_NO_ID = np.iinfo(np.int64).max
 
 
 def _by_line(line: np.ndarray, key: np.ndarray, n_lines: int) -> np.ndarray:
@@ -127,13 +133,14 @@ def prefix_lengths(sizes: np.ndarray, similarity: Fraction) -> tuple[np.ndarray,
     return probe, index
 
 
-_PREFIXES = "word int, d1 long, bits long, size int, rest int, indexed int"
+_PREFIXES = "word int, d1 long, bits long, size int, rest int, indexed int, doc long"
 
 
 def _prefixes(least: int, similarity: Fraction, ranked, shared, hot):
-    """place, text -> the prefix words of every line. word is half of its hash: sharing it proposes, no more.
+    """doc_id, place, text -> the prefix words of every line. word is half of its hash: sharing it proposes, no more.
 
-    d1 and bits tell the line, size its words, rest those from this one on, indexed the shorter prefix.
+    d1 and bits tell the line, size its words, rest those from this one on, indexed the shorter prefix, doc the
+    document.
 
     A line is sent once per batch; a line of a hot class only where the class stands first.
     """
@@ -144,8 +151,9 @@ def _prefixes(least: int, similarity: Fraction, ranked, shared, hot):
         np.maximum.at(ranks, words >> np.uint64(64 - _RANK_BITS), counts)
         hot_d1, hot_place, hot_line = hot.value
         for batch in batches:
-            texts, parts = X.raw_texts(batch.column(1)), []
-            places = batch.column(0).to_numpy()
+            texts, parts = X.raw_texts(batch.column(2)), []
+            docs = batch.column(0).fill_null(_NO_ID).to_numpy()
+            places = batch.column(1).to_numpy()
             for a, b in X.pieces(texts):
                 x = _Lines(texts[a:b], least)
                 if not len(x.lines):
@@ -169,25 +177,26 @@ def _prefixes(least: int, similarity: Fraction, ranked, shared, hot):
                 position = np.arange(len(h)) - np.repeat(x.starts, x.sizes)
                 probe, index = prefix_lengths(x.sizes, similarity)
                 keep = (position < np.repeat(probe, x.sizes)) & common & np.repeat(sent, x.sizes)
-                parts.append([h[keep], *(np.repeat(v, x.sizes)[keep] for v in (one, x.parities(), x.sizes, index)), position[keep]])
+                parts.append([h[keep], *(np.repeat(v, x.sizes)[keep] for v in (one, x.parities(), x.sizes, index, docs[a:b][x.text])), position[keep]])
             if parts:
-                h, one, bits, size, index, position = (np.concatenate(v) for v in zip(*parts, strict=True))
+                h, one, bits, size, index, doc, position = (np.concatenate(v) for v in zip(*parts, strict=True))
                 _, first = np.unique(X.mixed(h) ^ one, return_index=True)
-                h, one, bits, size, index, position = (v[first] for v in (h, one, bits, size, index, position))
+                h, one, bits, size, index, doc, position = (v[first] for v in (h, one, bits, size, index, doc, position))
                 word = (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 numbers = [pa.array(v.astype(np.int32)) for v in (size, size - position)]
-                columns = [pa.array(word), pa.array(X.signed(one)), pa.array(X.signed(bits)), *numbers, pa.array((position < index).astype(np.int32))]
+                columns = [pa.array(word), pa.array(X.signed(one)), pa.array(X.signed(bits)), *numbers, pa.array((position < index).astype(np.int32)), pa.array(doc)]
                 yield pa.record_batch(columns, [f.split()[0] for f in _PREFIXES.split(", ")])
 
     return run
 
 
-def _sets(least: int, wanted):
-    """Whole sets of the lines whose d1 is wanted."""
+def _sets(least: int, wanted, homes):
+    """place, text -> whole sets of the lines whose d1 is wanted, from the texts whose place is in ``homes``."""
 
     def run(batches):
         for batch in batches:
-            texts, seen = X.raw_texts(batch.column(0)), {}
+            home = present(homes.value, batch.column(0).to_numpy().view(np.uint64))
+            texts, seen = [t for t, held in zip(X.raw_texts(batch.column(1)), home.tolist(), strict=True) if held], {}
             for a, b in X.pieces(texts):
                 x = _Lines(texts[a:b], least)
                 one, two = x.digests()
@@ -226,11 +235,12 @@ class LineDedup:
     def __init__(self, docs: DataFrame, similarity: float = 0.8, least_words: int = 5):
         self.docs, self.spark = docs, docs.sparkSession
         self.similarity, self.least = Fraction(str(similarity)), least_words
-        self.texts = docs.select(F.col("text").cast("string").alias("text"))
+        text = F.col("text").cast("string")
+        self.places = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("place"), text.alias("text"))
         self.scratch = Scratch(self.spark, "line-dedup")
 
-    def _similar(self, listed: DataFrame, classes: DataFrame) -> DataFrame:
-        """Pairs (a1, a2, b1, b2) of digests of different classes that are similar."""
+    def _later(self, listed: DataFrame, classes: DataFrame) -> DataFrame:
+        """The classes (d1, d2) that are similar to a class that stands earlier."""
         s = self.scratch
         counts = listed.where("words IS NOT NULL").select(F.explode(F.arrays_zip("words", "counts")).alias("w"))
         counts = counts.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n")).where("n > 1")
@@ -247,51 +257,81 @@ class LineDedup:
         keys = most.column("d1").to_numpy().view(np.uint64)
         order = np.argsort(keys)
         hot = self.spark.sparkContext.broadcast((keys[order], *(most.column(c).to_numpy()[order] for c in ("place", "line_no"))))
-        places = self.docs.select(F.xxhash64(F.col("text").cast("string")).alias("place"), F.col("text").cast("string").alias("text"))
-        rows = places.mapInArrow(_prefixes(self.least, self.similarity, ranked, shared, hot), _PREFIXES)
+        rows = self.places.mapInArrow(_prefixes(self.least, self.similarity, ranked, shared, hot), _PREFIXES)
         rows = s.store(rows, "prefixes")
-        x, y = rows.alias("x"), rows.alias("y")
+        for sent in (shared, ranked, hot):
+            sent.destroy()
+        crowded = s.store(rows.groupBy("word").count().where(F.col("count") > FEW).select("word"), "crowded")
+        crowd = rows.join(crowded, "word")
+        lead = crowd.groupBy("word").agg(F.min(F.struct("doc", "d1", "bits", "size", "rest", "indexed")).alias("l"))
+        lead = s.store(lead.select("word", "l.*").drop("doc"), "leaders")
+        stars = s.store(self._near(lead, crowd, F.col("x.d1") != F.col("y.d1")).distinct(), "candidates")
+        sets = self._sets(stars, classes, None)
+        settled = s.store(self._late(self._verified(stars, sets), classes), "settled")
+        free = rows.join(settled.select("d1"), "d1", "left_anti")
+        bound = rows.join(settled.select("d1"), "d1", "left_semi")
+        pairs = self._near(free, free, F.col("x.d1") < F.col("y.d1")).unionByName(self._near(free, bound, F.col("x.d1") != F.col("y.d1")))
+        pairs = s.store(pairs.distinct(), "candidates")
+        s.drop(rows)
+        late = self._late(self._verified(pairs, self._sets(pairs, classes, sets)), classes)
+        return late.unionByName(settled).distinct()
+
+    def _near(self, x: DataFrame, y: DataFrame, apart: Column) -> DataFrame:
+        """Pairs (a1, b1) of lines of ``x`` and ``y`` that share a prefix word and pass the filters."""
+        # The same columns of both sides are used, so that the shuffles of a join with itself are equal and run once.
+        columns = ("word", "d1", "bits", "size", "rest", "indexed")
+        x, y = x.select(*columns).alias("x"), y.select(*columns).alias("y")
         up, down = self.similarity.numerator, self.similarity.denominator
-        # Every condition and column names both sides alike, so that their shuffles are equal and run once.
+        total = F.col("x.size") + F.col("y.size")
+        shorter = F.when(F.col("x.size") < F.col("y.size"), F.col("x.indexed")).when(F.col("x.size") > F.col("y.size"), F.col("y.indexed"))
         near = (
-            (F.col("x.indexed") * 2 + F.col("y.indexed") >= 2)
-            & ((F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.d1") < F.col("y.d1"))))
-            & (F.col("y.size") * up <= F.col("x.size") * down)
-            & (F.col("x.d1") != F.col("y.d1"))
-            & (F.least("x.rest", "y.rest") * (up + down) >= (F.col("x.size") + F.col("y.size")) * up)
-            & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) * (up + down) <= (F.col("x.size") + F.col("y.size")) * (down - up))
+            (F.col("x.word") == F.col("y.word"))
+            & (F.coalesce(shorter, F.greatest("x.indexed", "y.indexed")) == 1)
+            & (F.greatest("x.size", "y.size") * up <= F.least("x.size", "y.size") * down)
+            & (F.least("x.rest", "y.rest") * (up + down) >= total * up)
+            & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) * (up + down) <= total * (down - up))
         )
-        pairs = x.join(y, (F.col("x.word") == F.col("y.word")) & near).select(F.col("x.d1").alias("a1"), F.col("y.d1").alias("b1"))
-        pairs = s.store(pairs.distinct(), "candidates")
-        s.drop(rows)
-        for sent in (shared, ranked, hot):
+        return x.join(y, near & apart).select(F.col("x.d1").alias("a1"), F.col("y.d1").alias("b1"))
+
+    def _sets(self, pairs: DataFrame, classes: DataFrame, known: DataFrame | None) -> DataFrame:
+        """Whole sets of the lines of ``pairs``, each read where it stands first; those known are not read again."""
+        ends = pairs.select(F.explode(F.array("a1", "b1")).alias("d1")).distinct()
+        if known is not None:
+            ends = ends.join(known.select("d1").distinct(), "d1", "left_anti")
+        ends = self.scratch.store(classes.join(ends, "d1").select("d1", "first.place"), "wanted")
+        wanted, homes = bitset(ends, F.col("d1")), bitset(ends, F.col("place"))
+        found = self.places.select("place", "text").mapInArrow(_sets(self.least, wanted, homes), "d1 long, d2 long, words array<long>")
+        found = found.join(ends.select("d1").distinct(), "d1", "left_semi").dropDuplicates(["d1", "d2"])
+        found = self.scratch.store(found, "sets")
+        for sent in (wanted, homes):
             sent.destroy()
-        wanted = bitset(pairs.select(F.explode(F.array("a1", "b1")).alias("k")), F.col("k"))
-        sets = self.texts.mapInArrow(_sets(self.least, wanted), "d1 long, d2 long, words array<long>")
-        sets = s.store(sets.dropDuplicates(["d1", "d2"]), "sets")
-        wanted.destroy()
+        return found if known is None else known.unionByName(found)
+
+    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs (a1, a2, b1, b2) of digests that are similar as whole sets."""
         side = lambda c: sets.select(F.col("d1").alias(f"{c}1"), F.col("d2").alias(f"{c}2"), F.col("words").alias(f"{c}w"))
         full = pairs.join(side("a"), "a1").join(side("b"), "b1").select("a1", "a2", "b1", "b2", "aw", "bw")
         found = full.mapInArrow(_verified(self.similarity), "a1 long, a2 long, b1 long, b2 long")
-        return s.store(found, "similar")
+        return self.scratch.store(found, "similar")
+
+    def _late(self, similar: DataFrame, classes: DataFrame) -> DataFrame:
+        """The later class (d1, d2) of every pair."""
+        name = lambda c: classes.select(F.col("d1").alias(f"{c}1"), F.col("d2").alias(f"{c}2"), F.col("first").alias(f"{c}f"))
+        both = similar.join(name("a"), ["a1", "a2"]).join(name("b"), ["b1", "b2"])
+        later = F.when(F.col("af") < F.col("bf"), F.struct(F.col("b1").alias("d1"), F.col("b2").alias("d2"))).otherwise(F.struct(F.col("a1").alias("d1"), F.col("a2").alias("d2")))
+        return both.select(later.alias("l")).select("l.*").distinct()
 
     def _rows(self) -> tuple[DataFrame, DataFrame]:
         """The rows of docs, numbered by ``uid``, and (uid, removed line numbers) where there are any."""
         s = self.scratch
-        text = F.col("text").cast("string")
-        rows = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("place"), text.alias("text"))
-        listed = s.store(rows.mapInArrow(_listed(self.least), _LISTED).withColumn("uid", F.monotonically_increasing_id()), "lines")
+        listed = s.store(self.places.mapInArrow(_listed(self.least), _LISTED).withColumn("uid", F.monotonically_increasing_id()), "lines")
         rows = listed.where("words IS NULL").drop("words", "counts")
         zipped = F.explode(F.arrays_zip("line_no", "d1", "d2")).alias("l")
         lines = rows.select("doc_id", "place", "uid", zipped)
         at = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "place", "uid", F.col("l.line_no").alias("line_no")).alias("at")
         lines = lines.select(F.col("l.d1").alias("d1"), F.col("l.d2").alias("d2"), at)
         classes = s.store(lines.groupBy("d1", "d2").agg(F.min("at").alias("first"), F.count("*").alias("n")), "classes")
-        similar = self._similar(listed, classes)
-        both = similar.unionByName(similar.selectExpr("b1 AS a1", "b2 AS a2", "a1 AS b1", "a2 AS b2"))
-        name = lambda c: classes.select(F.col("d1").alias(f"{c}1"), F.col("d2").alias(f"{c}2"), F.col("first").alias(f"{c}f"))
-        late = both.join(name("a"), ["a1", "a2"]).join(name("b"), ["b1", "b2"]).where("bf < af")
-        late = late.select(F.col("a1").alias("d1"), F.col("a2").alias("d2"), F.lit(True).alias("late")).distinct()
+        late = self._later(listed, classes).withColumn("late", F.lit(True))
         rules = classes.join(late, ["d1", "d2"], "left").where("n > 1 OR late")
         rules = s.store(rules.select("d1", "d2", "first", F.coalesce("late", F.lit(False)).alias("late")), "rules")
         gone = lines.join(rules, ["d1", "d2"]).where("late OR at != first")
