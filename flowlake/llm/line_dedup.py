@@ -36,7 +36,9 @@ _RANK_BITS = 22
 #: Classes with most copies, whose lines are sent from their first place only; others once per batch.
 HOT_CLASSES = 1 << 18
 #: A word in more prefixes than this proposes its earliest line before all the others.
-FEW = 8
+FEW = 64
+#: Rows of at most five numbers (20 MB) that are broadcast at most; longer tables are joined by shuffle.
+MOST_SENT = 1 << 19
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -223,6 +225,11 @@ def _verified(similarity: Fraction):
     return run
 
 
+def _sent(table: DataFrame) -> DataFrame:
+    """A stored table with the hint to broadcast it if it is short enough."""
+    return F.broadcast(table) if table.count() <= MOST_SENT else table
+
+
 class LineDedup:
     """Which lines of ``docs`` go because an equal or similar line stands earlier.
 
@@ -258,29 +265,29 @@ class LineDedup:
         order = np.argsort(keys)
         hot = self.spark.sparkContext.broadcast((keys[order], *(most.column(c).to_numpy()[order] for c in ("place", "line_no"))))
         rows = self.places.mapInArrow(_prefixes(self.least, self.similarity, ranked, shared, hot), _PREFIXES)
-        rows = s.store(rows, "prefixes")
+        rows = stored = s.store(rows, "prefixes")
         for sent in (shared, ranked, hot):
             sent.destroy()
         crowded = s.store(rows.groupBy("word").count().where(F.col("count") > FEW).select("word"), "crowded")
-        crowd = rows.join(crowded, "word")
+        crowd = rows.join(_sent(crowded), "word")
         lead = crowd.groupBy("word").agg(F.min(F.struct("doc", "d1", "bits", "size", "rest", "indexed")).alias("l"))
         lead = s.store(lead.select("word", "l.*").drop("doc"), "leaders")
-        stars = s.store(self._near(lead, crowd, F.col("x.d1") != F.col("y.d1")).distinct(), "candidates")
+        stars = s.store(self._near(_sent(lead), crowd, F.col("x.d1") != F.col("y.d1")).distinct(), "candidates")
         sets = self._sets(stars, classes, None)
         settled = s.store(self._late(self._verified(stars, sets), classes), "settled")
-        free = rows.join(settled.select("d1"), "d1", "left_anti")
-        bound = rows.join(settled.select("d1"), "d1", "left_semi")
+        rows = rows.drop("doc")
+        free = rows.join(_sent(settled.select("d1")), "d1", "left_anti")
+        bound = rows.join(_sent(settled.select("d1")), "d1", "left_semi")
         pairs = self._near(free, free, F.col("x.d1") < F.col("y.d1")).unionByName(self._near(free, bound, F.col("x.d1") != F.col("y.d1")))
         pairs = s.store(pairs.distinct(), "candidates")
-        s.drop(rows)
+        s.drop(stored)
         late = self._late(self._verified(pairs, self._sets(pairs, classes, sets)), classes)
         return late.unionByName(settled).distinct()
 
     def _near(self, x: DataFrame, y: DataFrame, apart: Column) -> DataFrame:
         """Pairs (a1, b1) of lines of ``x`` and ``y`` that share a prefix word and pass the filters."""
         # The same columns of both sides are used, so that the shuffles of a join with itself are equal and run once.
-        columns = ("word", "d1", "bits", "size", "rest", "indexed")
-        x, y = x.select(*columns).alias("x"), y.select(*columns).alias("y")
+        x, y = x.alias("x"), y.alias("y")
         up, down = self.similarity.numerator, self.similarity.denominator
         total = F.col("x.size") + F.col("y.size")
         shorter = F.when(F.col("x.size") < F.col("y.size"), F.col("x.indexed")).when(F.col("x.size") > F.col("y.size"), F.col("y.indexed"))
