@@ -267,6 +267,17 @@ def test_line_dedup(docs, none):
     assert line_dedup.report(none).count() == 0 and line_dedup.clean(none).count() == 0
 
 
+@pytest.mark.parametrize("most_sent", [0, 1 << 19])
+def test_line_dedup_by_earliest_lines_first(spark, monkeypatch, most_sent):
+    monkeypatch.setattr(line_dedup, "FEW", 0)
+    monkeypatch.setattr(line_dedup, "MOST_SENT", most_sent)
+    base = [f"w{i}" for i in range(12)]
+    rows = texts() + [(1000 + i, " ".join([*base[:-1], f"v{i}"])) for i in range(30)]  # near to the base, not always to one another
+    rows += [(900, " ".join(base)), (2000, " ".join([*base[:-2], "v1", "v2"]))]
+    got = {(r.doc_id, k) for r in line_dedup.report(frame(spark, rows)).collect() for k in r.removed_lines}
+    assert got == brute.late_lines(rows)
+
+
 def test_line_dedup_keeps_one_of_repeated_rows(spark):
     rows = frame(spark, [(1, "these words stand in a line"), (1, "these words stand in a line"), (None, "these words stand in a line")])
     assert [r.doc_id for r in line_dedup.clean(rows).collect()] == [1]
