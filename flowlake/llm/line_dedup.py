@@ -166,9 +166,10 @@ def _prefixes(least: int, similarity: Fraction, ranked, shared, hot):
                     at = np.minimum(np.searchsorted(hot_d1, one), len(hot_d1) - 1)
                     here = (hot_place[at] == places[a:b][x.text]) & (hot_line[at] == x.line_no)
                     sent = (hot_d1[at] != one) | here
-                first = np.zeros(len(one), dtype=bool)
-                first[np.unique(one, return_index=True)[1]] = True
-                sent &= first
+                # Once per piece, of those that are sent at all: a copy may stand before its class's first place.
+                able = np.flatnonzero(sent)
+                sent[:] = False
+                sent[able[np.unique(one[able], return_index=True)[1]]] = True
                 common = present(shared.value, x.hashes)
                 # Rarest first, up to a count of a million; then the hash decides. Words of one line only lead.
                 rank = np.where(common, ranks[x.hashes >> np.uint64(64 - _RANK_BITS)], 0)

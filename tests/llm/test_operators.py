@@ -278,6 +278,17 @@ def test_line_dedup_by_earliest_lines_first(spark, monkeypatch, most_sent):
     assert got == brute.late_lines(rows)
 
 
+def test_line_dedup_of_rows_out_of_order(spark):
+    copy = [f"w{i}" for i in range(12)]
+    near = [" ".join([*copy[:-1], f"v{i}"]) for i in range(3)]
+    copy, rnd = " ".join(copy), random.Random(3)
+    rows = [(50, copy), (40, near[0]), (30, f"{copy}\n{near[1]}"), (20, f"other words of no copy at all\n{copy}"), (3, copy), (2, near[2])]
+    for _ in range(3):  # all rows in one batch
+        got = {(r.doc_id, k) for r in line_dedup.report(frame(spark, rows).coalesce(1)).collect() for k in r.removed_lines}
+        assert got == brute.late_lines(rows)
+        rnd.shuffle(rows)
+
+
 def test_line_dedup_keeps_one_of_repeated_rows(spark):
     rows = frame(spark, [(1, "these words stand in a line"), (1, "these words stand in a line"), (None, "these words stand in a line")])
     assert [r.doc_id for r in line_dedup.clean(rows).collect()] == [1]
