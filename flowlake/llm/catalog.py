@@ -91,7 +91,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.report(_table(spark, sf_dir, "documents"))
+    return line_dedup.report(_table(spark, sf_dir, "documents"), least_words=1)
 
 
 QUERIES = {

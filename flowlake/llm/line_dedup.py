@@ -93,11 +93,11 @@ class _Lines:
 _LISTED = "doc_id long, place long, n_lines long, line_no array<long>, d1 array<long>, d2 array<long>, words array<long>, counts array<long>"
 
 
-def _listed(least: int):
+def _listed(least: int, joined: int):
     """doc_id, place, text -> doc_id, place, n_lines and parallel lists of the lines that take part.
 
-    After the rows of a batch comes one row that holds the batch's distinct words and in how many of its lines
-    each occurs; only that row's ``words`` is not null.
+    After the rows of a batch comes one row that holds the batch's distinct words and in how many of its lines of
+    at least ``joined`` words each occurs; only that row's ``words`` is not null.
     """
 
     def run(batches):
@@ -108,7 +108,7 @@ def _listed(least: int):
             for a, b in X.pieces(texts):
                 lines = _Lines(texts[a:b], least)
                 n_lines.append(lines.per_text)
-                hashes.append(lines.hashes)
+                hashes.append(lines.hashes[np.repeat(lines.sizes >= joined, lines.sizes)])
                 one, two = lines.digests()
                 cut = np.searchsorted(lines.text, np.arange(1, b - a))
                 for out, values in ((nos, lines.line_no), (d1, X.signed(one)), (d2, X.signed(two))):
@@ -127,6 +127,12 @@ def _listed(least: int):
     return run
 
 
+def least_joined(similarity: Fraction) -> int:
+    """The fewest words of a line that a line with another set can be similar to: one word more or less at best."""
+    up, down = similarity.numerator, similarity.denominator
+    return -(-up // (down - up)) if up < down else np.iinfo(np.int64).max
+
+
 def prefix_lengths(sizes: np.ndarray, similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
     """Words to probe with, and words to index when the partner is not shorter."""
     up, down = similarity.numerator, similarity.denominator
@@ -234,8 +240,9 @@ def _sent(table: DataFrame) -> DataFrame:
 class LineDedup:
     """Which lines of ``docs`` go because an equal or similar line stands earlier.
 
-    Lines with fewer than ``least_words`` distinct words never match: headings and single words repeat
-    without being copies. Earlier means by ``doc_id`` (null last), then by text, then by line number; among
+    Lines with fewer than ``least_words`` distinct words never match; with 1 all lines that have a word take part,
+    headings too. Lines too short to be similar to any other set (``least_joined``) match equal ones without being
+    joined. Earlier means by ``doc_id`` (null last), then by text, then by line number; among
     rows that repeat both id and text one is first. Null texts have no lines, empty texts one empty line.
     Other columns are not looked at.
     """
@@ -243,6 +250,7 @@ class LineDedup:
     def __init__(self, docs: DataFrame, similarity: float = 0.8, least_words: int = 5):
         self.docs, self.spark = docs, docs.sparkSession
         self.similarity, self.least = Fraction(str(similarity)), least_words
+        self.joined = max(least_words, least_joined(self.similarity))
         text = F.col("text").cast("string")
         self.places = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("place"), text.alias("text"))
         self.scratch = Scratch(self.spark, "line-dedup")
@@ -265,7 +273,7 @@ class LineDedup:
         keys = most.column("d1").to_numpy().view(np.uint64)
         order = np.argsort(keys)
         hot = self.spark.sparkContext.broadcast((keys[order], *(most.column(c).to_numpy()[order] for c in ("place", "line_no"))))
-        rows = self.places.mapInArrow(_prefixes(self.least, self.similarity, ranked, shared, hot), _PREFIXES)
+        rows = self.places.mapInArrow(_prefixes(self.joined, self.similarity, ranked, shared, hot), _PREFIXES)
         rows = stored = s.store(rows, "prefixes")
         for sent in (shared, ranked, hot):
             sent.destroy()
@@ -308,7 +316,7 @@ class LineDedup:
             ends = ends.join(known.select("d1").distinct(), "d1", "left_anti")
         ends = self.scratch.store(classes.join(ends, "d1").select("d1", "first.place"), "wanted")
         wanted, homes = bitset(ends, F.col("d1")), bitset(ends, F.col("place"))
-        found = self.places.select("place", "text").mapInArrow(_sets(self.least, wanted, homes), "d1 long, d2 long, words array<long>")
+        found = self.places.select("place", "text").mapInArrow(_sets(self.joined, wanted, homes), "d1 long, d2 long, words array<long>")
         found = found.join(ends.select("d1").distinct(), "d1", "left_semi").dropDuplicates(["d1", "d2"])
         found = self.scratch.store(found, "sets")
         for sent in (wanted, homes):
@@ -332,7 +340,7 @@ class LineDedup:
     def _rows(self) -> tuple[DataFrame, DataFrame]:
         """The rows of docs, numbered by ``uid``, and (uid, removed line numbers) where there are any."""
         s = self.scratch
-        listed = s.store(self.places.mapInArrow(_listed(self.least), _LISTED).withColumn("uid", F.monotonically_increasing_id()), "lines")
+        listed = s.store(self.places.mapInArrow(_listed(self.least, self.joined), _LISTED).withColumn("uid", F.monotonically_increasing_id()), "lines")
         rows = listed.where("words IS NULL").drop("words", "counts")
         zipped = F.explode(F.arrays_zip("line_no", "d1", "d2")).alias("l")
         lines = rows.select("doc_id", "place", "uid", zipped)

@@ -289,6 +289,15 @@ def test_line_dedup_of_rows_out_of_order(spark):
         rnd.shuffle(rows)
 
 
+def test_registered_line_dedup_takes_short_lines(spark, tmp_path):
+    rows = [(1, "Heading\na b c d\n\n \na b c"), (2, "a b c d e\nheading\n" + "x y " * 60), (3, "y x\nc b a\na b"), (4, "\u6f22\u5b57" * 40), (5, "\u6f22\u5b57" * 40)]
+    rows += [(i + 10, t) for i, t in texts()]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, k) for r in catalog.op10_line_dedup(spark, str(tmp_path)).collect() for k in r.removed_lines}
+    assert got == brute.late_lines(rows, 1)
+    assert {(2, 0), (2, 1), (3, 0), (3, 1), (5, 0)} <= got
+
+
 def test_line_dedup_keeps_one_of_repeated_rows(spark):
     rows = frame(spark, [(1, "these words stand in a line"), (1, "these words stand in a line"), (None, "these words stand in a line")])
     assert [r.doc_id for r in line_dedup.clean(rows).collect()] == [1]
