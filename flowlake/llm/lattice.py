@@ -10,6 +10,7 @@ out once, by a forward recursion in log space over all words of one length at a
 from __future__ import annotations
 
 import math
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ from flowlake.llm.scratch import Scratch
 STEPS = 2
 #: Longer words are worked out one by one.
 _LONG = 128
+#: Bytes of a long word whose pieces are looked up at once.
+_WINDOW = 1 << 16
 #: Base counts' smoothing.
 SMOOTHING = 0.1
 _LN10 = math.log(10)
@@ -101,21 +104,52 @@ def _forward(vocab: Vocabulary, spans: dict, rows: int, n: int) -> np.ndarray:
     return alpha
 
 
+def _pieces_from(vocab: Vocabulary, flat: np.ndarray, a: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From, to and number of the pieces that start in the window at ``a`` of one word, ordered by their start."""
+    b, starts, ids, sizes = min(a + _WINDOW, len(flat)), [], [], []
+    for size in vocab.lengths:
+        at = np.arange(a, min(b, len(flat) - size + 1))
+        if len(at):
+            found = vocab.find(X.span_hashes(flat[a : b + size], at - a, at - a + size, X.BYTE_CODES))
+            hit = found < len(vocab.log_p) - 1
+            starts.append(at[hit])
+            ids.append(found[hit])
+            sizes.append(np.full(len(ids[-1]), size))
+    starts, ids, sizes = (np.concatenate(v) for v in (starts, ids, sizes))
+    order = np.argsort(starts, kind="stable")
+    return starts[order], (starts + sizes)[order], ids[order]
+
+
+def _log_add(sums: array, at: int, value: float) -> None:
+    high, low = (sums[at], value) if sums[at] > value else (value, sums[at])
+    sums[at] = high + math.log1p(math.exp(low - high))
+
+
+def _long_alpha(vocab: Vocabulary, flat: np.ndarray) -> array:
+    alpha = array("d", [0.0]) + array("d", [-math.inf]) * len(flat)
+    for a in range(0, len(flat), _WINDOW):
+        starts, ends, ids = _pieces_from(vocab, flat, a)
+        for i, j, s in zip(starts.tolist(), ends.tolist(), vocab.log_p[ids].tolist(), strict=True):
+            _log_add(alpha, j, alpha[i] + s)
+    return alpha
+
+
 def _long_forward(vocab: Vocabulary, word: bytes) -> float:
+    return _long_alpha(vocab, np.frombuffer(word, np.uint8))[-1]
+
+
+def _add_long(vocab: Vocabulary, word: bytes, count: float, total: np.ndarray) -> None:
+    """``_add_expected`` for one long word: its pieces are looked up by windows, from the last one back."""
     flat = np.frombuffer(word, np.uint8)
-    alpha = [0.0] + [-math.inf] * len(word)
-    scores = {}
-    for size in vocab.lengths:
-        if size <= len(word):
-            starts = np.arange(len(word) - size + 1)
-            scores[size] = vocab.log_p[vocab.find(X.span_hashes(flat, starts, starts + size, X.BYTE_CODES))]
-    for i in range(len(word)):
-        for size, s in scores.items():
-            if i + size <= len(word) and s[i] != -math.inf:
-                a, b = alpha[i + size], alpha[i] + s[i]
-                high, low = (a, b) if a > b else (b, a)
-                alpha[i + size] = high + math.log1p(math.exp(low - high))
-    return alpha[-1]
+    alpha = _long_alpha(vocab, flat)
+    beta = array("d", [-math.inf]) * len(flat) + array("d", [0.0])
+    for a in reversed(range(0, len(flat), _WINDOW)):
+        starts, ends, ids = _pieces_from(vocab, flat, a)
+        log_p = vocab.log_p[ids]
+        for i, j, s in zip(starts[::-1].tolist(), ends[::-1].tolist(), log_p[::-1].tolist(), strict=True):
+            _log_add(beta, i, beta[j] + s)
+        share = np.exp(np.frombuffer(alpha)[starts] + log_p + np.frombuffer(beta)[ends] - alpha[-1])
+        total += np.bincount(ids, share * count, len(total))
 
 
 def log10_marginals(vocab: Vocabulary, words: list[bytes]) -> np.ndarray:
@@ -134,6 +168,10 @@ def expected_counts(vocab: Vocabulary, words: list[bytes], counts: np.ndarray) -
     """How often each piece is used, over all segmentations by their probability."""
     total = np.zeros(len(vocab.log_p))
     for n, rows, chars in _by_length(words):
+        if n > _LONG:
+            for i in rows.tolist():
+                _add_long(vocab, words[i], counts[i], total)
+            continue
         for part in np.array_split(np.arange(len(rows)), -(-len(rows) * n // 200_000)):
             _add_expected(vocab, chars[part], counts[rows[part]], total)
     return total[:-1]
@@ -183,9 +221,8 @@ class _Trained:
             for batch in batches:
                 words = [b" " + t.as_py().encode() for t in batch.column(0)]
                 counts = batch.column(1).to_numpy().astype(np.float64)
-                fit = np.array([len(w) <= _LONG for w in words], dtype=bool)
-                if fit.any():
-                    total += expected_counts(vocab, [w for w, ok in zip(words, fit, strict=True) if ok], counts[fit])
+                if words:
+                    total += expected_counts(vocab, words, counts)
             used = np.flatnonzero(total)
             yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array(total[used])], ["piece", "n"])
 
@@ -205,8 +242,7 @@ def lattice_scores(docs: DataFrame, train: Column, model_path: str) -> DataFrame
     The model learns from the texts for which ``train`` is true. Tokens are the lower-cased words and one end.
     ``base_score`` sums the smoothed log10 shares of the tokens among the training tokens, ``n_known`` counts
     those that occur there; ``score`` is the lattice's log10 probability of the text. A null text is empty:
-    its only token is the end. Without training texts the pieces keep the weights of their file. Words of more
-    than 128 bytes are scored like all others but do not take part in the learning of piece weights.
+    its only token is the end. Without training texts the pieces keep the weights of their file.
     Columns of ``docs`` with the names of the results are replaced.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "lattice")

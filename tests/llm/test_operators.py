@@ -174,6 +174,28 @@ def test_lattice_scores(docs, none):
     assert lattice.lattice_scores(none, train, catalog._tokenizer()).count() == 0
 
 
+def test_lattice_learns_from_long_words(spark, monkeypatch):
+    import numpy as np
+    from flowlake.llm.scratch import Scratch
+
+    rnd = random.Random(4)
+    word = "".join(rnd.choice(["the", "ing", "x7", "\u6f22", "\u5b57", "\u00e9", "q"]) for _ in range(6_000)).encode()[:9_999].decode(errors="ignore")
+    chars = np.frombuffer(b" " + word.encode(), np.uint8)[None, :]
+    pieces, weights = lattice.read_pieces(catalog._tokenizer())
+    log_p = np.log(weights)
+    for _ in range(lattice.STEPS):
+        total = np.zeros(len(pieces) + 1)
+        lattice._add_expected(lattice.Vocabulary(pieces, log_p), chars, np.ones(1), total)
+        counts = total[:-1] + lattice.SMOOTHING
+        log_p = np.log(counts / (counts.sum() + 1 + lattice.SMOOTHING))
+    model = lattice._Trained(spark.createDataFrame([(word, True)], "text string, chosen boolean"), catalog._tokenizer(), Scratch(spark, "test"))
+    assert chars.size > 9_990 and model.log_p == pytest.approx(log_p)
+    monkeypatch.setattr(lattice, "_WINDOW", 1_000)
+    vocab, plain = lattice.Vocabulary(pieces, log_p), np.zeros(len(pieces) + 1)
+    lattice._add_expected(vocab, chars, np.full(1, 3.0), plain)
+    assert lattice.expected_counts(vocab, [chars.tobytes()], np.full(1, 3.0)) == pytest.approx(plain[:-1])
+
+
 def test_urls(spark):
     rows = [
         (1, "http://x.ORG/a?b#c", "x.org", "/a", "org/", "allow"), (2, "https://www.example.org/es/1", "www.example.org", "/es/1", "example.org/es/", "block"),
