@@ -15,13 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlake.llm import bags
 from flowlake.llm import textops as X
 from flowlake.llm.scratch import Scratch
 
 #: Longest context, in bytes.
 ORDER = 4
-#: Counters per order and model: contexts, and contexts with the next byte. Larger alphabets share counters.
-CONTEXTS, FOLLOWED = 1 << 16, 1 << 17
 #: Weight of the next shorter context.
 KAPPA = 2.0
 #: Share of the rule-decided URLs kept for calibration, one in so many.
@@ -62,43 +61,37 @@ def ruled(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.withColumns({"rule": name, "decided": verdict})
 
 
-def _contexts(texts: list):
-    """For every byte: its text, and per order the counters of its context and of context and byte."""
-    parts = [b"\x00" * ORDER + bytes(t) + b"\x01" for t in texts]
-    buf = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint64)
-    sizes = np.array([len(p) for p in parts])
-    text = np.repeat(np.arange(len(parts)), sizes)
-    within = np.arange(len(buf)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    place = np.flatnonzero(within >= ORDER)
-    orders, context = [], np.zeros(len(place), np.uint64)
-    for k in range(ORDER + 1):
-        if k:
-            context = context * np.uint64(257) + buf[place - k] + np.uint64(1)
-        h = X.mixed(context, 77 + k)
-        full = X.mixed(h + buf[place])
-        orders.append(((h % np.uint64(CONTEXTS)).astype(np.int64), (full % np.uint64(FOLLOWED)).astype(np.int64)))
-    return text[place], orders
+class _Grams:
+    """For every byte of the texts and the end of each: the byte with the ``ORDER`` bytes before it, as one number."""
+
+    def __init__(self, texts: list):
+        parts = [b"\x00" * ORDER + bytes(t) + b"\x01" for t in texts]
+        buf = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint64)
+        sizes = np.array([len(p) for p in parts])
+        within = np.arange(len(buf)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        place = np.flatnonzero(within >= ORDER)
+        self.counts = sizes - ORDER
+        self.hashes = sum(buf[place - k] << np.uint64(8 * k) for k in range(ORDER + 1))
 
 
 def _counted(batches):
-    """verdict, url -> counters and how often they were hit."""
+    """accepted, url -> accepted, distinct grams and how often they occur."""
     for batch in batches:
-        texts, accepted = X.raw_texts(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        texts, accepted = X.raw_texts(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
         for a, b in X.pieces(texts):
-            text, orders = _contexts(texts[a:b])
-            kind = accepted[a:b][text]
-            codes = [((kind * (ORDER + 1) + k) * 2 + i) * FOLLOWED + x for k, both in enumerate(orders) for i, x in enumerate(both)]
-            code, n = np.unique(np.concatenate(codes), return_counts=True)
-            yield pa.record_batch([pa.array(code), pa.array(n)], ["code", "n"])
+            grams = _Grams(texts[a:b])
+            code, n = np.unique((grams.hashes << np.uint64(1)) | np.repeat(accepted[a:b], grams.counts), return_counts=True)
+            kind = pa.array((code & np.uint64(1)).astype(bool))
+            yield pa.record_batch([kind, pa.array(X.signed(code >> np.uint64(1))), pa.array(n)], ["accepted", "g", "n"])
 
 
-def _log_p(text: np.ndarray, orders: list, counts: np.ndarray, n_texts: int) -> np.ndarray:
-    """Natural log-likelihood per character of each text under one model."""
-    p = np.full(len(text), 1 / 256)
-    for k, (context, full) in enumerate(orders):
-        p = (counts[k, 1, full] + KAPPA * p) / (counts[k, 0, context] + KAPPA)
-    # A shared counter can exceed its context's; probabilities stay at most 1.
-    return np.bincount(text, np.log(np.minimum(p, 1.0)), n_texts) / np.maximum(np.bincount(text, minlength=n_texts), 1)
+def _exploded(grams: DataFrame, orders, *others: str) -> DataFrame:
+    """Per gram and order two rows: ``slot, code`` of its context and of context and byte."""
+    slots = []
+    for k in orders:
+        full = F.col("g").bitwiseAND((1 << 8 * (k + 1)) - 1)
+        slots += [F.struct(F.lit(2 * k + i).alias("slot"), c.alias("code")) for i, c in enumerate((F.shiftright(full, 8), full))]
+    return grams.select("g", *others, F.explode(F.array(*slots)).alias("s")).select("g", *others, "s.slot", "s.code")
 
 
 class UrlModel:
@@ -106,17 +99,15 @@ class UrlModel:
 
     def __init__(self, examples: DataFrame):
         """``examples(url, accepted)``: host and path of URLs whose verdict is known."""
-        spark, scratch = examples.sparkSession, Scratch(examples.sparkSession, "urls")
+        self.scratch = Scratch(examples.sparkSession, "urls")
         fold = F.pmod(F.xxhash64("url"), F.lit(FOLD)) == 0
-        counted = examples.where(~fold).select("accepted", "url").mapInArrow(_counted, "code long, n long")
-        # A fixed number of counters, whatever the number of URLs.
-        got = scratch.store(counted.groupBy("code").agg(F.sum("n").alias("n")), "counts").toArrow()
-        counts = np.zeros(2 * (ORDER + 1) * 2 * FOLLOWED)
-        counts[got.column("code").to_numpy()] = got.column("n").to_numpy()
-        counts = counts.reshape(2, ORDER + 1, 2, FOLLOWED)
-        self.shared = spark.sparkContext.broadcast(counts.astype(np.float32))
+        counted = examples.where(~fold).select("accepted", "url").mapInArrow(_counted, "accepted boolean, g long, n long")
+        sums = [F.sum(F.when(F.col("accepted") == bool(i), F.col("n")).otherwise(0)).alias(f"n{i}") for i in (0, 1)]
+        seen = self.scratch.store(counted.groupBy("g").agg(*sums), "grams")
+        codes = _exploded(seen, range(ORDER + 1), "n0", "n1").groupBy("slot", "code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        self.counts = self.scratch.store(codes, "counts")
         self.threshold = None
-        if all(counts[i].any() for i in (0, 1)):
+        if all(seen.agg(F.sum("n0"), F.sum("n1")).first()):
             self.threshold = self._calibrated(examples.where(fold)) or 0.0
 
     def _calibrated(self, examples: DataFrame) -> float | None:
@@ -134,23 +125,31 @@ class UrlModel:
         best = np.flatnonzero(right == right.max())
         return (best.mean() + 1) / _BINS * 2 * _SPAN - _SPAN
 
+    def _valued(self, grams: DataFrame) -> DataFrame:
+        """``g, n`` to ``h, n, v0``: the log-likelihood of the last byte as accepted less that as rejected."""
+        # Orders 0 and 1 have at most 66,049 counters; they are sent, as their contexts are in many grams.
+        low = _exploded(grams, (0, 1)).join(F.broadcast(self.counts.where("slot < 4")), ["slot", "code"])
+        high = _exploded(grams, range(2, ORDER + 1)).join(self.counts.where("slot >= 4"), ["slot", "code"])
+        name = lambda slot, i: f"c{slot}_{i}"
+        each = [F.sum(F.when(F.col("slot") == s, F.col(f"n{i}"))).alias(name(s, i)) for s in range(2 * ORDER + 2) for i in (0, 1)]
+        found = grams.join(low.unionByName(high).groupBy("g").agg(*each), "g", "left")
+        log_p = []
+        for i in (0, 1):
+            p = F.lit(1 / 256)
+            for k in range(ORDER + 1):
+                context, full = (F.coalesce(name(2 * k + j, i), F.lit(0)) for j in (0, 1))
+                p = (full + KAPPA * p) / (context + KAPPA)
+            log_p.append(F.log(p))
+        return found.select(F.col("g").alias("h"), "n", (log_p[1] - log_p[0]).alias("v0"))
+
     def scored(self, df: DataFrame) -> DataFrame:
         """Add ``ratio``: log-likelihood per character as accepted less that as rejected."""
-        shared, kept = self.shared, [c for c in df.columns if c != "ratio"]
-        place = kept.index("url")
-
-        def run(batches):
-            counts = shared.value
-            for batch in batches:
-                texts, out = X.raw_texts(batch.column(place)), []
-                for a, b in X.pieces(texts):
-                    text, orders = _contexts(texts[a:b])
-                    out.append(_log_p(text, orders, counts[1], b - a) - _log_p(text, orders, counts[0], b - a))
-                if out:
-                    yield pa.record_batch([*(batch.column(i) for i in range(len(kept))), pa.array(np.concatenate(out))], [*kept, "ratio"])
-
-        fields = ", ".join(f"`{c}` {t}" for c, t in df.select(kept).dtypes)
-        return df.select(kept).mapInArrow(run, f"{fields}, ratio double")
+        kept = [c for c in df.columns if c != "ratio"]
+        grams = df.select(F.lit(True), F.col("url").cast("string")).mapInArrow(_counted, "accepted boolean, g long, n long")
+        grams = self.scratch.store(grams.groupBy("g").agg(F.sum("n").alias("n")), "wanted")
+        table = self.scratch.store(self._valued(grams), "values")
+        rows = df.select(F.struct(*kept).alias("row"), F.col("url").cast("string").alias("text"))
+        return bags.sums(rows, table, _Grams, 1, self.scratch).select("row.*", (F.col("s0") / F.col("n_tokens")).alias("ratio"))
 
 
 def judged(pages: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -217,6 +217,37 @@ def test_url_models_part_accepted_from_rejected(spark):
     assert judged.where((F.col("ratio") >= model.threshold) == F.col("accepted")).count() == 600
 
 
+def test_url_models_count_every_context(spark, monkeypatch):
+    monkeypatch.setattr(urls.bags, "FREQUENT", 1_000)  # the other grams are joined
+    rnd = random.Random(8)
+    rows = [("x.org/" + "".join(rnd.choice("0123456789abcdefghijklmnopqrstuvwxyz%-_ABCDEF\u00e9") for _ in range(40)), i % 2 == 0) for i in range(2_500)] + [("", True)]
+    df = spark.createDataFrame(rows, "url string, accepted boolean")
+    fitted = {r.url for r in df.where(F.pmod(F.xxhash64("url"), F.lit(urls.FOLD)) != 0).collect()}
+    counts = {True: {}, False: {}}
+
+    def spans(url):
+        b = b"\0" * 4 + url.encode() + b"\1"
+        return [b[j - 4 : j + 1] for j in range(4, len(b))]
+
+    for url, accepted in rows:
+        for g in spans(url) if url in fitted else []:
+            for k in range(5):
+                for key in ((0, k, g[4 - k : 4]), (1, k, g[4 - k :])):
+                    counts[accepted][key] = counts[accepted].get(key, 0) + 1
+    assert len({key for c in counts.values() for key in c if key[:2] == (0, 4)}) > 1 << 16
+
+    def log_p(g, c):
+        p = 1 / 256
+        for k in range(5):
+            p = (c.get((1, k, g[4 - k :]), 0) + urls.KAPPA * p) / (c.get((0, k, g[4 - k : 4]), 0) + urls.KAPPA)
+        return math.log(p)
+
+    got = {r.url: r.ratio for r in urls.UrlModel(df).scored(df).collect()}
+    for url, _ in rows[-300:]:
+        grams = spans(url)
+        assert got[url] == pytest.approx(sum(log_p(g, counts[True]) - log_p(g, counts[False]) for g in grams) / len(grams), abs=1e-9)
+
+
 def test_token_counts(spark, docs, none):
     import sentencepiece
 
