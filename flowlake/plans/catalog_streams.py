@@ -18,7 +18,6 @@ from flowlake.plans import catalog_soc as CS
 from flowlake.plans import monitoring as N
 from flowlake.plans import tables as T
 from flowlake.plans import training as L
-from flowlake.plans.catalog_models import _SMALL
 from flowlake.runtime import scratch_path, stored, write_scratch
 from flowlake.streaming import alerts as A
 from flowlake.streaming import flows as W
@@ -93,7 +92,7 @@ def stream_timeline(spark, sf_dir):
 
 def stream_score_alerts(spark, sf_dir):
     rows = T.trainable(spark, sf_dir)
-    model = L.fit(rows, T.TRAINABLE_FEATURES, "random_forest", **_SMALL["random_forest"])
+    model = L.fit(rows, T.TRAINABLE_FEATURES, "random_forest")
     stream = R.file_stream(spark, write_scratch(rows, "flows"), rows.schema)
     out = scratch_path(spark, "alerts")
     run.append_to(A.stream_score_alerts(stream, model), out).awaitTermination()
@@ -104,7 +103,7 @@ def _flow_model(spark, sf_dir):
     """Learns which flows hold a reset packet, from all flows."""
     flows = O.flow_features(T.packets(spark, sf_dir), timeout_s=T.PACKET_TIMEOUT_S)
     rows = N.with_model_features(flows).withColumn("label", (F.col("rst_count") > 0).cast("int"))
-    return L.fit(stored(rows, "flows"), N.MODEL_FEATURES, "random_forest", **_SMALL["random_forest"])
+    return L.fit(stored(rows, "flows"), N.MODEL_FEATURES, "random_forest")
 
 
 def monitor_packets(spark, sf_dir):
