@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import contamination, embeddings, lattice, line_dedup, minhash, mixing, token_counts, toxicity, urls, warc
+from flowlake.llm import collocations, contamination, embeddings, lattice, line_dedup, minhash, mixing, token_counts, toxicity, urls, warc
 from flowlake.llm.scratch import Scratch
 
 #: Host, path and verdict of the registered query's rules.
@@ -94,12 +94,44 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(_table(spark, sf_dir, "documents"), least_words=1)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return collocations.Collocations(docs, most_words=5, least=100, cover=100).top(2_000)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup, op2_benchmark_decontamination, op3_embedding_near_dedup, op4_warc, op5_lattice_scores,
-        op6_url_filter, op7_token_counts, op8_source_mix, op9_toxicity, op10_line_dedup,
+        op6_url_filter, op7_token_counts, op8_source_mix, op9_toxicity, op10_line_dedup, op11_phrase_collocations,
     )
 }
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP11 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+spoken AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM spoken),
+grams AS (SELECT lang, w[i:i + size - 1] AS g FROM starts, range(1, 6) AS s(size) WHERE i + size - 1 <= len(w)),
+f AS (SELECT lang, g, count(*) AS c FROM grams GROUP BY ALL HAVING count(*) >= 100 OR len(g) = 1),
+totals AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+candidates AS (SELECT lang, g, c AS a FROM f WHERE len(g) > 1 AND c >= 100),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.g, c.a, c.k, x.c AS l, y.c AS r, t.n,
+         ((1000::HUGEINT * c.a * t.n) // (x.c::HUGEINT * y.c))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.g[1:c.k]
+  JOIN f y ON y.lang = c.lang AND y.g = c.g[c.k + 1:len(c.g)] JOIN totals t ON t.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inside AS (
+  SELECT DISTINCT c.lang, c.g[i:i + size - 1] AS g, c.a FROM candidates c, range(1, 6) AS s(i), range(2, 5) AS z(size)
+  WHERE size < len(c.g) AND i + size - 1 <= len(c.g)),
+alone AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM inside x WHERE x.lang = b.lang AND x.g = b.g AND 100 * x.a >= 100 * b.a)),
+named AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM alone),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM named)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op11_phrase_collocations": _OP11}
