@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import collocations, contamination, embeddings, lattice, line_dedup, minhash, mixing, token_counts, toxicity, urls, warc
+from flowlake.llm import alignment, collocations, contamination, embeddings, lattice, line_dedup, minhash, mixing, token_counts, toxicity, urls, warc
 from flowlake.llm.scratch import Scratch
 
 #: Host, path and verdict of the registered query's rules.
@@ -99,11 +99,19 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.Collocations(docs, most_words=5, least=100, cover=100).top(2_000)
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.Alignment(docs, str(public_tokenizers.path("byte_bpe_50k.json")), _tokenizer()).documents()
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup, op2_benchmark_decontamination, op3_embedding_near_dedup, op4_warc, op5_lattice_scores,
         op6_url_filter, op7_token_counts, op8_source_mix, op9_toxicity, op10_line_dedup, op11_phrase_collocations,
+        op12_tokenizer_alignment,
     )
 }
 
