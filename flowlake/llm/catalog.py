@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import alignment, collocations, contamination, embeddings, lattice, line_dedup, minhash, mixing, token_counts, toxicity, urls, warc
+from flowlake.llm import alignment, collocations, contamination, embeddings, lattice, licenses, line_dedup, minhash, mixing, token_counts, toxicity, urls, warc
 from flowlake.llm.scratch import Scratch
 
 #: Host, path and verdict of the registered query's rules.
@@ -16,6 +16,62 @@ URL_RULES = [
     urls.Rule("com", "/fr/", "allow"),
     urls.Rule("com", "/de/", "block"),
 ]
+#: The phrases whose places are counted, with their labels.
+LICENSE_PHRASES = {
+    "gnu general public license": "gpl",
+    "apache license": "apache",
+    "cc by": "cc-by",
+    "mit license": "mit",
+}
+#: Statements of common licenses. Short ones must be whole, of long ones four fifths of the words.
+LICENSE_TEMPLATES = [
+    licenses.Template("all-rights-reserved", "All rights reserved"),
+    licenses.Template("apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    licenses.Template(
+        "apache-2.0",
+        "Licensed under the Apache License, Version 2.0; you may not use this file except in compliance with the License. "
+        "You may obtain a copy of the License at",
+        "0.8",
+    ),
+    licenses.Template(
+        "bsd",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met",
+        "0.8",
+    ),
+    licenses.Template("cc-by-nc", "Licensed under CC BY-NC"),
+    licenses.Template("cc-by-nc", "Creative Commons Attribution NonCommercial"),
+    licenses.Template("cc-by-sa", "Licensed under CC BY-SA"),
+    licenses.Template("cc-by-sa", "Creative Commons Attribution ShareAlike"),
+    licenses.Template(
+        "cc0",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+        "0.8",
+    ),
+    licenses.Template("gpl-3.0", "Licensed under the GNU General Public License, version 3"),
+    licenses.Template(
+        "gpl",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation",
+        "0.8",
+    ),
+    licenses.Template(
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies",
+        "0.8",
+    ),
+    licenses.Template("lgpl", "GNU Lesser General Public License"),
+    licenses.Template("mit", "Released under the MIT License"),
+    licenses.Template(
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files, to deal in the Software without restriction",
+        "0.8",
+    ),
+    licenses.Template("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "0.8"),
+    licenses.Template("unlicense", "This is free and unencumbered software released into the public domain", "0.8"),
+]
 TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4_096
 TOXIC_FROM = 0.7
@@ -106,12 +162,17 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.Alignment(docs, str(public_tokenizers.path("byte_bpe_50k.json")), _tokenizer()).documents()
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.LicenseScan(docs, LICENSE_PHRASES, LICENSE_TEMPLATES).documents()
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup, op2_benchmark_decontamination, op3_embedding_near_dedup, op4_warc, op5_lattice_scores,
         op6_url_filter, op7_token_counts, op8_source_mix, op9_toxicity, op10_line_dedup, op11_phrase_collocations,
-        op12_tokenizer_alignment,
+        op12_tokenizer_alignment, op13_license_scan,
     )
 }
 
@@ -142,4 +203,38 @@ ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC
 SELECT * FROM ranked WHERE rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op11_phrase_collocations": _OP11}
+
+
+def _op13() -> str:
+    def listed(words: list[str]) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+    phrases = ", ".join(f"('{label}', {listed(licenses.words(p))})" for p, label in LICENSE_PHRASES.items())
+    made = enumerate(licenses.entries(LICENSE_TEMPLATES))
+    templates = ", ".join(f"({i}, '{e.label}', {listed(e.words)}, {e.needed}, {e.reach})" for i, e in made)
+    return f"""
+WITH phrases(label, p) AS (VALUES {phrases}),
+templates(no, label, t, needed, reach) AS (VALUES {templates}),
+texts AS (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+places AS (SELECT id, w, unnest(range(len(w))) AS i FROM texts),
+base AS (SELECT id, label, i FROM places, phrases WHERE w[i + 1:i + len(p)] = p),
+based AS (
+  SELECT id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS labels
+  FROM base GROUP BY id),
+needed AS (SELECT no, label, len(t) AS size, needed, reach, unnest(t) AS word FROM templates),
+met AS (SELECT id, no, label, size, needed, word, unnest([i // reach, i // reach - 1]) AS block FROM places JOIN needed ON w[i + 1] = word),
+blocks AS (
+  SELECT id, no, label, block, count(DISTINCT word) / size AS share
+  FROM met WHERE block >= 0 GROUP BY id, no, label, size, needed, block HAVING count(DISTINCT word) >= needed),
+found AS (SELECT id, max(share) AS share, list(DISTINCT label) AS labels FROM blocks GROUP BY id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, array_to_string(list_sort(coalesce(b.labels, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ',') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
+FROM texts t LEFT JOIN based b USING (id) LEFT JOIN found f USING (id)
+"""
+
+
+ORACLES: dict[str, str] = {"op13_license_scan": _op13(), "op11_phrase_collocations": _OP11}
