@@ -3,11 +3,12 @@
 A flow is a run of packets of one 5-tuple. It ends with a FIN or RST packet (which belongs to it)
 or when the next packet comes more than ``timeout`` later.
 
-Ordinary keys take one shuffle by key and one sort; everything after that (previous packet,
-segment number, the 18 features) reuses that distribution. Keys with more rows than one task
-should hold are cut into time slices no wider than the timeout: slices are summarised with a
-map-side aggregate, the summaries are chained per key, and each slice then continues from the
-summary before it. Both ways give the same rows.
+Packets take one shuffle by key and one sort; everything after that (previous packet, segment
+number, the 18 features) reuses that distribution. A key with more rows than one task should hold
+is scanned at two levels: it is cut into slices by time, no wider than the timeout, and by rows, so
+that a flood within one microsecond is cut too. Slices are summarised with a map-side aggregate, the
+summaries are chained per key, and each slice then continues from what the slices before it leave
+behind. Slices of hot keys and whole ordinary keys travel in the same shuffle.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ from pyspark.sql import functions as F
 
 from flowlake import schema as S
 from flowlake.functions import expressions as X
-from flowlake.functions.hotkeys import HOT_ROWS, split_hot
+from flowlake.functions.hotkeys import HOT_ROWS, heavy_keys
+from flowlake.runtime import checked_lookup, stored
 
 # Endpoint columns of the grouping key: a is the source (directional) or the smaller endpoint.
 KEY = ["ip_a", "port_a", "ip_b", "port_b", "protocol"]
-SLICE_S = 1
+# Where a row stands in a hot key: time slice, and cuts before it. Both are 0 for ordinary keys.
+_SLICE = ["cell", "cut"]
 
 
 def with_micros(packets: DataFrame) -> DataFrame:
@@ -82,45 +85,48 @@ def _boundaries(timeout_us: int) -> tuple[Column, Column]:
     return gap, F.col("prev_us").isNull() | F.col("prev_closes") | gap
 
 
-def _sequence_ordinary(df: DataFrame, timeout_us: int) -> DataFrame:
-    order = Window.partitionBy(*KEY).orderBy("us", "packet_id")
+def _sequenced(df: DataFrame, part: list[str], timeout_us: int, edges: DataFrame | None = None) -> DataFrame:
+    """Packets in order within ``part``; with ``edges``, continued from the slices before."""
+    order = Window.partitionBy(*part).orderBy("us", "packet_id")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    if edges is None:
+        carried = {"prev_us": F.lit(None), "prev_closes": F.lit(False), "more": F.lit(False)}
+        carried |= {"closes": zero, "gaps": zero, "segments": zero}
+    else:
+        df = df.join(edges, part, "left")
+        carried = {"prev_us": F.col("e_prev_us"), "prev_closes": F.coalesce("e_prev_closes", F.lit(False))}
+        carried |= {"more": F.coalesce("e_more", F.lit(False))}
+        carried |= {c: F.coalesce(f"e_{c}", zero) for c in ("closes", "gaps", "segments")}
+    first = F.lag("us").over(order).isNull()
     df = df.withColumns(
         {
-            "prev_us": F.lag("us").over(order),
-            "prev_closes": F.coalesce(F.lag("closes").over(order), F.lit(False)),
-            "key_ends": F.lead("us").over(order).isNull(),
-            "closes_before": F.coalesce(
-                F.sum(F.col("closes").cast("bigint")).over(before), F.lit(0).cast("bigint")
-            ),
+            "prev_us": F.coalesce(F.lag("us").over(order), carried["prev_us"]),
+            "prev_closes": F.when(first, carried["prev_closes"]).otherwise(F.lag("closes").over(order)),
+            "key_ends": F.lead("us").over(order).isNull() & ~carried["more"],
+            "closes_before": carried["closes"] + F.coalesce(F.sum(F.col("closes").cast("bigint")).over(before), zero),
         }
     )
     gap, starts = _boundaries(timeout_us)
-    return df.withColumns({"gap": gap, "starts": starts}).withColumns(
+    df = df.withColumns({"gap": gap, "starts": starts}).withColumns(
         {
-            "gaps_before": F.sum(F.col("gap").cast("bigint")).over(upto),
-            "segment": F.sum(F.col("starts").cast("bigint")).over(upto) - 1,
+            "gaps_before": carried["gaps"] + F.sum(F.col("gap").cast("bigint")).over(upto),
+            "segment": carried["segments"] + F.sum(F.col("starts").cast("bigint")).over(upto) - 1,
         }
     )
+    return df if edges is None else df.drop(*[c for c in edges.columns if c.startswith("e_")])
 
 
-def _slice_summaries(df: DataFrame, timeout_us: int) -> DataFrame:
-    """Per (key, slice): what the packets before the slice leave behind.
+def _chained(slices: DataFrame, timeout_us: int) -> DataFrame:
+    """What the slices of a key before each slice leave behind.
 
-    The grouping is algebraic, so the rows of a hot key are reduced where they are read. The
-    window sees one row per non-empty slice of a key, never the packets themselves.
+    The window sees one row per non-empty slice of a key, never the packets themselves.
     """
-    edges = df.groupBy(*KEY, "slice").agg(
-        F.min("us").alias("first_us"),
-        F.max(F.struct("us", "packet_id", "closes")).alias("last"),
-        F.sum(F.col("closes").cast("bigint")).alias("n_closes"),
-    )
-    order = Window.partitionBy(*KEY).orderBy("slice")
+    order = Window.partitionBy(*KEY).orderBy(*_SLICE)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     zero = F.lit(0).cast("bigint")
-    edges = edges.withColumns(
+    edges = slices.withColumns(
         {
             "e_prev_us": F.lag("last.us").over(order),
             "e_prev_closes": F.coalesce(F.lag("last.closes").over(order), F.lit(False)),
@@ -135,65 +141,51 @@ def _slice_summaries(df: DataFrame, timeout_us: int) -> DataFrame:
     edges = edges.withColumn("e_gap", gap.cast("bigint")).withColumn("e_starts", opens + inner)
     return edges.select(
         *KEY,
-        "slice",
+        *_SLICE,
         "e_prev_us",
         "e_prev_closes",
         "e_more",
         "e_closes",
-        F.sum("e_gap").over(upto).alias("e_gaps"),
+        F.coalesce(F.sum("e_gap").over(before), zero).alias("e_gaps"),
         F.coalesce(F.sum("e_starts").over(before), zero).alias("e_segments"),
     )
 
 
-def _sequence_hot(df: DataFrame, timeout_us: int, slice_us: int) -> DataFrame:
-    width = min(slice_us, timeout_us)
-    df = df.withColumn("slice", F.floor(F.col("us") / F.lit(width)).cast("bigint"))
-    df = df.join(_slice_summaries(df, timeout_us), [*KEY, "slice"])
-    order = Window.partitionBy(*KEY, "slice").orderBy("us", "packet_id")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
-    df = df.withColumns(
-        {
-            "prev_us": F.coalesce(F.lag("us").over(order), F.col("e_prev_us")),
-            "prev_closes": F.coalesce(F.lag("closes").over(order), F.col("e_prev_closes")),
-            "key_ends": F.lead("us").over(order).isNull() & ~F.col("e_more"),
-            "closes_before": F.col("e_closes")
-            + F.coalesce(F.sum(F.col("closes").cast("bigint")).over(before), zero),
-        }
-    )
-    gap, starts = _boundaries(timeout_us)
-    segment = F.col("e_segments") + F.sum(F.col("starts").cast("bigint")).over(upto) - 1
-    return (
-        df.withColumns({"gap": gap, "starts": starts, "gaps_before": F.col("e_gaps")})
-        .withColumn("segment", segment)
-        .drop("e_prev_us", "e_prev_closes", "e_more", "e_closes", "e_gaps", "e_segments")
-    )
-
-
 def sequence_packets(
     packets: DataFrame,
     timeout_s: float = S.FLOW_TIMEOUT_S,
     direction: str = "bidirectional",
     hot_rows: int | None = HOT_ROWS,
-    slice_s: float = SLICE_S,
-) -> tuple[DataFrame, DataFrame | None]:
-    """Packets with their place in the flow, as (ordinary keys, hot keys).
+    slice_s: float | None = None,
+) -> DataFrame:
+    """Packets with their place in the flow.
 
     Columns added: ``prev_us`` (packet before, same key), ``starts`` (first of its segment),
-    ``segment`` (from 0 within the key), ``closes_before``, ``gaps_before``, ``key_ends``.
+    ``segment`` (from 0 within the key), ``closes_before``, ``gaps_before``, ``key_ends``; and, if there are keys
+    with ``hot_rows`` rows, ``cell`` and ``cut``, the slice of such a key. ``hot_rows=None`` skips the search.
+    Slices are as wide as the timeout, or ``slice_s`` if that is less. Packets of a key with equal time and
+    ``packet_id`` (null included) cannot be told apart and stay in one slice.
+
+    The table is read once without hot keys beside the counting pass, and three times in all with some.
     """
     timeout_us = int(timeout_s * 1_000_000)
-    cold, hot = split_hot(keyed_packets(packets, direction), KEY, hot_rows)
-    ordinary = _sequence_ordinary(cold, timeout_us)
-    if hot is None:
-        return ordinary, None
-    return ordinary, _sequence_hot(hot, timeout_us, int(slice_s * 1_000_000))
+    width = timeout_us if slice_s is None else min(int(slice_s * 1_000_000), timeout_us)
+    df = keyed_packets(packets, direction)
+    cuts = None if hot_rows is None else heavy_keys(df, KEY, ["us", "packet_id"], hot_rows)
+    if cuts is None:
+        return _sequenced(df, KEY, timeout_us)
+    cell = F.when(F.col("cuts").isNull(), 0).otherwise(F.floor(F.col("us") / F.lit(width))).cast("bigint")
 
+    def placed(how: str) -> DataFrame:
+        return cuts.join(df, how).withColumns({"cell": cell, "cut": cuts.part()}).drop("cuts")
 
-def _both(parts: tuple[DataFrame, DataFrame | None], step) -> DataFrame:
-    ordinary, hot = parts
-    return step(ordinary) if hot is None else step(ordinary).unionByName(step(hot))
+    slices = placed("inner").groupBy(*KEY, *_SLICE).agg(
+        F.min("us").alias("first_us"),
+        F.max(F.struct("us", "packet_id", "closes")).alias("last"),
+        F.sum(F.col("closes").cast("bigint")).alias("n_closes"),
+    )
+    edges = checked_lookup(_chained(stored(slices, "slices"), timeout_us), "edges")
+    return _sequenced(placed("left"), [*KEY, *_SLICE], timeout_us, edges)
 
 
 def _endpoints(from_a: Column) -> list[Column]:
@@ -209,75 +201,53 @@ def _endpoints(from_a: Column) -> list[Column]:
 def inter_arrival(packets: DataFrame, **options) -> DataFrame:
     """Microseconds since the packet before in the same flow; null for the first one."""
     iat = F.when(~F.col("starts"), F.col("us") - F.col("prev_us")).alias("iat_us")
-    return _both(
-        sequence_packets(packets, **options),
-        lambda df: df.select("packet_id", *_endpoints(F.col("from_a")), "us", "segment", iat),
-    )
+    df = sequence_packets(packets, **options)
+    return df.select("packet_id", *_endpoints(F.col("from_a")), "us", "segment", iat)
 
 
 def segment_by_close(packets: DataFrame, **options) -> DataFrame:
     """Flow number counted by FIN and RST packets alone."""
-    return _both(
-        sequence_packets(packets, **options),
-        lambda df: df.select(
-            "packet_id", *_endpoints(F.col("from_a")), "us", F.col("closes_before").alias("segment")
-        ),
-    )
+    df = sequence_packets(packets, **options)
+    return df.select("packet_id", *_endpoints(F.col("from_a")), "us", F.col("closes_before").alias("segment"))
 
 
 def segment_by_gap(packets: DataFrame, **options) -> DataFrame:
     """Flow number counted by silences longer than the timeout alone."""
-    return _both(
-        sequence_packets(packets, **options),
-        lambda df: df.select(
-            "packet_id", *_endpoints(F.col("from_a")), "us", F.col("gaps_before").alias("segment")
-        ),
-    )
+    df = sequence_packets(packets, **options)
+    return df.select("packet_id", *_endpoints(F.col("from_a")), "us", F.col("gaps_before").alias("segment"))
 
 
 def flows_by_gap(packets: DataFrame, **options) -> DataFrame:
     """Timeout-only flows: FIN and RST do not end them, only a silence longer than the timeout."""
-
-    def grouped(df: DataFrame) -> DataFrame:
-        return df.groupBy(*KEY, F.col("gaps_before").alias("segment")).agg(
-            F.min("us").alias("start_us"),
-            F.max("us").alias("last_us"),
-            F.count(F.lit(1)).alias("packets"),
-            F.sum("size").alias("bytes"),
-        )
-
-    return _both(sequence_packets(packets, **options), grouped)
+    df = sequence_packets(packets, **options)
+    return df.groupBy(*KEY, F.col("gaps_before").alias("segment")).agg(
+        F.min("us").alias("start_us"),
+        F.max("us").alias("last_us"),
+        F.count(F.lit(1)).alias("packets"),
+        F.sum("size").alias("bytes"),
+    )
 
 
 def packet_direction(packets: DataFrame, **options) -> DataFrame:
     """``forward``: sent by the endpoint that sent the first packet of the flow."""
-    first_sender = F.when(F.col("starts"), F.col("from_a"))
-
-    def picked(df: DataFrame) -> DataFrame:
-        forward = (F.col("from_a") == F.col("first_from_a")).alias("forward")
-        return df.select("packet_id", *_endpoints(F.col("from_a")), "us", "segment", forward)
-
-    def latest_sender(part: list[str]) -> Column:
-        order = Window.partitionBy(*part).orderBy("us", "packet_id")
-        upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return F.last(first_sender, ignorenulls=True).over(upto)
-
-    ordinary, hot = sequence_packets(packets, **options)
-    done = picked(ordinary.withColumn("first_from_a", latest_sender(KEY)))
-    if hot is None:
-        return done
-    # The sender of the flow that is open when a slice begins is chained from slice to slice.
-    newest = F.max(F.when(F.col("starts"), F.struct("us", "packet_id", "from_a")))["from_a"]
-    before = Window.partitionBy(*KEY).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    open_sender = (
-        hot.groupBy(*KEY, "slice")
-        .agg(newest.alias("newest"))
-        .select(*KEY, "slice", F.last("newest", ignorenulls=True).over(before).alias("open_sender"))
-    )
-    chained = hot.join(open_sender, [*KEY, "slice"]).withColumn(
-        "first_from_a", F.coalesce(latest_sender([*KEY, "slice"]), F.col("open_sender"))
-    )
-    return done.unionByName(picked(chained))
+    df = sequence_packets(packets, **options)
+    sliced = "cell" in df.columns
+    part = [*KEY, *_SLICE] if sliced else KEY
+    order = Window.partitionBy(*part).orderBy("us", "packet_id")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first_from_a = F.last(F.when(F.col("starts"), F.col("from_a")), ignorenulls=True).over(upto)
+    if sliced:
+        # The sender of the flow that is open when a slice begins is chained from slice to slice.
+        newest = F.max(F.when(F.col("starts"), F.struct("us", "packet_id", "from_a")))["from_a"]
+        before = Window.partitionBy(*KEY).orderBy(*_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        slices = df.where((F.col("cell") != 0) | (F.col("cut") != 0) | F.col("starts")).groupBy(*part).agg(newest.alias("newest"))
+        chained = slices.select(*part, F.last("newest", ignorenulls=True).over(before).alias("open_sender"))
+        chained = chained.where(F.col("open_sender").isNotNull())
+        df = df.join(checked_lookup(chained, "senders"), part, "left")
+        first_from_a = F.coalesce(first_from_a, F.col("open_sender"))
+    df = df.withColumn("first_from_a", first_from_a)
+    forward = (F.col("from_a") == F.col("first_from_a")).alias("forward")
+    return df.select("packet_id", *_endpoints(F.col("from_a")), "us", "segment", forward)
 
 
 def _aggregate_flows(df: DataFrame) -> DataFrame:
@@ -355,7 +325,7 @@ def flow_features(packets: DataFrame, **options) -> DataFrame:
     ``close_reason``: ``fin_rst``, ``timeout`` or ``open`` (still running at the end of the input).
     """
     columns = ["flow_id", *S.FIVE_TUPLE, "segment", "start_us", "last_us", "close_reason"]
-    return _both(sequence_packets(packets, **options), _aggregate_flows).select(*columns, *FEATURES)
+    return _aggregate_flows(sequence_packets(packets, **options)).select(*columns, *FEATURES)
 
 
 def assemble_features(flows: DataFrame, output: str = "features") -> DataFrame:

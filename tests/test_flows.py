@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowlake import schema as S
+from flowlake.functions import hotkeys
 from flowlake.operators import flows as O
 from flowlake.plans import tables as T
 
@@ -160,15 +161,47 @@ def test_packets_and_bytes_are_kept(spark, sf_dir):
 
 
 def test_hot_rows_are_spread_over_slices(spark):
-    """One conversation with all the rows is not sent to one task."""
-    rows = [packet(i, i * S1 // 10) for i in range(2000)]
+    """One conversation with all the rows, all in one second or one microsecond, is not sent to one task."""
+    for step in (S1 // 10, 100, 0):
+        rows = [packet(i, i * step) for i in range(2000)]
+        df = spark.createDataFrame(rows, COLUMNS).repartition(5)
+        sizes = [r["count"] for r in O.sequence_packets(df, hot_rows=100).groupBy("cell", "cut").count().collect()]
+        assert len(sizes) >= 20 and max(sizes) <= 150
+        (flow,) = O.flow_features(df, hot_rows=100).collect()
+        assert flow.fwd_packets == 2000 and flow.flow_duration == 1999.0 * step
+        assert flow.iat_mean == step and flow.iat_std == pytest.approx(0, abs=1e-3)
+
+
+def test_slices_that_only_the_first_flow_reaches(spark):
+    """A flow of the other side that closes in one slice leaves its sender to none of the next."""
+    rows = [packet(i, i, reply=i % 7 == 3, fin=i % 11 == 5, rst=i % 23 == 9) for i in range(500)]
     df = spark.createDataFrame(rows, COLUMNS)
-    ordinary, hot = O.sequence_packets(df, hot_rows=1000)
-    assert ordinary.count() == 0 and hot.count() == 2000
-    assert hot.select("slice").distinct().count() == 200
-    (flow,) = O.flow_features(df, hot_rows=1000).collect()
-    assert flow.fwd_packets == 2000 and flow.flow_duration == 199_900_000.0
-    assert flow.iat_mean == 100_000.0 and flow.iat_std == pytest.approx(0, abs=1e-3)
+    plain = bag(O.packet_direction(df, hot_rows=None))
+    for limit in (0, 3, 40):
+        assert bag(O.packet_direction(df, hot_rows=limit)) == plain
+
+
+def test_all_hot_keys_are_found(spark):
+    """5,000 keys at the limit among as many below half of it; also keys with null ids and repeated packets."""
+    keys = [(k, r) for k in range(10_000) for r in range(40 if k % 2 else 19)]
+    df = spark.createDataFrame(keys, "k int, r int").repartition(4)
+    cuts = hotkeys.heavy_keys(df, ["k"], ["r"], 40)
+    found = {r.k: len(r.cuts) for r in cuts.table.collect()}
+    assert set(found) == {k for k in range(10_000) if k % 2}
+    parts = cuts.join(df, "left").groupBy("k", cuts.part().alias("part")).count()
+    assert parts.where("k % 2 = 0").agg({"part": "max"}).first()[0] == 0
+    assert hotkeys.heavy_keys(df.limit(0), ["k"], ["r"], 40) is None
+    same = spark.createDataFrame([(1, None)] * 90 + [(1, 5)] * 90, "k int, r int")
+    cuts = hotkeys.heavy_keys(same, ["k"], ["r"], 10)
+    assert sorted(r["count"] for r in cuts.join(same, "left").groupBy(cuts.part()).count().collect()) == [90, 90]
+
+
+def test_hot_keys_take_one_wide_shuffle(spark, sf_dir):
+    """Packets are shuffled once, hot or not; what follows are partial sums of flows."""
+    df = O.flow_features(T.packets(spark, sf_dir), timeout_s=T.PACKET_TIMEOUT_S, hot_rows=20)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2, plan
+    assert plan.count("FileScan") == plan.count("FileScan parquet") and plan.count("events") <= 2, plan
 
 
 def test_one_shuffle_and_one_sort(spark, sf_dir):
