@@ -28,6 +28,7 @@ from flowlake.streaming import stats as Q
 _DELAY_S = 86_400
 _DELAY = f"{_DELAY_S} seconds"
 _SLICE_S = 3_600
+_LANES = 4
 _TICK_S = 21_600
 _THIRDS = ["2024-01-11", "2024-01-21"]
 
@@ -75,7 +76,7 @@ def stream_flows(spark, sf_dir):
     flows = _appended(
         spark,
         T.packets(spark, sf_dir),
-        lambda p: W.stream_flows(p, _DELAY, T.PACKET_TIMEOUT_S, slice_s=_SLICE_S),
+        lambda p: W.stream_flows(p, _DELAY, T.PACKET_TIMEOUT_S, slice_s=_SLICE_S, lanes=_LANES),
     )
     return CF.rounded_flows(flows)
 
@@ -120,7 +121,7 @@ def monitor_stream(spark, sf_dir):
     alerts = _appended(
         spark,
         T.packets(spark, sf_dir),
-        lambda p: N.monitor(p, model, _DELAY, timeout_s=T.PACKET_TIMEOUT_S, slice_s=_SLICE_S),
+        lambda p: N.monitor(p, model, _DELAY, timeout_s=T.PACKET_TIMEOUT_S, slice_s=_SLICE_S, lanes=_LANES),
     )
     return alerts.select("flow_id", "start_us", "close_reason", "p_attack")
 
