@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowlake import schema as S
 from flowlake.functions import quantiles as Q
 from flowlake.functions.ranks import global_row_number
+from flowlake.runtime import stored
 
 PERCENTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 
@@ -33,9 +34,18 @@ def throughput(df: DataFrame, group: list[str], value: str = "latency_ms") -> Da
 
 def worker_summaries(df: DataFrame, run: list[str], worker: str = "worker_id") -> DataFrame:
     """What each worker of a run reports."""
-    keys = [*run, worker]
-    totals = throughput(df, keys).select(*keys, "elapsed_s")
-    return latency_summary(df, group=keys).join(totals, keys).withColumnRenamed("n", "predictions")
+    summary = Q.distribution(df, "latency_ms", PERCENTILES, [*run, worker], total="elapsed_s")
+    return summary.withColumn("elapsed_s", F.col("elapsed_s") / 1000.0).withColumnRenamed("n", "predictions")
+
+
+def worker_sketches(df: DataFrame, run: list[str], worker: str = "worker_id") -> DataFrame:
+    """What each worker of a run reports, with a sketch in place of percentiles: mergeable without the rows."""
+    return Q.sketches(df, "latency_ms", [*run, worker])
+
+
+def merge_worker_sketches(sketches: DataFrame, run: list[str]) -> DataFrame:
+    """Roll sketch rows up to the run: percentiles of all its predictions within the sketch's rank error."""
+    return Q.sketched_distribution(Q.merged_sketches(sketches, run), PERCENTILES)
 
 
 def merge_worker_summaries(summaries: DataFrame, run: list[str]) -> DataFrame:
@@ -62,7 +72,8 @@ def average_runs(runs: DataFrame, config: str, metrics: list[str]) -> DataFrame:
     speedup of the first metric over the smallest configuration."""
     means = [F.avg(m).alias(f"{m}_mean") for m in metrics]
     spreads = [F.coalesce(F.stddev_pop(m), F.lit(0.0)).alias(f"{m}_std") for m in metrics]
-    grouped = runs.groupBy(config).agg(*means, *spreads)
+    # One row per configuration, stored: the runs are not worked out again for the base.
+    grouped = stored(runs.groupBy(config).agg(*means, *spreads), "runs")
     base = grouped.agg(F.min_by(f"{metrics[0]}_mean", config)).scalar()
     return grouped.withColumn("speedup", _over(F.col(f"{metrics[0]}_mean"), base))
 
@@ -75,8 +86,9 @@ def speedup_vs_baseline(results: DataFrame, is_baseline: Column, workers: str |
     """Throughput against that of the baseline rows taken together; per-worker efficiency where
     ``workers`` is given.
 
-    The baseline is taken from the same aggregated rows, so the telemetry is not read again for it.
+    The aggregated rows are stored, so the telemetry is not read again for the baseline.
     """
+    results = stored(results, "results")
     of_base = lambda c: F.sum(F.when(is_baseline, F.col(c)))
     base = results.agg(of_base("predictions") / F.greatest(of_base("elapsed_s"), F.lit(0.001))).scalar()
     df = results.withColumn("speedup", _over(F.col("throughput"), base))

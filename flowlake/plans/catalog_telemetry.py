@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from flowlake.functions import quantiles as Q
 from flowlake.operators import flows as O
 from flowlake.operators import telemetry as M
 from flowlake.plans import tables as T
@@ -30,6 +31,24 @@ def merge_worker_summaries(spark, sf_dir):
     return _rounded(M.merge_worker_summaries(workers, ["mode"]), [*_SUMMARY, "elapsed_s", "throughput"])
 
 
+def merge_worker_sketches(spark, sf_dir):
+    """Percentiles from merged sketches of the workers, and whether their ranks are within the stated error."""
+    rows = T.telemetry(spark, sf_dir)
+    sketches = stored(M.worker_sketches(rows, ["mode"]), "sketches")
+    merged = M.merge_worker_sketches(sketches, ["mode"])
+    joined = rows.join(F.broadcast(merged.select("mode", *M.PERCENTILES)), "mode")
+    ranks = joined.groupBy("mode").agg(
+        *[F.avg((F.col("latency_ms") < F.col(p)).cast("double")).alias(f"{p}_below") for p in M.PERCENTILES],
+        *[F.avg((F.col("latency_ms") <= F.col(p)).cast("double")).alias(f"{p}_upto") for p in M.PERCENTILES],
+    )
+    within = [
+        ((F.col(f"{p}_below") <= share + Q.RANK_ERROR) & (F.col(f"{p}_upto") >= share - Q.RANK_ERROR)).alias(f"{p}_within")
+        for p, share in M.PERCENTILES.items()
+    ]
+    out = merged.join(ranks, "mode").select("mode", "n", "avg", "min", "max", *within)
+    return _rounded(out, ["avg", "min", "max"])
+
+
 def average_runs(spark, sf_dir):
     """Batch sizes, repeated once per worker."""
     runs = M.throughput(T.telemetry(spark, sf_dir), ["batch_size", "worker_id"])
@@ -90,7 +109,7 @@ def contiguous_slices(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in [
-        latency_summary, latency_summary_overall, merge_worker_summaries, average_runs,
+        latency_summary, latency_summary_overall, merge_worker_summaries, merge_worker_sketches, average_runs,
         speedup_vs_baseline, mode_rating, device_speedup, config_union_compare, best_config,
         count_window_latency, contiguous_slices,
     ]
@@ -120,6 +139,10 @@ by_workers AS (
   FROM r, base)"""
 
 ORACLES = {
+    "merge_worker_sketches": f"""WITH {T.TELEMETRY_SQL}
+SELECT mode, count(*) AS n, round(avg(latency_ms), 6) AS avg, round(min(latency_ms), 6) AS min,
+       round(max(latency_ms), 6) AS max, TRUE AS p50_within, TRUE AS p95_within, TRUE AS p99_within
+FROM telemetry GROUP BY mode""",
     "latency_summary": f"""WITH {T.TELEMETRY_SQL},
 s AS (SELECT mode, device, {_stats('latency_ms')} FROM telemetry GROUP BY 1, 2)
 SELECT mode, device, n, {_round(_SUMMARY)} FROM s""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _FOLDER = "flowlake"
@@ -44,24 +44,37 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# A side that has been counted and is no longer than this is sent to every executor.
-BROADCAST_ROWS = 1_000_000
+# A side that has been measured and is no larger than this is sent to every executor.
+BROADCAST_BYTES = 64 << 20
 # A lookup no longer than this is held by the driver as literal rows.
 LITERAL_ROWS = 10_000
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row in memory: 16 per column, and the length of what is not of fixed size."""
+    total = F.lit(16 * max(len(df.columns), 1)).cast("bigint")
+    for field in df.schema:
+        kind, col = field.dataType.typeName(), F.col(f"`{field.name}`")
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(col), F.lit(0))
+        elif kind in ("array", "map", "struct", "variant"):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
+    return total
+
+
 def checked_lookup(df: DataFrame, name: str) -> DataFrame:
     """A lookup table whose size is looked at before it is joined.
 
-    Up to ``LITERAL_ROWS`` it becomes literal rows. A longer one is written once and counted: it is
-    broadcast up to ``BROADCAST_ROWS`` and joined by shuffle beyond, where adaptive execution splits
-    skewed keys. Deciding before the join is planned spares the shuffle of the big side.
+    A few rows become literals and are broadcast; a longer table is stored, measured, and broadcast only if its
+    rows take at most ``BROADCAST_BYTES``. Otherwise it is returned without a hint and the join shuffles both
+    sides, which adaptive execution balances.
     """
     rows = df.limit(LITERAL_ROWS + 1).collect()
     if len(rows) <= LITERAL_ROWS:
         return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
     table = stored(df, name)
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    size = table.agg(F.sum(row_bytes(table))).first()[0]
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
 def release_scratch(spark: SparkSession) -> bool:

@@ -77,7 +77,7 @@ def test_lookups_are_checked(spark, monkeypatch):
     assert "strategy=broadcast" in plan and small.count() == 5
     monkeypatch.setattr(runtime, "LITERAL_ROWS", 3)
     assert runtime.checked_lookup(spark.range(5), "t").count() == 5
-    monkeypatch.setattr(runtime, "BROADCAST_ROWS", 4)
+    monkeypatch.setattr(runtime, "BROADCAST_BYTES", 70)
     large = runtime.checked_lookup(spark.range(5), "t")
     plan = spark.range(100).join(large, "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in plan and large.count() == 5

@@ -21,9 +21,15 @@ P = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
         [7.0] * 50 + [8.0],
         [random.Random(1).lognormvariate(0, 3) for _ in range(700)],
         [1 + random.Random(2).random() * 1e-6 * i for i in range(300)],
+        [random.Random(i).random() / 1000 for i in range(500)],
+        [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 1.7e308, -1.7e308, 1.0, 2.0, 4.0, 0.1, -0.1],
+        [2.0**k for k in range(-60, 60)] + [-(2.0**k) * (1 - 2**-53) for k in range(-60, 60)],
     ],
 )
-def test_percentiles_match_linear_interpolation(spark, values):
+@pytest.mark.parametrize("window_rows", [Q.WINDOW_ROWS, 3])
+def test_percentiles_match_linear_interpolation(spark, values, window_rows, monkeypatch):
+    """Values of one bucket in one window, and found digit by digit."""
+    monkeypatch.setattr(Q, "WINDOW_ROWS", window_rows)
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
     row = Q.distribution(df, "x", P).first()
     for name, p in P.items():
@@ -42,6 +48,50 @@ def test_percentiles_by_group_with_null_group(spark):
         assert got[g].avg == pytest.approx(np.mean(values)) and got[g].n == len(values)
 
 
+def test_digits_order_like_the_values(spark):
+    rng = random.Random(8)
+    values = sorted({rng.uniform(-1, 1) * 10.0 ** rng.randint(-320, 300) for _ in range(2_000)} | {0.0, 1.0, float("inf"), -float("inf")})
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    rows = {r.x: (r["__d0"], r["__d1"], r["__d2"], r["__d3"]) for r in Q._digits(df, "x", more=True).collect()}
+    digits = [rows[v] for v in values]
+    assert digits == sorted(set(digits))
+
+
+def test_no_window_sees_a_whole_bucket(spark, monkeypatch):
+    """All values between 0 and 0.001 in one group: the windows behind a border bucket stay below the bound."""
+    df = spark.range(60_000).select((F.rand(1) / 1000).alias("x"))
+    values = sorted(r.x for r in df.collect())
+    monkeypatch.setattr(Q, "WINDOW_ROWS", 50)
+    seen, narrowed = [], Q._narrowed
+
+    def watched(found, part, digit, ranks):
+        seen.append((digit, found.groupBy(*part, digit).count().groupBy(*part).count().agg({"count": "max"}).first()[0]))
+        return narrowed(found, part, digit, ranks)
+
+    monkeypatch.setattr(Q, "_narrowed", watched)
+    row = Q.distribution(df, "x", P).first()
+    assert [d for d, _ in seen] == ["__d1", "__d2", "__d3"]
+    assert seen[0][1] > 50 and seen[1][1] <= 2 and seen[2][1] <= 2
+    for name, p in P.items():
+        assert row[name] == pytest.approx(float(np.percentile(values, p * 100)), rel=1e-12)
+
+
+def test_sketches_merge_without_the_rows(spark):
+    rng = random.Random(4)
+    data = [(b, k, rng.lognormvariate(0, 2)) for b in range(6) for k in ("a", "b") for _ in range(4_000)] + [(9, "c", None)]
+    df = spark.createDataFrame(data, "batch int, k string, x double")
+    parts = Q.sketches(df, "x", ["batch", "k"]).cache()
+    got = {r.k: r for r in Q.sketched_distribution(Q.merged_sketches(parts, ["k"]), P).collect()}
+    for k in ("a", "b"):
+        values = np.sort([x for _, g, x in data if g == k])
+        assert (got[k].n, got[k].min, got[k].max) == (len(values), values[0], values[-1])
+        assert got[k].avg == pytest.approx(values.mean())
+        for name, p in P.items():
+            assert abs(np.searchsorted(values, got[k][name], "right") / len(values) - p) <= 2 * Q.RANK_ERROR
+    assert set(got["c"][1:]) == {0, 0.0}
+    assert set(Q.sketched_distribution(Q.merged_sketches(parts.where("k = 'z'")), P).first()) == {0, 0.0}
+
+
 def test_empty_summary_is_zeros(spark):
     df = spark.createDataFrame([], "latency_ms double")
     assert set(M.latency_summary(df).first()) == {0, 0.0}
