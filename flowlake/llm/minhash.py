@@ -333,14 +333,24 @@ class NearDuplicates:
         named = crowd.where("size > 2").join(groups.withColumnRenamed("node", "cid"), "cid", "left")
         named = named.withColumn("comp", F.coalesce("component", "cid"))
         open_bands = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y")
-        named = self.scratch.store(named.where("cid != lead").join(open_bands.select("band"), "band").drop("lead", "n_l", "component"), "open")
+        named = self.scratch.store(named.where("cid != lead").join(open_bands.select("band"), "band").drop("lead", "n_l", "component", "size"), "open")
         kept = named.join(self.classes.select("cid", "sig"), "cid")
         if not nearest:
             sets = self._sets(named.select("cid").distinct())
             kept = kept.join(sets, "cid") if sets is not None else kept.withColumn("hashes", F.array().cast("array<long>"))
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-        sides = kept.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        # Rows of a band's largest component are never compared with each other: they lie in chunks behind the blocks
+        # of the others and are copied for these blocks only, so copies grow with the rows that are left outside it.
+        counts = named.groupBy("band", "comp").agg(F.count("*").alias("c"))
+        bands = counts.groupBy("band").agg(F.max(F.struct("c", "comp")).alias("largest"), F.sum("c").alias("size"))
+        bands = bands.where(F.col("size") > F.col("largest.c")).select(
+            "band", F.col("largest.comp").alias("big"), F.ceil(F.col("largest.c") / BLOCK).cast("int").alias("chunks"),
+            F.ceil((F.col("size") - F.col("largest.c")) / BLOCK).cast("int").alias("blocks"),
+        )
+        kept = kept.join(self.scratch.store(bands, "open-bands"), "band")
+        is_big = F.col("comp") == F.col("big")
+        own = F.when(is_big, F.col("blocks") + F.pmod(F.xxhash64("cid"), "chunks")).otherwise(F.pmod(F.xxhash64("cid"), "blocks")).cast("int")
+        last = F.col("blocks") - 1 + F.when(is_big, 0).otherwise(F.col("chunks"))
+        sides = kept.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
         sides = sides.select(
             "band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
             (F.col("own") > F.col("other")).cast("int").alias("side"), "cid", "comp", "n", "sig", *["hashes"][nearest:],
