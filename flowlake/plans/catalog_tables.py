@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from flowlake.operators import cleaning as C
 from flowlake.operators import sampling as P
 from flowlake.operators import scaling as Z
+from flowlake.functions.ranks import global_row_number
 from flowlake.plans import tables as T
 from flowlake.runtime import scratch_path
 from flowlake.sources import csv_flows as R
@@ -39,8 +40,15 @@ def _label_text():
 
 def _write_lines(df, line, header, path):
     """CSV lines as they are, with the header on top of every part file."""
-    options = {"header": True, "sep": "\x01", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.select(line.alias(header)).write.options(**options).csv(path)
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    df.select(F.when(first, F.concat(F.lit(header + "\n"), line)).otherwise(line)).write.text(path)
+
+
+def _remark(key):
+    """A column that no model uses: on some lines a quoted text with doubled quotes, a comma and line breaks."""
+    odd = F.concat(F.lit('"said ""no"", ""'), key.cast("string"), F.lit('"""'))
+    broken = F.concat(F.lit('"first line, ""second"'), F.lit('" line\n'), key.cast("string"), F.lit('\n\n"'))
+    return F.when(key % 40 == 9, broken).when(key % 40 == 10, odd).otherwise(key.cast("string"))
 
 
 def _joined(*cols):
@@ -48,13 +56,13 @@ def _joined(*cols):
 
 
 def _full_line():
-    """All columns; some lines are too long and some too short."""
+    """All columns; some lines are too long, some too short, some records go over several lines."""
     c = F.col
     full = _joined(
-        c("l_partkey"), c("l_quantity").cast("int"), _odd_number(), c("l_linenumber"), c("l_linenumber"),
+        c("l_partkey"), c("l_quantity").cast("int"), _odd_number(), _remark(c("l_orderkey")), c("l_linenumber"),
         c("l_suppkey"), _label_text(),
     )
-    too_long = F.concat(full, F.lit(",surplus"))
+    too_long = F.concat(full, F.lit(',"surplus, quoted"'))
     too_short = _joined(c("l_partkey"), c("l_quantity").cast("int"))
     return F.when(c("l_orderkey") % 40 == 7, too_long).when(c("l_orderkey") % 40 == 8, too_short).otherwise(full)
 
@@ -90,8 +98,11 @@ def _write_full_files(spark, sf_dir):
     folder = scratch_path(spark, "labelled-files")
     rows = T.flows_labelled(spark, sf_dir)
     c = F.col
-    line = _joined(c("l_partkey"), c("l_linenumber"), _odd_number(), c("l_suppkey"), _label_text())
-    header = "Flow Duration,Total Fwd Packets,Flow Bytes/s,Destination Port,Label"
+    line = _joined(
+        c("l_partkey"), _remark(c("l_orderkey")), c("l_linenumber"), _odd_number(), c("l_suppkey"), _label_text()
+    )
+    line = F.when(c("l_orderkey") % 40 == 7, F.concat(line, F.lit(",surplus"))).otherwise(line)
+    header = "Flow Duration,Remark,Total Fwd Packets,Flow Bytes/s,Destination Port,Label"
     for flag in ["A", "N", "R"]:
         _write_lines(rows.where(c("source_file") == flag), line, header, f"{folder}/{flag}.csv")
     for name in ["unlabelled.csv", R.CACHE_FILE]:
@@ -115,7 +126,8 @@ def read_mixed_csv(spark, sf_dir):
     path = scratch_path(spark, "mixed")
     items = T.flows_labelled(spark, sf_dir)
     c = F.col
-    service = F.when(c("l_partkey") % 9 == 0, "").otherwise(F.concat(F.lit("svc-"), c("l_suppkey") % 5))
+    service = F.concat(F.lit('"svc-""x"",\n'), c("l_suppkey") % 5, F.lit('"'))
+    service = F.when(c("l_partkey") % 9 == 0, "").otherwise(service)
     line = _joined(
         c("l_orderkey"), F.lit("10.0.0.1"), F.lit("10.0.0.2"), c("source_file"), service, c("l_linenumber"),
         _odd_number(), c("label"), (c("label") != " BENIGN ").cast("int"),
@@ -224,7 +236,10 @@ def stratified_split(spark, sf_dir):
 
 
 def seeded_shuffle(spark, sf_dir):
-    return P.seeded_positions(_labelled(spark, sf_dir).select(*T.LABELLED_ID), T.LABELLED_ID)
+    """The shuffled rows, numbered as they come: in order of partition, then of their place in it."""
+    shuffled = P.seeded_shuffle(_labelled(spark, sf_dir).select(*T.LABELLED_ID), T.LABELLED_ID)
+    placed = shuffled.withColumn("at", F.monotonically_increasing_id())
+    return global_row_number(placed, [F.col("at")], "position").drop("at")
 
 
 def label_distribution(spark, sf_dir):
@@ -286,11 +301,11 @@ _SAMPLED_TEXT = [
 ]
 
 
-def _sampled(order: str) -> str:
+def _sampled(order: str, where: str = "TRUE") -> str:
     return f"""
 sized AS (SELECT *, count(*) OVER (PARTITION BY source_file) AS n_file,
                  count(*) OVER (PARTITION BY source_file, label) AS n_label,
-                 row_number() OVER (PARTITION BY source_file, label ORDER BY {order}) AS rn FROM flows_labelled),
+                 row_number() OVER (PARTITION BY source_file, label ORDER BY {order}) AS rn FROM flows_labelled WHERE {where}),
 sampled AS (SELECT * FROM sized WHERE n_file <= {_PER_SOURCE}
             OR rn <= greatest(1, floor({_PER_SOURCE} * n_label / n_file)))"""
 
@@ -309,7 +324,7 @@ SELECT l_partkey::DOUBLE AS flow_duration, floor(l_quantity)::DOUBLE AS fwd_pack
        price_cents::DOUBLE AS flow_bytes_s, l_suppkey::DOUBLE AS dst_port, {_ATTACK}::INT AS label,
        source_file || '.csv' AS source_file
 FROM flows_labelled WHERE source_file <> 'R' AND {_GOOD} AND {_WHOLE_LINES}""",
-    "read_flow_csv_sampled": f"""WITH {_L}, {_sampled(_digest(_SAMPLED_TEXT))}
+    "read_flow_csv_sampled": f"""WITH {_L}, {_sampled(_digest(_SAMPLED_TEXT), "l_orderkey % 40 <> 7")}
 SELECT l_partkey::DOUBLE AS flow_duration, l_linenumber::DOUBLE AS fwd_packets,
        price_cents::DOUBLE AS flow_bytes_s, l_suppkey::DOUBLE AS dst_port, {_ATTACK}::INT AS label,
        trim(label) AS label_text, source_file || '.csv' AS source_file
@@ -318,9 +333,9 @@ FROM sampled WHERE {_GOOD}""",
 SELECT l_partkey::DOUBLE AS flow_duration, l_linenumber::DOUBLE AS fwd_packets,
        price_cents::DOUBLE AS flow_bytes_s, l_suppkey::DOUBLE AS dst_port, {_ATTACK}::INT AS label,
        trim(label) AS label_text, source_file || '.csv' AS source_file
-FROM flows_labelled WHERE {_GOOD}""",
+FROM flows_labelled WHERE {_GOOD} AND l_orderkey % 40 <> 7""",
     "read_mixed_csv": f"""WITH {_L},
-t AS (SELECT *, CASE WHEN l_partkey % 9 = 0 THEN 'nan' ELSE 'svc-' || (l_suppkey % 5) END AS service
+t AS (SELECT *, CASE WHEN l_partkey % 9 = 0 THEN 'nan' ELSE 'svc-"x",' || chr(10) || (l_suppkey % 5) END AS service
       FROM flows_labelled),
 coded AS (
   SELECT (dense_rank() OVER (ORDER BY source_file) - 1)::INT AS proto,

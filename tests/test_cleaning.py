@@ -1,5 +1,7 @@
 """Reading and cleaning labelled files: labels, odd numbers, bad lines, encodings, categories."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +170,36 @@ def test_missing_features_are_reported(spark):
     assert kept.columns == ["Flow Duration", "Label"] and len(missing) == len(S.CANONICAL_FEATURES) - 1
     with pytest.raises(ValueError):
         C.resolve_label_column(spark.range(1))
+
+
+def test_line_breaks_in_quotes_across_splits(spark, tmp_path):
+    """Records over several lines, cut by splits of a few bytes, also inside a record longer than a split."""
+    rng = random.Random(3)
+    want, lines = [], ["Flow Duration,Note,Label"]
+    for i in range(300):
+        note = "".join(rng.choice(["a", ",", '"', "\n", "\n\n", " ", "é", "x" * 40]) for _ in range(rng.randint(0, 12)))
+        note = rng.choice([note, "y" * 700 + "\n" + note, "plain", 'in"ner', "é\n" * 60])
+        odd = any(x in note for x in ',"\n') and note != 'in"ner'
+        quoted = '"' + note.replace('"', '""') + '"' if odd else note
+        label = rng.choice(["BENIGN", "DDoS", '"a\nb"'])
+        lines.append(f"{i},{quoted},{label}")
+        want.append((float(i), int(label != "BENIGN")))
+    write(tmp_path, "a.csv", "\n".join(lines) + "\n")
+    write(tmp_path, "b.csv", "Flow Duration,Note,Label\n1000,plain,BENIGN\n\n1001,x,Bot\n")
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    try:
+        for size in (before, "400", "90"):
+            spark.conf.set(name, size)
+            got = rows(R.read_flow_csv_dir(spark, str(tmp_path)), "flow_duration", "label")
+            assert sorted(got) == sorted([*want, (1000.0, 0), (1001.0, 1)]), size
+        assert len(R._broken(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])) == 1
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_quote_opens_a_field_at_its_start_only():
+    ends = R._line_ends()
+    cases = [(b'a,"b', False, True), (b'a,b"c,d', False, False), (b'"a""b"', False, False), (b'x""y', True, True),
+             (b'x",y,"z', True, True), (b'x",y"z', True, False), (b'"a""', False, True), (b'",', True, False)]
+    assert [ends(line, inside) for line, inside, _ in cases] == [end for *_, end in cases]
