@@ -24,6 +24,7 @@ from flowlake.streaming import flows as W
 from flowlake.streaming import run
 from flowlake.streaming import sources as R
 from flowlake.streaming import stats as Q
+from flowlake.streaming.ledger import Ledger
 
 _DELAY_S = 86_400
 _DELAY = f"{_DELAY_S} seconds"
@@ -133,7 +134,7 @@ def alert_sink(spark, sf_dir):
         T.scored(spark, sf_dir),
         lambda s, checkpoint: A.alert_sink(soc.alert_projection(soc.alert_filter(s)), out, checkpoint),
     )
-    stored = spark.read.parquet(out).drop("batch_id")
+    stored = Ledger(spark, out).table().drop("batch_id")
     return stored.withColumn("line", A.log_line(F.col("confidence") / 100))
 
 
@@ -147,12 +148,21 @@ def stats_snapshot_sink(spark, sf_dir):
 
 def stream_running_stats(spark, sf_dir):
     """The totals after each third of the month."""
-    out = scratch_path(spark, "snapshots")
-    _replay(spark, T.scored(spark, sf_dir), lambda s, checkpoint: Q.stats_snapshots(s, out, checkpoint=checkpoint))
+    out, history = scratch_path(spark, "snapshots"), scratch_path(spark, "history")
     cols = ["batch_id", "total_flows", "total_alerts", "critical", "medium", "low", "elapsed_s", "detection_rate"]
-    return spark.read.parquet(out).select(*cols).withColumns(
-        {c: F.round(c, 6) for c in ["elapsed_s", "detection_rate"]}
-    )
+
+    class Kept:
+        """The snapshot of a third is kept before the next one replaces it."""
+
+        def __init__(self, query):
+            self.query = query
+
+        def awaitTermination(self):
+            self.query.awaitTermination()
+            Ledger(spark, out).table().select(cols).write.mode("append").parquet(history)
+
+    _replay(spark, T.scored(spark, sf_dir), lambda s, checkpoint: Kept(Q.stats_snapshots(s, out, checkpoint=checkpoint)))
+    return spark.read.parquet(history).withColumns({c: F.round(c, 6) for c in ["elapsed_s", "detection_rate"]})
 
 
 def micro_batching(spark, sf_dir):
@@ -160,7 +170,7 @@ def micro_batching(spark, sf_dir):
     rows = T.packets(spark, sf_dir)
     path, out = write_scratch(rows.repartition(4, "packet_id"), "packets"), scratch_path(spark, "sizes")
     Q.batch_sizes(R.file_stream(spark, path, rows.schema, max_files=1), out).awaitTermination()
-    return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n_batches"), F.sum("n_rows").alias("n_rows"))
+    return Ledger(spark, out).table().agg(F.count(F.lit(1)).alias("n_batches"), F.sum("n_rows").alias("n_rows"))
 
 
 def late_and_dropped(spark, sf_dir):
@@ -172,7 +182,7 @@ def late_and_dropped(spark, sf_dir):
         lambda p, checkpoint: Q.late_rows(p, out, _DELAY_S, checkpoint=checkpoint),
         order=(1, 2, 0),
     )
-    return spark.read.parquet(out).select("batch_id", "n_rows", "n_late")
+    return Ledger(spark, out).table().select("batch_id", "n_rows", "n_late")
 
 
 def stream_controls(spark, sf_dir):
@@ -186,7 +196,7 @@ def stream_controls(spark, sf_dir):
         return A.alerts_under_controls(stream, controls, out, checkpoint)
 
     _replay(spark, T.scored(spark, sf_dir), start)
-    return spark.read.parquet(out).select("batch_id", "flow_id", "confidence")
+    return Ledger(spark, out).table().select("batch_id", "flow_id", "confidence")
 
 
 QUERIES = {

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from flowlake import schema as S
 from flowlake.functions import expressions as X
+from flowlake.functions.quantiles import SKETCH_K
 from flowlake.operators import soc
 from flowlake.operators.flows import with_micros
-from flowlake.streaming.run import batch_path, each_batch
+from flowlake.streaming.ledger import Ledger
+from flowlake.streaming.run import each_batch
 
 
 def stream_timeline(
@@ -25,7 +27,8 @@ def stream_timeline(
 
 def running_stats(scored: DataFrame, threshold: float = S.ALERT_THRESHOLD) -> DataFrame:
     """One row of totals since the start (complete mode). Its state is a handful of counters and a
-    bounded percentile sketch, however long the stream runs."""
+    percentile sketch of a few KB, however long the stream runs; ``latency_sketch`` can be merged with those of
+    other streams (``quantiles.merged_sketches``)."""
     conf = F.col("confidence")
     alert = X.is_alert(conf, threshold)
     df = with_micros(scored)
@@ -35,10 +38,11 @@ def running_stats(scored: DataFrame, threshold: float = S.ALERT_THRESHOLD) -> Da
         F.count(F.lit(1)).alias("total_packets"),
         F.coalesce((F.max("us") - F.min("us")) / 1e6, F.lit(0.0)).alias("elapsed_s"),
         F.coalesce(F.avg("latency_ms"), F.lit(0.0)).alias("avg_latency_ms"),
-        F.coalesce(F.percentile_approx("latency_ms", 0.95, 10_000), F.lit(0.0)).alias("p95_latency_ms"),
+        F.when(F.count("latency_ms") > 0, F.kll_sketch_agg_double("latency_ms", F.lit(SKETCH_K))).alias("latency_sketch"),
         *[F.count_if(alert & (X.severity(conf) == s)).alias(s) for s in soc.SEVERITIES],
     )
-    return soc.with_threat_status(soc.with_rates(totals))
+    p95 = F.coalesce(F.kll_sketch_get_quantile_double(F.col("latency_sketch"), F.lit(0.95)), F.lit(0.0))
+    return soc.with_threat_status(soc.with_rates(totals.withColumn("p95_latency_ms", p95)))
 
 
 SNAPSHOT = [
@@ -54,19 +58,18 @@ def stats_snapshots(
     checkpoint: str | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """The running totals after every batch, one row each; ``interval`` is how often they are taken."""
+    """The newest running totals, one row in the ledger at ``path``; ``interval`` is how often they are taken."""
+    ledger = Ledger(scored.sparkSession, path)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(batch_path(path, batch_id))
+        ledger.replace(batch, batch_id)
 
     return each_batch(running_stats(scored, threshold), store, checkpoint, interval, mode="complete")
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest row of totals; the batch number is a folder name, so older folders are not read."""
-    rows = spark.read.parquet(path)
-    newest = rows.agg(F.max("batch_id")).scalar()
-    return rows.where(F.col("batch_id") == newest).drop("batch_id")
+    """The newest row of totals: one manifest and one small file are read."""
+    return Ledger(spark, path).table().drop("batch_id")
 
 
 def batch_sizes(
@@ -74,9 +77,10 @@ def batch_sizes(
 ) -> StreamingQuery:
     """Rows of every micro-batch. A batch is flushed when the source limit is reached or when the
     interval is over, whichever comes first: both belong to the source and the trigger."""
+    ledger = Ledger(stream.sparkSession, path)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.agg(F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(batch_path(path, batch_id))
+        ledger.append(batch.agg(F.count(F.lit(1)).alias("n_rows")), batch_id)
 
     return each_batch(stream, store, checkpoint, interval)
 
@@ -94,13 +98,12 @@ def late_rows(
     batches before. With ``slice_s`` a row is late when the end of its slice has been passed, as in
     windowed operators; without, when its own time has.
     """
-    spark = stream.sparkSession
+    ledger = Ledger(stream.sparkSession, path)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        bound = None
-        if batch_id >= 2:
-            seen = spark.read.parquet(path).where(F.col("batch_id") <= batch_id - 2)
-            bound = seen.agg(F.max("max_us")).first()[0]
+        # The newest time seen up to the last two batches, kept beside the rows: earlier batches are not read.
+        seen = {int(k): v for k, v in ledger.state().items()}
+        bound = seen.get(batch_id - 2)
         df = with_micros(batch)
         if slice_s is None:
             end = F.col("us")
@@ -112,13 +115,40 @@ def late_rows(
         counted = df.agg(
             F.count(F.lit(1)).alias("n_rows"), F.count_if(late).alias("n_late"), F.max("us").alias("max_us")
         )
-        counted.write.mode("overwrite").parquet(batch_path(path, batch_id))
+        row = counted.first()
+        newest = [v for v in (row.max_us, seen.get(batch_id - 1)) if v is not None]
+        state = {batch_id: max(newest) if newest else None, batch_id - 1: seen.get(batch_id - 1)}
+        ledger.append(df.sparkSession.createDataFrame([row], counted.schema), batch_id, state)
 
     return each_batch(stream, store, checkpoint)
 
 
-def dropped_rows(query: StreamingQuery) -> int:
-    """Cheap signal from the progress reports; counted after partial aggregation."""
-    return sum(
-        op["numRowsDroppedByWatermark"] for report in query.recentProgress for op in report["stateOperators"]
-    )
+class DroppedRows(StreamingQueryListener):
+    """Adds up what stateful operators dropped behind the watermark, for all streams of a session.
+
+    Register it with ``spark.streams.addListener``. The totals, by query id, stand in the ledger at ``path`` and
+    go on from there after a restart; a batch reported again counts once. Counted after partial aggregation.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self._ledger = spark, Ledger(spark, path)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress, state = event.progress, self._ledger.state()
+        total, last, commits = state.get(str(progress.id), [0, -1, 0])
+        dropped = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        if progress.batchId <= last or not dropped:
+            return
+        commits = 1 + max((c for _, _, c in state.values()), default=0)
+        state[str(progress.id)] = [total + dropped, progress.batchId, commits]
+        rows = [(name, n) for name, (n, _, _) in state.items()]
+        self._ledger.replace(self._spark.createDataFrame(rows, "query_id string, n_dropped long"), commits, state)
+
+    def total(self, query_id: str) -> int:
+        return self._ledger.state().get(str(query_id), [0])[0]
