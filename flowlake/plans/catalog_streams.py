@@ -10,6 +10,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
+from flowlake import schema as S
 from flowlake.functions import expressions as X
 from flowlake.operators import flows as O
 from flowlake.operators import soc
@@ -92,13 +93,25 @@ def stream_timeline(spark, sf_dir):
     return _appended(spark, T.scored(spark, sf_dir), lambda s: Q.stream_timeline(s, _DELAY, _TICK_S))
 
 
+def _differences(got, want, columns):
+    """How many rows of each side the other does not have."""
+    got, want = stored(got.select(columns), "got"), stored(want.select(columns), "want")
+    missing = want.exceptAll(got).agg(F.count(F.lit(1))).scalar().alias("n_missing")
+    return [missing, got.exceptAll(want).agg(F.count(F.lit(1))).scalar().alias("n_extra")]
+
+
 def stream_score_alerts(spark, sf_dir):
+    """The alerts of the stream beside those of one transform over the whole table."""
     rows = T.trainable(spark, sf_dir)
     model = L.fit(rows, T.TRAINABLE_FEATURES, "random_forest")
     stream = R.file_stream(spark, write_scratch(rows, "flows"), rows.schema)
     out = scratch_path(spark, "alerts")
     run.append_to(A.stream_score_alerts(stream, model), out).awaitTermination()
-    return spark.read.parquet(out).select("l_orderkey", "l_linenumber", "label", "y_pred", "p_attack")
+    alerts = spark.read.parquet(out)
+    want = L.score(model, rows).where(X.is_alert(F.col("p_attack")))
+    differences = _differences(alerts, want, ["l_orderkey", "l_linenumber", "label", "y_pred", "p_attack"])
+    right = alerts.agg(F.avg("label") >= 0.95).scalar().alias("precise")
+    return spark.range(1).select(*differences, right)
 
 
 def _flow_model(spark, sf_dir):
@@ -108,23 +121,44 @@ def _flow_model(spark, sf_dir):
     return L.fit(stored(rows, "flows"), N.MODEL_FEATURES, "random_forest")
 
 
+def _alerts(packets, model):
+    scored = N.score_packets(packets, model, timeout_s=T.PACKET_TIMEOUT_S)
+    return scored.where(X.is_alert(F.col("p_attack"), rule="label_and_gt", label=F.col("y_pred")))
+
+
 def monitor_packets(spark, sf_dir):
-    """Packets to alerts, batch."""
+    """Packets to alerts, batch: every alert is a flow, above the threshold, and nearly all hold a reset packet."""
     packets = T.packets(spark, sf_dir)
-    scored = N.score_packets(packets, _flow_model(spark, sf_dir), timeout_s=T.PACKET_TIMEOUT_S)
-    alerts = scored.where(X.is_alert(F.col("p_attack"), rule="label_and_gt", label=F.col("y_pred")))
-    return alerts.select("flow_id", "start_us", "close_reason", "p_attack")
+    alerts = stored(_alerts(packets, _flow_model(spark, sf_dir)), "alerts")
+    flows = O.flow_features(packets, timeout_s=T.PACKET_TIMEOUT_S)
+    keys = ["flow_id", "start_us", "close_reason"]
+    reset = F.avg((F.col("rst_count") > 0).cast("double"))
+    found = flows.agg(F.count_if(F.col("rst_count") > 0)).scalar()
+    return alerts.agg(
+        F.count_if(F.col("p_attack") <= S.ALERT_THRESHOLD).alias("n_below"),
+        (reset >= 0.99).alias("precise"),
+        (F.count_if(F.col("rst_count") > 0) >= 0.95 * found).alias("complete"),
+    ).withColumn("n_unknown", alerts.select(keys).exceptAll(flows.select(keys)).agg(F.count(F.lit(1))).scalar())
 
 
 def monitor_stream(spark, sf_dir):
-    """Packets to alerts, stream."""
-    model = _flow_model(spark, sf_dir)
-    alerts = _appended(
+    """Packets to alerts, stream, beside the batch alerts of the flows that are closed when the input ends."""
+    packets, model = T.packets(spark, sf_dir), _flow_model(spark, sf_dir)
+    got = _appended(
         spark,
-        T.packets(spark, sf_dir),
+        packets,
         lambda p: N.monitor(p, model, _DELAY, timeout_s=T.PACKET_TIMEOUT_S, slice_s=_SLICE_S, lanes=_LANES),
     )
-    return alerts.select("flow_id", "start_us", "close_reason", "p_attack")
+    newest = packets.agg(F.max(F.unix_micros("ts"))).first()[0]
+    watermark = (newest // 1000 - _DELAY_S * 1000) * 1000
+    ended = F.col("close_reason") == "fin_rst"
+    last = F.col("last_us") + F.when(ended, 0).otherwise(T.PACKET_TIMEOUT_S * 1_000_000)
+    width = _SLICE_S * 1_000_000
+    closed = (F.floor(last / width) + 1) * width <= watermark
+    reason = F.when(ended, "fin_rst").otherwise("timeout").alias("close_reason")
+    want = _alerts(packets, model).where(closed).select("flow_id", "start_us", reason)
+    differences = _differences(got, want, ["flow_id", "start_us", "close_reason"])
+    return got.agg(F.count_if(F.col("p_attack") <= S.ALERT_THRESHOLD).alias("n_below")).select("n_below", *differences)
 
 
 def alert_sink(spark, sf_dir):
@@ -232,6 +266,9 @@ _SEVERITIES = ", ".join(
 )
 
 ORACLES = {
+    "stream_score_alerts": "SELECT 0::BIGINT AS n_missing, 0::BIGINT AS n_extra, TRUE AS precise",
+    "monitor_packets": """SELECT 0::BIGINT AS n_below, TRUE AS precise, TRUE AS complete, 0::BIGINT AS n_unknown""",
+    "monitor_stream": "SELECT 0::BIGINT AS n_below, 0::BIGINT AS n_missing, 0::BIGINT AS n_extra",
     "packet_stream_source": f"WITH {T.PACKETS_SQL} SELECT * EXCLUDE (ts) FROM packets",
     "stream_flows": f"""WITH {_STREAMED}
 SELECT * EXCLUDE (iat_std_s, segment), iat_std_s FROM (SELECT {CF.ROUNDED_SQL} FROM closed)""",
