@@ -237,4 +237,69 @@ FROM texts t LEFT JOIN based b USING (id) LEFT JOIN found f USING (id)
 """
 
 
-ORACLES: dict[str, str] = {"op13_license_scan": _op13(), "op11_phrase_collocations": _OP11}
+def _shingled(table: str, key: str, width: int) -> str:
+    """Rows of ``key`` and ``g``, the distinct shingles of a text; with fewer words all words are one."""
+    return f"""
+  SELECT {key}, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {width} THEN [w]
+    ELSE list_transform(range(1, len(w) - {width - 2}), lambda i: w[i:i + {width - 1}]) END) AS g
+  FROM (SELECT {key}, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM {table})"""
+
+
+#: Follows rows ``links(x, y)``: the smallest id reachable from each row of ``nodes(id)``.
+_COMPONENTS = """
+both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT id AS node, id AS root FROM nodes UNION SELECT b.y, r.root FROM reach r JOIN both_ways b ON b.x = r.node),
+component AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)"""
+
+_OP1 = f"""
+WITH RECURSIVE sets AS ({_shingled("documents", "doc_id", 4)}),
+elements AS (SELECT doc_id, len(g) AS n, unnest(g) AS e FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM elements a JOIN elements b ON a.e = b.e AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+nodes AS (SELECT doc_id AS id FROM documents),{_COMPONENTS}
+SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN component ON node = doc_id
+"""
+
+_OP2 = f"""
+WITH docs AS ({_shingled("documents", "doc_id", 5)}),
+items AS ({_shingled("benchmark", "item_id", 5)}),
+held AS (SELECT doc_id, unnest(g) AS e FROM docs),
+wanted AS (SELECT item_id, len(g) AS n, unnest(g) AS e FROM items)
+SELECT doc_id, item_id, n::BIGINT AS n_item, count(*) AS n_found
+FROM held JOIN wanted USING (e) GROUP BY doc_id, item_id, n HAVING 5 * count(*) >= 4 * n
+"""
+
+_OP3 = f"""
+WITH RECURSIVE vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+sound AS (
+  SELECT vec_id, v, list_dot_product(v, v) AS vv FROM vectors
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(v, v) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM sound a JOIN sound b ON a.vec_id < b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / sqrt(a.vv * b.vv) >= 0.9),
+nodes AS (SELECT vec_id AS id FROM embeddings),{_COMPONENTS},
+degree AS (SELECT x, count(*) AS n FROM both_ways GROUP BY x)
+SELECT node AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, node = component_id AS kept
+FROM component LEFT JOIN degree ON x = node
+"""
+
+# Five hexadecimal digits are four base-32 digits.
+_BASE32 = "array_to_string([" + ", ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(hex, {5 * k + 1}, 5))::BIGINT >> {15 - 5 * d} & 31)::INT + 1, 1)"
+    for k in range(8) for d in range(4)
+) + "], '')"
+
+_OP4 = f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS p, sha1(coalesce(html, '')) AS hex FROM pages),
+firsts AS (SELECT p, min(page_id) AS first_id FROM payloads GROUP BY p)
+SELECT page_id, strlen(p)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM payloads JOIN firsts USING (p)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_minhash_near_dedup": _OP1, "op2_benchmark_decontamination": _OP2, "op3_embedding_near_dedup": _OP3, "op4_warc": _OP4,
+    "op13_license_scan": _op13(), "op11_phrase_collocations": _OP11}
