@@ -294,3 +294,15 @@ def soc_overview(scored: DataFrame, threshold: float = S.ALERT_THRESHOLD) -> Dat
         )
         .drop("latency")
     )
+
+
+def with_model_quality(overview: DataFrame, metrics: DataFrame, batch_size: int = S.BATCH_SIZE) -> DataFrame:
+    """The overview row with the model's quality (``ai_...`` in percent, one row) and the batch size in force.
+
+    Without a row of metrics the figures are 0.
+    """
+    names = ["ai_accuracy", "ai_f1", "ai_recall", "ai_precision"]
+    found = metrics.agg(F.struct(*[F.max(n).alias(n) for n in names])).scalar()
+    row = overview.withColumn("__ai", found)
+    quality = {n: F.round(F.coalesce(F.col(f"__ai.{n}"), F.lit(0.0)), 2) for n in names}
+    return row.withColumns(quality).withColumn("batch_size", F.lit(batch_size)).drop("__ai")

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from flowlake import schema as S
 from flowlake.functions import expressions as X
 from flowlake.operators import flows as O
 from flowlake.operators import quality as Q
 from flowlake.operators import soc
 from flowlake.plans import catalog_flows as CF
 from flowlake.plans import tables as T
+from flowlake.runtime import scratch_path
+from flowlake.sources import metrics_json as J
 
 _TICK_S = 21_600  # the events cover 30 days: 120 buckets of six hours
 
@@ -189,6 +192,15 @@ def soc_overview(spark, sf_dir):
     return soc.soc_overview(T.scored(spark, sf_dir))
 
 
+def soc_overview_with_model(spark, sf_dir):
+    """The overview with the quality of the detector, written as a training document and read back."""
+    path = scratch_path(spark, "training")
+    figures = Q.classification_metrics(_judged(spark, sf_dir))
+    J.write_metrics_json(figures.select(F.struct("accuracy", "precision", "recall", "f1").alias("metrics")), path)
+    row = soc.with_model_quality(soc.soc_overview(T.scored(spark, sf_dir)), J.read_training_metrics(spark, path))
+    return row.select("total_flows", "total_alerts", "ai_accuracy", "ai_f1", "ai_recall", "ai_precision", "batch_size")
+
+
 def confusion_matrix(spark, sf_dir):
     return Q.confusion_matrix(_judged(spark, sf_dir))
 
@@ -211,6 +223,7 @@ QUERIES = {
         attack_type_counts, alert_counts_by_dim, attack_heatmap, heatmap_intensity,
         confidence_histogram, rolling_latency, rolling_confidence, top_talkers, recent_alerts,
         mean_alert_confidence, threat_status, timeline, last_ticks, alert_detail, soc_overview,
+        soc_overview_with_model,
         confusion_matrix, classification_metrics, false_positive_rate,
     ]
 }
@@ -367,6 +380,11 @@ SELECT total_flows, total_alerts, total_packets, round(elapsed_s, 1) AS elapsed_
        round(packets_per_sec, 0) AS packets_per_sec, system_status, threat_level, avg_latency_ms,
        p95_latency_ms, round(fp / (fp + tn) * 100, 1) AS false_positive_rate, 0.7::DOUBLE AS alert_threshold
 FROM s, rolling""",
+    "soc_overview_with_model": f"""{_TOTALS}
+SELECT total_flows, total_alerts, round((tp + tn) / (tp + tn + fp + fn) * 100, 2) AS ai_accuracy,
+       round(2 * tp / (2 * tp + fp + fn) * 100, 2) AS ai_f1, round(tp / (tp + fn) * 100, 2) AS ai_recall,
+       round(tp / (tp + fp) * 100, 2) AS ai_precision, {S.BATCH_SIZE} AS batch_size
+FROM s""",
     "confusion_matrix": f"{_TOTALS} SELECT tn, fp, fn, tp FROM t",
     "classification_metrics": f"""{_TOTALS}
 SELECT tn, fp, fn, tp, round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy,

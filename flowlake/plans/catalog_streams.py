@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from flowlake import schema as S
 from flowlake.functions import expressions as X
+from flowlake.operators import batching as B
 from flowlake.operators import flows as O
 from flowlake.operators import soc
 from flowlake.plans import catalog_flows as CF
@@ -199,12 +200,19 @@ def stream_running_stats(spark, sf_dir):
     return spark.read.parquet(history).withColumns({c: F.round(c, 6) for c in ["elapsed_s", "detection_rate"]})
 
 
+_BATCH, _AGE_S = 4, 900
+
+
 def micro_batching(spark, sf_dir):
-    """One file per batch."""
-    rows = T.packets(spark, sf_dir)
-    path, out = write_scratch(rows.repartition(4, "packet_id"), "packets"), scratch_path(spark, "sizes")
-    Q.batch_sizes(R.file_stream(spark, path, rows.schema, max_files=1), out).awaitTermination()
-    return Ledger(spark, out).table().agg(F.count(F.lit(1)).alias("n_batches"), F.sum("n_rows").alias("n_rows"))
+    """Packets in batches of four, or whatever has come in a quarter of an hour."""
+    packets = O.with_micros(T.packets(spark, sf_dir)).select("packet_id", "us")
+    return B.size_or_age_batches(packets, ["us", "packet_id"], _BATCH, _AGE_S)
+
+
+def packet_messages(spark, sf_dir):
+    """Packets as JSON messages, taken in as a message queue hands them over."""
+    messages = T.packets(spark, sf_dir).select(F.to_json(F.struct("*"), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).cast("binary").alias("value"))
+    return O.with_micros(R.packets_from_json(messages)).drop("ts")
 
 
 def late_and_dropped(spark, sf_dir):
@@ -237,7 +245,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         packet_stream_source, stream_flows, stream_flows_by_gap, stream_timeline, stream_score_alerts,
-        monitor_packets, monitor_stream, alert_sink, stats_snapshot_sink, stream_running_stats, micro_batching, late_and_dropped,
+        monitor_packets, monitor_stream, alert_sink, stats_snapshot_sink, stream_running_stats, micro_batching, packet_messages, late_and_dropped,
         stream_controls,
     ]
 }
@@ -291,7 +299,23 @@ SELECT batch_id, count(*) AS total_flows, count(*) FILTER (confidence >= 0.7) AS
        round((max(us) - min(us)) / 1e6, 6) AS elapsed_s,
        round(count(*) FILTER (confidence >= 0.7) / count(*) * 100, 6) AS detection_rate
 FROM b JOIN scored ON {_THIRD} <= batch_id GROUP BY 1""",
-    "micro_batching": "SELECT 4::BIGINT AS n_batches, count(*) AS n_rows FROM events",
+    "packet_messages": f"WITH {T.PACKETS_SQL} SELECT * EXCLUDE (ts) FROM packets",
+    # Batch by batch: each begins where the one before ended.
+    "micro_batching": f"""WITH RECURSIVE {T.PACKETS_SQL},
+p AS (SELECT packet_id, us, row_number() OVER (ORDER BY us, packet_id) AS rn,
+             count(*) OVER (ORDER BY us RANGE BETWEEN UNBOUNDED PRECEDING AND {_AGE_S * 1_000_000 - 1} FOLLOWING) AS young
+      FROM packets),
+links AS (SELECT rn, us, least(rn + {_BATCH}, young + 1) AS next FROM p),
+b(batch, rn, next, us) AS (
+  SELECT 1::BIGINT, rn, next, us FROM links WHERE rn = 1
+  UNION ALL SELECT b.batch + 1, l.rn, l.next, l.us FROM b JOIN links l ON l.rn = b.next),
+held AS (
+  SELECT p.packet_id, p.us, b.batch, b.us + {_AGE_S * 1_000_000} AS old_us, b.next - b.rn = {_BATCH} AND count(*) OVER w = {_BATCH} AS full_one,
+         b.next > (SELECT max(rn) FROM p) AS is_last, max(p.us) OVER w AS newest
+  FROM p JOIN b ON p.rn >= b.rn AND p.rn < b.next WINDOW w AS (PARTITION BY b.batch))
+SELECT packet_id, us, batch, CASE WHEN full_one THEN 'size' WHEN is_last THEN 'end' ELSE 'age' END AS cause,
+       CASE WHEN full_one OR is_last THEN newest ELSE old_us END - us AS wait_us
+FROM held""",
     "late_and_dropped": f"""WITH p AS (SELECT *, {_THIRD} AS third, epoch_us(ts) AS us FROM events),
 bound AS (SELECT (max(us) // 1000 - {_DELAY_S * 1000}) * 1000 AS wm FROM p WHERE third = 1)
 SELECT CASE third WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 2 END::INT AS batch_id, count(*) AS n_rows,

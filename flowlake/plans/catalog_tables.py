@@ -92,6 +92,15 @@ def read_flow_csv_dir(spark, sf_dir):
     return df.select(*_FILE_COLUMNS, "label", "source_file")
 
 
+def read_numeric_labels(spark, sf_dir):
+    """A merged file whose label column holds 0 and 1 already."""
+    path, c = f"{scratch_path(spark, 'labelled')}/merged.csv", F.col
+    rows = T.flows_labelled(spark, sf_dir)
+    line = _joined(c("l_partkey"), c("l_linenumber"), _odd_number(), c("l_suppkey"), (c("l_linenumber") % 2).cast("int"))
+    _write_lines(rows, line, "Flow Duration,Total Fwd Packets,Flow Bytes/s,Destination Port,Label", path)
+    return R.read_flow_csv(spark, path).select(*_FILE_COLUMNS, "label")
+
+
 def _write_full_files(spark, sf_dir):
     """Two clean-headed files with an identity that SQL can rebuild, one without labels, and a cache
     file that must be skipped."""
@@ -272,7 +281,7 @@ def class_weights(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in [
-        read_flow_csv, read_flow_csv_dir, read_flow_csv_sampled, dataset_cache, read_mixed_csv, merge_tables,
+        read_flow_csv, read_flow_csv_dir, read_numeric_labels, read_flow_csv_sampled, dataset_cache, read_mixed_csv, merge_tables,
         clean_column_names, resolve_label_column, project_canonical, coerce_numeric, nullify_nonfinite,
         drop_incomplete, binary_label, drop_identifiers, encode_categoricals, stratified_sample,
         stratified_split, seeded_shuffle, label_distribution, split_class_counts, scaler_stats, standardize,
@@ -329,6 +338,10 @@ SELECT l_partkey::DOUBLE AS flow_duration, l_linenumber::DOUBLE AS fwd_packets,
        price_cents::DOUBLE AS flow_bytes_s, l_suppkey::DOUBLE AS dst_port, {_ATTACK}::INT AS label,
        trim(label) AS label_text, source_file || '.csv' AS source_file
 FROM sampled WHERE {_GOOD}""",
+    "read_numeric_labels": f"""WITH {_L}
+SELECT l_partkey::DOUBLE AS flow_duration, l_linenumber::DOUBLE AS fwd_packets,
+       price_cents::DOUBLE AS flow_bytes_s, l_suppkey::DOUBLE AS dst_port, (l_linenumber % 2)::INT AS label
+FROM flows_labelled WHERE {_GOOD}""",
     "dataset_cache": f"""WITH {_L}
 SELECT l_partkey::DOUBLE AS flow_duration, l_linenumber::DOUBLE AS fwd_packets,
        price_cents::DOUBLE AS flow_bytes_s, l_suppkey::DOUBLE AS dst_port, {_ATTACK}::INT AS label,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from flowlake import schema as S
 from flowlake.operators import soc
 from flowlake.plans import monitoring, training
-from flowlake.runtime import stored
+from flowlake.runtime import release_scratch, stored
 from flowlake.sources import csv_flows, metrics_json
 from flowlake.streaming import run, sources
 
@@ -81,7 +81,10 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.job(SparkSession.builder.appName("flowlake").getOrCreate(), args)
+    spark = SparkSession.builder.appName("flowlake").getOrCreate()
+    args.job(spark, args)
+    if args.job is not monitor:  # a stream may go on from its checkpoint
+        release_scratch(spark)
 
 
 if __name__ == "__main__":
