@@ -155,13 +155,13 @@ class UrlModel:
 def judged(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     """``page_id, host, path, rule, verdict, ratio`` for every row of ``pages(page_id, url)``.
 
-    ``verdict`` is the longest fitting rule's, else that of the models learned from the URLs the rules decide:
+    ``verdict`` is the longest fitting rule's, else that of the models learned from the URLs the rules decide, whole
+    as they are, with scheme, query and fragment:
     allow when ``ratio`` reaches the calibrated threshold. A null url, or one without ``://``, has an empty
-    host and path and is judged like any other. Without examples of both verdicts the rest is allowed.
+    host and path and is judged by the models like any other. Without examples of both verdicts the rest is allowed.
     Rows without or with repeated ids are judged each by its url; other columns are not looked at.
     """
     rows = ruled(parsed(pages.select("page_id", "url")), rules)
-    rows = rows.withColumn("url", F.concat("host", "path"))
     examples = rows.where("decided IS NOT NULL").select("url", (F.col("decided") == "allow").alias("accepted"))
     model = UrlModel(examples)
     guess = F.lit("allow")

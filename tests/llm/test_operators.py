@@ -209,6 +209,17 @@ def test_urls(spark):
         assert got[i].verdict == verdict or verdict is None and got[i].verdict in ("allow", "block")
 
 
+def test_urls_are_judged_whole(spark):
+    """Scheme, query, fragment and urls without a host tell undecided urls apart."""
+    rows = [(i, f"http://a{i}.org/page?read={i}") for i in range(300)] + [(1_000 + i, f"ftp://a{i}.com/de/page?track=ad{i}#x") for i in range(300)]
+    rows += [(5_000, "http://b.net/page?read=77"), (5_001, "ftp://b.net/page?track=ad77#x"), (5_002, "page?read=5"), (5_003, "track=ad9#x"), (5_004, None), (5_005, "")]
+    got = {r.page_id: r for r in urls.judged(spark.createDataFrame(rows, "page_id long, url string"), catalog.URL_RULES).collect()}
+    assert [got[i].verdict for i in range(5_000, 5_004)] == ["allow", "block", "allow", "block"]
+    assert got[5_004].ratio == got[5_005].ratio and got[5_004].host == got[5_005].host == ""
+    none = spark.createDataFrame([], "page_id long, url string, host string")
+    assert urls.judged(none, catalog.URL_RULES).count() == 0
+
+
 def test_url_models_part_accepted_from_rejected(spark):
     good = [(f"http://good.org/article/story-{i}", True) for i in range(300)]
     bad = [(f"http://cheap-pills{i}.xyz/buy?now", False) for i in range(300)]
