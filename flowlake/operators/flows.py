@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from flowlake import schema as S
 from flowlake.functions import expressions as X
 from flowlake.functions.hotkeys import HOT_ROWS, heavy_keys
-from flowlake.runtime import checked_lookup, stored
+from flowlake.runtime import measured, stored
 
 # Endpoint columns of the grouping key: a is the source (directional) or the smaller endpoint.
 KEY = ["ip_a", "port_a", "ip_b", "port_b", "protocol"]
@@ -184,7 +184,7 @@ def sequence_packets(
         F.max(F.struct("us", "packet_id", "closes")).alias("last"),
         F.sum(F.col("closes").cast("bigint")).alias("n_closes"),
     )
-    edges = checked_lookup(_chained(stored(slices, "slices"), timeout_us), "edges")
+    edges = measured(stored(_chained(slices, timeout_us), "edges"))
     return _sequenced(placed("left"), [*KEY, *_SLICE], timeout_us, edges)
 
 
@@ -243,7 +243,7 @@ def packet_direction(packets: DataFrame, **options) -> DataFrame:
         slices = df.where((F.col("cell") != 0) | (F.col("cut") != 0) | F.col("starts")).groupBy(*part).agg(newest.alias("newest"))
         chained = slices.select(*part, F.last("newest", ignorenulls=True).over(before).alias("open_sender"))
         chained = chained.where(F.col("open_sender").isNotNull())
-        df = df.join(checked_lookup(chained, "senders"), part, "left")
+        df = df.join(measured(stored(chained, "senders")), part, "left")
         first_from_a = F.coalesce(first_from_a, F.col("open_sender"))
     df = df.withColumn("first_from_a", first_from_a)
     forward = (F.col("from_a") == F.col("first_from_a")).alias("forward")

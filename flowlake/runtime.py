@@ -72,8 +72,12 @@ def checked_lookup(df: DataFrame, name: str) -> DataFrame:
     rows = df.limit(LITERAL_ROWS + 1).collect()
     if len(rows) <= LITERAL_ROWS:
         return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-    table = stored(df, name)
-    size = table.agg(F.sum(row_bytes(table))).first()[0]
+    return measured(stored(df, name))
+
+
+def measured(table: DataFrame) -> DataFrame:
+    """A stored table with the hint to broadcast it if its rows take at most ``BROADCAST_BYTES``."""
+    size = table.agg(F.sum(row_bytes(table))).first()[0] or 0
     return F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
