@@ -19,6 +19,8 @@ A line goes when an equal or similar line stands earlier, by document id, then p
 from __future__ import annotations
 
 from fractions import Fraction
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +39,11 @@ _RANK_BITS = 22
 HOT_CLASSES = 1 << 18
 #: A word in more prefixes than this proposes its earliest line before all the others.
 FEW = 64
+#: A prefix row carries so many words of its line's prefix before it, so that most pairs are proposed once only.
+BEFORE = 4
 #: Rows of at most five numbers (20 MB) that are broadcast at most; longer tables are joined by shuffle.
 MOST_SENT = 1 << 19
-_NO_ID = np.iinfo(np.int64).max
+_NO_ID = _NO_WORD = np.iinfo(np.int64).max
 
 
 def _by_line(line: np.ndarray, key: np.ndarray, n_lines: int) -> np.ndarray:
@@ -141,14 +145,24 @@ def prefix_lengths(sizes: np.ndarray, similarity: Fraction) -> tuple[np.ndarray,
     return probe, index
 
 
-_PREFIXES = "word int, d1 long, bits long, size int, rest int, indexed int, doc long"
+_PREFIXES = "word int, d1 long, bits long, size int, rest int, indexed int, doc long, " + ", ".join(f"b{i} int" for i in range(BEFORE))
+
+
+def _half(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _before(words: np.ndarray, head: np.ndarray) -> list:
+    """Per row of a line that begins at row ``head``: the line's first words, ``_NO_WORD`` from this row on."""
+    at, half = np.arange(len(words)), _half(words).astype(np.int64)
+    return [np.where(head + i < at, half[np.minimum(head + i, max(len(half) - 1, 0))], _NO_WORD) for i in range(BEFORE)]
 
 
 def _prefixes(least: int, similarity: Fraction, ranked, shared, hot):
     """doc_id, place, text -> the prefix words of every line. word is half of its hash: sharing it proposes, no more.
 
     d1 and bits tell the line, size its words, rest those from this one on, indexed the shorter prefix, doc the
-    document.
+    document, b0.. the first words of the line that are sent, as far as they stand before this one (else null).
 
     A line is sent once per batch; a line of a hot class only where the class stands first.
     """
@@ -186,14 +200,16 @@ def _prefixes(least: int, similarity: Fraction, ranked, shared, hot):
                 position = np.arange(len(h)) - np.repeat(x.starts, x.sizes)
                 probe, index = prefix_lengths(x.sizes, similarity)
                 keep = (position < np.repeat(probe, x.sizes)) & common & np.repeat(sent, x.sizes)
-                parts.append([h[keep], *(np.repeat(v, x.sizes)[keep] for v in (one, x.parities(), x.sizes, index, docs[a:b][x.text])), position[keep]])
+                line, words = np.repeat(np.arange(len(x.lines)), x.sizes)[keep], h[keep]
+                head = np.searchsorted(line, line)  # the line's first row
+                parts.append([words, *(np.repeat(v, x.sizes)[keep] for v in (one, x.parities(), x.sizes, index, docs[a:b][x.text])), position[keep], *_before(words, head)])
             if parts:
-                h, one, bits, size, index, doc, position = (np.concatenate(v) for v in zip(*parts, strict=True))
-                _, first = np.unique(X.mixed(h) ^ one, return_index=True)
-                h, one, bits, size, index, doc, position = (v[first] for v in (h, one, bits, size, index, doc, position))
-                word = (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                rows = [np.concatenate(v) for v in zip(*parts, strict=True)]
+                _, first = np.unique(X.mixed(rows[0]) ^ rows[1], return_index=True)
+                h, one, bits, size, index, doc, position, *before = (v[first] for v in rows)
                 numbers = [pa.array(v.astype(np.int32)) for v in (size, size - position)]
-                columns = [pa.array(word), pa.array(X.signed(one)), pa.array(X.signed(bits)), *numbers, pa.array((position < index).astype(np.int32)), pa.array(doc)]
+                columns = [pa.array(_half(h)), pa.array(X.signed(one)), pa.array(X.signed(bits)), *numbers, pa.array((position < index).astype(np.int32)), pa.array(doc)]
+                columns += [pa.array(b.astype(np.int32), mask=b == _NO_WORD) for b in before]
                 yield pa.record_batch(columns, [f.split()[0] for f in _PREFIXES.split(", ")])
 
     return run
@@ -232,6 +248,16 @@ def _verified(similarity: Fraction):
     return run
 
 
+def _first_shared() -> Column:
+    """Whether the carried words before x's row and before y's have none in common.
+
+    If they have one, the same join proposes the pair there: it stands earlier in both lines, so the length and
+    positional filters that hold here hold there.
+    """
+    same = [F.coalesce(F.col(f"x.b{i}") == F.col(f"y.b{j}"), F.lit(False)) for i in range(BEFORE) for j in range(BEFORE)]
+    return ~reduce(or_, same)
+
+
 def _sent(table: DataFrame) -> DataFrame:
     """A stored table with the hint to broadcast it if it is short enough."""
     return F.broadcast(table) if table.count() <= MOST_SENT else table
@@ -281,13 +307,16 @@ class LineDedup:
         crowd = rows.join(_sent(crowded), "word")
         lead = crowd.groupBy("word").agg(F.min(F.struct("doc", "d1", "bits", "size", "rest", "indexed")).alias("l"))
         lead = s.store(lead.select("word", "l.*").drop("doc"), "leaders")
+        crowd = crowd.select(*lead.columns)
         stars = s.store(self._near(_sent(lead), crowd, F.col("x.d1") != F.col("y.d1")).distinct(), "candidates")
         sets = self._sets(stars, classes, None)
         settled = s.store(self._late(self._verified(stars, sets), classes), "settled")
         rows = rows.drop("doc")
         free = rows.join(_sent(settled.select("d1")), "d1", "left_anti")
         bound = rows.join(_sent(settled.select("d1")), "d1", "left_semi")
-        pairs = self._near(free, free, F.col("x.d1") < F.col("y.d1")).unionByName(self._near(free, bound, F.col("x.d1") != F.col("y.d1")))
+        pairs = self._near(free, free, (F.col("x.d1") < F.col("y.d1")) & _first_shared()).unionByName(
+            self._near(free, bound, (F.col("x.d1") != F.col("y.d1")) & _first_shared())
+        )
         pairs = s.store(pairs.distinct(), "candidates")
         s.drop(stored)
         late = self._late(self._verified(pairs, self._sets(pairs, classes, sets)), classes)
