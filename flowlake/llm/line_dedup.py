@@ -7,10 +7,12 @@ class. Classes are joined when the Jaccard similarity of their sets is at least
   count last), so that the few words of a line's prefix are its rarest;
 * prefix filter: two similar lines share a word of the longer line's prefix and the shorter line's (shorter)
   index prefix; words that occur in one line only are never sent;
-* length, positional and parity filters in the join condition;
+* length, positional and parity filters;
 * words in many prefixes first propose only the earliest line they occur in; lines found similar to an earlier
   one are settled, and two settled lines are not compared any more, so a large group of near copies costs a few
   comparisons per line and not their square;
+* then all prefix rows, packed in blocks by a leading part of the word's hash, meet in one shuffle, and each task
+  compares the lines of its words;
 * the surviving pairs are verified on their whole sets.
 
 A line goes when an equal or similar line stands earlier, by document id, then position.
@@ -19,8 +21,7 @@ A line goes when an equal or similar line stands earlier, by document id, then p
 from __future__ import annotations
 
 from fractions import Fraction
-from functools import reduce
-from operator import or_
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +39,20 @@ _RANK_BITS = 22
 #: Classes with most copies, whose lines are sent from their first place only; others once per batch.
 HOT_CLASSES = 1 << 18
 #: A word in more prefixes than this proposes its earliest line before all the others.
-FEW = 64
+FEW = 1024
+#: The rows of a word in more lines than this are dealt to cells, each for two of so many groups of lines.
+MANY, GROUPS = 1 << 12, 8
 #: A prefix row carries so many words of its line's prefix before it, so that most pairs are proposed once only.
-BEFORE = 4
+BEFORE = 2
+#: Blocks of prefix rows by hash.
+_BLOCKS = 1 << 11
+#: Settled lines known to every task (16 MB); what is beyond is compared like the others.
+SETTLED = 1 << 21
+#: Pairs of rows that a task looks at together.
+_AT_ONCE = 1 << 20
 #: Rows of at most five numbers (20 MB) that are broadcast at most; longer tables are joined by shuffle.
 MOST_SENT = 1 << 19
-_NO_ID = _NO_WORD = np.iinfo(np.int64).max
+_NO_ID = np.iinfo(np.int64).max
 
 
 def _by_line(line: np.ndarray, key: np.ndarray, n_lines: int) -> np.ndarray:
@@ -85,13 +94,14 @@ class _Lines:
             return (np.zeros(0, np.uint64),) * 2
         return tuple(np.add.reduceat(X.mixed(self.hashes, salt), self.starts) for salt in (0x1234567, 0x89ABCDEF))
 
-    def parities(self) -> np.ndarray:
-        """Per line 64 bits, each telling whether an odd number of its words fall on it.
+    def parities(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per line 128 bits, each telling whether an odd number of its words fall on it.
 
         Bits in which two lines differ come from words that only one of them has, so there are at least that
-        many such words.
+        many such words. With 64 bits, unlike lines of more than a hundred words differ in too few.
         """
-        return np.bitwise_xor.reduceat(np.uint64(1) << (self.hashes & np.uint64(63)), self.starts)
+        bit, upper = np.uint64(1) << (self.hashes & np.uint64(63)), (self.hashes & np.uint64(64)) > 0
+        return tuple(np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), self.starts) for half in (~upper, upper))
 
 
 _LISTED = "doc_id long, place long, n_lines long, line_no array<long>, d1 array<long>, d2 array<long>, words array<long>, counts array<long>"
@@ -145,76 +155,196 @@ def prefix_lengths(sizes: np.ndarray, similarity: Fraction) -> tuple[np.ndarray,
     return probe, index
 
 
-_PREFIXES = "word int, d1 long, bits long, size int, rest int, indexed int, doc long, " + ", ".join(f"b{i} int" for i in range(BEFORE))
+_PREFIXES = "word int, d1 long, bits long, bits2 long, size int, rest int, indexed int, doc long"
 
 
 def _half(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return (hashes >> np.uint64(32)).astype(np.uint32)
 
 
 def _before(words: np.ndarray, head: np.ndarray) -> list:
-    """Per row of a line that begins at row ``head``: the line's first words, ``_NO_WORD`` from this row on."""
-    at, half = np.arange(len(words)), _half(words).astype(np.int64)
-    return [np.where(head + i < at, half[np.minimum(head + i, max(len(half) - 1, 0))], _NO_WORD) for i in range(BEFORE)]
+    """Per row of a line that begins at row ``head``: the line's first words, the row's own from this row on."""
+    at = np.arange(len(words))
+    return [np.where(head + i < at, words[np.minimum(head + i, max(len(words) - 1, 0))], words) for i in range(BEFORE)]
 
 
-def _prefixes(least: int, similarity: Fraction, ranked, shared, hot):
-    """doc_id, place, text -> the prefix words of every line. word is half of its hash: sharing it proposes, no more.
-
-    d1 and bits tell the line, size its words, rest those from this one on, indexed the shorter prefix, doc the
-    document, b0.. the first words of the line that are sent, as far as they stand before this one (else null).
+def _prefix_rows(batch, least: int, similarity: Fraction, ranks, shared, hot) -> list | None:
+    """doc_id, place, text -> the prefix words of every line, as columns: hash, d1, two of parities, size, position,
+    document, and the first words (halves of hashes) of the line that are sent, as far as they stand before this one.
 
     A line is sent once per batch; a line of a hot class only where the class stands first.
     """
+    hot_d1, hot_place, hot_line = hot.value
+    texts, parts = X.raw_texts(batch.column(2)), []
+    docs = batch.column(0).fill_null(_NO_ID).to_numpy()
+    places = batch.column(1).to_numpy()
+    for a, b in X.pieces(texts):
+        x = _Lines(texts[a:b], least)
+        if not len(x.lines):
+            continue
+        one = x.digests()[0]
+        sent = np.ones(len(one), dtype=bool)
+        if len(hot_d1):
+            at = np.minimum(np.searchsorted(hot_d1, one), len(hot_d1) - 1)
+            here = (hot_place[at] == places[a:b][x.text]) & (hot_line[at] == x.line_no)
+            sent = (hot_d1[at] != one) | here
+        # Once per piece, of those that are sent at all: a copy may stand before its class's first place.
+        able = np.flatnonzero(sent)
+        sent[:] = False
+        sent[able[np.unique(one[able], return_index=True)[1]]] = True
+        common = present(shared.value, x.hashes)
+        # Rarest first, up to a count of a million; then the hash decides. Words of one line only lead.
+        rank = np.where(common, ranks[x.hashes >> np.uint64(64 - _RANK_BITS)], 0)
+        rank = np.minimum(rank, (1 << 20) - 1).astype(np.uint64)
+        key = (rank << np.uint64(44)) | (x.hashes >> np.uint64(20))
+        order = _by_line(np.repeat(np.arange(len(x.lines)), x.sizes), key, len(x.lines))
+        h, common = x.hashes[order], common[order]
+        position = np.arange(len(h)) - np.repeat(x.starts, x.sizes)
+        probe, _ = prefix_lengths(x.sizes, similarity)
+        keep = (position < np.repeat(probe, x.sizes)) & common & np.repeat(sent, x.sizes)
+        line, words = np.repeat(np.arange(len(x.lines)), x.sizes)[keep], h[keep]
+        head = np.searchsorted(line, line)  # the line's first row
+        parts.append([words, *(v[line] for v in (one, *x.parities(), x.sizes)), position[keep], docs[a:b][x.text][line], *_before(_half(words), head)])
+    if not parts:
+        return None
+    rows = [np.concatenate(v) for v in zip(*parts, strict=True)]
+    _, first = np.unique(X.mixed(rows[0]) ^ rows[1], return_index=True)
+    return [v[first] for v in rows]
+
+
+def _rank_table(ranked) -> np.ndarray:
+    ranks = np.ones(1 << _RANK_BITS, dtype=np.uint32)
+    words, counts = ranked.value
+    np.maximum.at(ranks, words >> np.uint64(64 - _RANK_BITS), counts)
+    return ranks
+
+
+def _prefixes(least: int, similarity: Fraction, ranked, shared, hot, often):
+    """doc_id, place, text -> the prefix words that may be in ``often``. word is half of its hash: sharing it
+    proposes, no more. d1 and bits tell the line, size its words, rest those from this one on, indexed the shorter
+    prefix, doc the document.
+    """
 
     def run(batches):
-        ranks = np.ones(1 << _RANK_BITS, dtype=np.uint32)
-        words, counts = ranked.value
-        np.maximum.at(ranks, words >> np.uint64(64 - _RANK_BITS), counts)
-        hot_d1, hot_place, hot_line = hot.value
+        ranks = _rank_table(ranked)
         for batch in batches:
-            texts, parts = X.raw_texts(batch.column(2)), []
-            docs = batch.column(0).fill_null(_NO_ID).to_numpy()
-            places = batch.column(1).to_numpy()
-            for a, b in X.pieces(texts):
-                x = _Lines(texts[a:b], least)
-                if not len(x.lines):
-                    continue
-                one = x.digests()[0]
-                sent = np.ones(len(one), dtype=bool)
-                if len(hot_d1):
-                    at = np.minimum(np.searchsorted(hot_d1, one), len(hot_d1) - 1)
-                    here = (hot_place[at] == places[a:b][x.text]) & (hot_line[at] == x.line_no)
-                    sent = (hot_d1[at] != one) | here
-                # Once per piece, of those that are sent at all: a copy may stand before its class's first place.
-                able = np.flatnonzero(sent)
-                sent[:] = False
-                sent[able[np.unique(one[able], return_index=True)[1]]] = True
-                common = present(shared.value, x.hashes)
-                # Rarest first, up to a count of a million; then the hash decides. Words of one line only lead.
-                rank = np.where(common, ranks[x.hashes >> np.uint64(64 - _RANK_BITS)], 0)
-                rank = np.minimum(rank, (1 << 20) - 1).astype(np.uint64)
-                key = (rank << np.uint64(44)) | (x.hashes >> np.uint64(20))
-                order = _by_line(np.repeat(np.arange(len(x.lines)), x.sizes), key, len(x.lines))
-                h, common = x.hashes[order], common[order]
-                position = np.arange(len(h)) - np.repeat(x.starts, x.sizes)
-                probe, index = prefix_lengths(x.sizes, similarity)
-                keep = (position < np.repeat(probe, x.sizes)) & common & np.repeat(sent, x.sizes)
-                line, words = np.repeat(np.arange(len(x.lines)), x.sizes)[keep], h[keep]
-                head = np.searchsorted(line, line)  # the line's first row
-                parts.append([words, *(np.repeat(v, x.sizes)[keep] for v in (one, x.parities(), x.sizes, index, docs[a:b][x.text])), position[keep], *_before(words, head)])
-            if parts:
-                rows = [np.concatenate(v) for v in zip(*parts, strict=True)]
-                _, first = np.unique(X.mixed(rows[0]) ^ rows[1], return_index=True)
-                h, one, bits, size, index, doc, position, *before = (v[first] for v in rows)
-                numbers = [pa.array(v.astype(np.int32)) for v in (size, size - position)]
-                columns = [pa.array(_half(h)), pa.array(X.signed(one)), pa.array(X.signed(bits)), *numbers, pa.array((position < index).astype(np.int32)), pa.array(doc)]
-                columns += [pa.array(b.astype(np.int32), mask=b == _NO_WORD) for b in before]
-                yield pa.record_batch(columns, [f.split()[0] for f in _PREFIXES.split(", ")])
+            if rows := _prefix_rows(batch, least, similarity, ranks, shared, hot):
+                wanted = present(often.value, rows[0])
+                h, one, low, high, size, position, doc = (v[wanted] for v in rows[:7])
+                numbers = [size, size - position, position < prefix_lengths(size, similarity)[1]]
+                columns = [_half(h).view(np.int32), *map(X.signed, (one, low, high)), *(v.astype(np.int32) for v in numbers), doc]
+                yield pa.record_batch([pa.array(c) for c in columns], [f.split()[0] for f in _PREFIXES.split(", ")])
 
     return run
 
 
+def _blocks(least: int, similarity: Fraction, ranked, shared, hot, many):
+    """doc_id, place, text -> block, rows: all prefix rows of a batch whose keys fall in a block, column by column.
+
+    The key is half of the word's hash. A row of a word in ``many`` gets one key per cell of its line's group.
+    """
+
+    def run(batches):
+        ranks = _rank_table(ranked)
+        for batch in batches:
+            rows = _prefix_rows(batch, least, similarity, ranks, shared, hot)
+            if not rows or not len(rows[0]):
+                continue
+            h, one, low, high, size, position, _, *before = rows
+            word, key = _half(h), _half(h)
+            copied = np.flatnonzero(present(many.value, h))
+            group = (one[copied] >> np.uint64(16)) % np.uint64(GROUPS)
+            keys, at = [np.delete(key, copied)], [np.delete(np.arange(len(h)), copied)]
+            for g in map(np.uint64, range(GROUPS)):
+                cell = np.minimum(group, g) * np.uint64(GROUPS) + np.maximum(group, g) + np.uint64(1)
+                keys.append(_half(X.mixed(word[copied].astype(np.uint64) * np.uint64(GROUPS * GROUPS + 1) + cell)))
+                at.append(copied)
+            key, at = np.concatenate(keys), np.concatenate(at)
+            order = np.argsort((key.astype(np.uint64) << np.uint64(32)) | size[at].astype(np.uint64))
+            key, at = key[order], at[order]
+            small = np.uint16 if size.max() <= np.iinfo(np.uint16).max else np.uint32
+            before = [np.where(w[at] == word[at], key, w[at]) for w in before]
+            columns = [key, *(v[at] for v in (one, low, high)), *before, size[at].astype(small), position[at].astype(small)]
+            block = (key >> np.uint32(32 - _BLOCKS.bit_length() + 1)).astype(np.int32)
+            ends = np.append(np.flatnonzero(block[1:] != block[:-1]) + 1, len(block))
+            blobs = [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True)]
+            counts = np.diff(np.append(0, ends))
+            yield pa.record_batch([pa.array(block[ends - 1]), pa.array(counts.astype(np.int32)), pa.array(blobs, pa.binary())], ["block", "n", "rows"])
+
+    return run
+
+
+def _columns(blob: bytes, n: int) -> list:
+    """The columns of a block's part: key, d1, two of parities, words before, size, position."""
+    small = np.uint16 if len(blob) == n * (28 + 4 * BEFORE + 4) else np.uint32
+    out, at = [], 0
+    for kind in (np.uint32, *[np.uint64] * 3, *[np.uint32] * BEFORE, small, small):
+        out.append(np.frombuffer(blob, kind, n, at))
+        at += out[-1].nbytes
+    return out
+
+
+def _proposed(parts: list, similarity: Fraction, settled: np.ndarray) -> np.ndarray:
+    """Pairs of lines (d1 and d1, the smaller first) of a block that share a prefix word and pass the filters."""
+    key, one, low, high, *before, size, position = (np.concatenate(c) for c in zip(*parts, strict=True))
+    size, position = size.astype(np.int64), position.astype(np.int64)
+    order = np.lexsort((size, key))
+    key, one, low, high, size, position, *before = (v[order] for v in (key, one, low, high, size, position, *before))
+    up, down = similarity.numerator, similarity.denominator
+    indexed, rest = position < prefix_lengths(size, similarity)[1], size - position
+    known = np.zeros(len(one), dtype=bool)
+    if len(settled):
+        known = settled[np.minimum(np.searchsorted(settled, one), len(settled) - 1)] == one
+    # Partners of a row stand behind it, with the same key, and are not too long.
+    number, far = np.cumsum(np.append(0, key[1:] != key[:-1])), int(size.max()) + 1
+    until = np.searchsorted(number * far + size, number * far + np.minimum(size * down // up, far - 1), side="right")
+    n = until - np.arange(len(key)) - 1
+    sums, out, a = np.cumsum(n), [], 0
+    while a < len(key):
+        done = sums[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(sums, done + _AT_ONCE, side="right")))
+        i = np.repeat(np.arange(a, b), n[a:b])
+        j = np.arange(len(i)) - (np.repeat(sums[a:b] - n[a:b], n[a:b]) - done) + i + 1
+        a = b
+        for passes in (
+            lambda i, j: (indexed[i] | (size[i] == size[j]) & indexed[j]) & ~(known[i] & known[j]) & (one[i] != one[j]),
+            lambda i, j: np.bitwise_count(low[i] ^ low[j]).astype(np.int64) * (up + down) <= (size[i] + size[j]) * (down - up),
+            lambda i, j: np.minimum(rest[i], rest[j]) * (up + down) >= (size[i] + size[j]) * up,
+            lambda i, j: (np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j])) * (up + down) <= (size[i] + size[j]) * (down - up),
+        ):
+            keep = passes(i, j)
+            i, j = i[keep], j[keep]
+        # If a carried word before both rows is shared, the pair is proposed there: it stands earlier in both lines,
+        # so the filters that hold here hold there. The key itself stands for no word.
+        for x, y in product(before, before):
+            keep = (x[i] != y[j]) | (x[i] == key[i])
+            i, j = i[keep], j[keep]
+        out.append(np.unique(np.stack([np.minimum(one[i], one[j]), np.maximum(one[i], one[j])], axis=1), axis=0))
+    return np.unique(np.concatenate(out), axis=0)
+
+
+def _compared(similarity: Fraction, settled):
+    """block, n, rows in order of block -> pairs (a1, b1) of lines."""
+
+    def run(batches):
+        block, parts = None, []
+        for batch in batches:
+            for at, n, blob in zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2), strict=True):
+                if at != block and parts:
+                    yield _pairs(_proposed(parts, similarity, settled.value))
+                    parts = []
+                block = at
+                parts.append(_columns(memoryview(blob.as_buffer()), n))
+        if parts:
+            yield _pairs(_proposed(parts, similarity, settled.value))
+
+    return run
+
+
+def _pairs(lines: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(X.signed(np.ascontiguousarray(lines[:, k]))) for k in (0, 1)], ["a1", "b1"])
+
+
 def _sets(least: int, wanted, homes):
     """place, text -> whole sets of the lines whose d1 is wanted, from the texts whose place is in ``homes``."""
 
@@ -248,16 +378,6 @@ def _verified(similarity: Fraction):
     return run
 
 
-def _first_shared() -> Column:
-    """Whether the carried words before x's row and before y's have none in common.
-
-    If they have one, the same join proposes the pair there: it stands earlier in both lines, so the length and
-    positional filters that hold here hold there.
-    """
-    same = [F.coalesce(F.col(f"x.b{i}") == F.col(f"y.b{j}"), F.lit(False)) for i in range(BEFORE) for j in range(BEFORE)]
-    return ~reduce(or_, same)
-
-
 def _sent(table: DataFrame) -> DataFrame:
     """A stored table with the hint to broadcast it if it is short enough."""
     return F.broadcast(table) if table.count() <= MOST_SENT else table
@@ -299,32 +419,33 @@ class LineDedup:
         keys = most.column("d1").to_numpy().view(np.uint64)
         order = np.argsort(keys)
         hot = self.spark.sparkContext.broadcast((keys[order], *(most.column(c).to_numpy()[order] for c in ("place", "line_no"))))
-        rows = self.places.mapInArrow(_prefixes(self.joined, self.similarity, ranked, shared, hot), _PREFIXES)
-        rows = stored = s.store(rows, "prefixes")
-        for sent in (shared, ranked, hot):
-            sent.destroy()
+        often = bitset(counts.where(F.col("n") > FEW), F.col("word"))
+        rows = self.places.mapInArrow(_prefixes(self.joined, self.similarity, ranked, shared, hot, often), _PREFIXES)
+        rows = s.store(rows, "prefixes")
         crowded = s.store(rows.groupBy("word").count().where(F.col("count") > FEW).select("word"), "crowded")
         crowd = rows.join(_sent(crowded), "word")
-        lead = crowd.groupBy("word").agg(F.min(F.struct("doc", "d1", "bits", "size", "rest", "indexed")).alias("l"))
+        lead = crowd.groupBy("word").agg(F.min(F.struct("doc", "d1", "bits", "bits2", "size", "rest", "indexed")).alias("l"))
         lead = s.store(lead.select("word", "l.*").drop("doc"), "leaders")
         crowd = crowd.select(*lead.columns)
         stars = s.store(self._near(_sent(lead), crowd, F.col("x.d1") != F.col("y.d1")).distinct(), "candidates")
+        s.drop(rows)
         sets = self._sets(stars, classes, None)
         settled = s.store(self._late(self._verified(stars, sets), classes), "settled")
-        rows = rows.drop("doc")
-        free = rows.join(_sent(settled.select("d1")), "d1", "left_anti")
-        bound = rows.join(_sent(settled.select("d1")), "d1", "left_semi")
-        pairs = self._near(free, free, (F.col("x.d1") < F.col("y.d1")) & _first_shared()).unionByName(
-            self._near(free, bound, (F.col("x.d1") != F.col("y.d1")) & _first_shared())
-        )
-        pairs = s.store(pairs.distinct(), "candidates")
-        s.drop(stored)
+        # A fixed number of lines: 16 MB at most.
+        known = settled.select("d1").distinct()
+        known = (known if settled.count() <= SETTLED else known.orderBy("d1").limit(SETTLED)).toArrow()
+        known = self.spark.sparkContext.broadcast(np.sort(known.column("d1").to_numpy().view(np.uint64)))
+        many = bitset(counts.where(F.col("n") > MANY), F.col("word"))
+        blocks = self.places.mapInArrow(_blocks(self.joined, self.similarity, ranked, shared, hot, many), "block int, n int, rows binary")
+        blocks = blocks.repartition("block").sortWithinPartitions("block")
+        pairs = s.store(blocks.mapInArrow(_compared(self.similarity, known), "a1 long, b1 long").distinct(), "candidates")
+        for sent in (shared, ranked, hot, often, known, many):
+            sent.destroy()
         late = self._late(self._verified(pairs, self._sets(pairs, classes, sets)), classes)
         return late.unionByName(settled).distinct()
 
     def _near(self, x: DataFrame, y: DataFrame, apart: Column) -> DataFrame:
         """Pairs (a1, b1) of lines of ``x`` and ``y`` that share a prefix word and pass the filters."""
-        # The same columns of both sides are used, so that the shuffles of a join with itself are equal and run once.
         x, y = x.alias("x"), y.alias("y")
         up, down = self.similarity.numerator, self.similarity.denominator
         total = F.col("x.size") + F.col("y.size")
@@ -334,7 +455,7 @@ class LineDedup:
             & (F.coalesce(shorter, F.greatest("x.indexed", "y.indexed")) == 1)
             & (F.greatest("x.size", "y.size") * up <= F.least("x.size", "y.size") * down)
             & (F.least("x.rest", "y.rest") * (up + down) >= total * up)
-            & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) * (up + down) <= total * (down - up))
+            & (sum(F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("bits", "bits2")) * (up + down) <= total * (down - up))
         )
         return x.join(y, near & apart).select(F.col("x.d1").alias("a1"), F.col("y.d1").alias("b1"))
 

@@ -342,6 +342,29 @@ def test_line_dedup_by_earliest_lines_first(spark, monkeypatch, most_sent):
     assert got == brute.late_lines(rows)
 
 
+def test_line_dedup_by_cells_of_common_words(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "MANY", 0)
+    monkeypatch.setattr(line_dedup, "SETTLED", 1)
+    got = {(r.doc_id, k) for r in line_dedup.report(frame(spark, texts())).collect() for k in r.removed_lines}
+    assert got == brute.late_lines(texts())
+
+
+def test_line_dedup_proposes_no_long_unlike_lines(spark, monkeypatch):
+    rnd, proposed, store = random.Random(4), [], line_dedup.Scratch.store
+
+    def stored(self, df, name):
+        table = store(self, df, name)
+        if name == "candidates":
+            proposed.append(table.count())
+        return table
+
+    monkeypatch.setattr(line_dedup.Scratch, "store", stored)
+    rows = [(i, " ".join(rnd.sample([f"w{k}" for k in range(6000)], 140))) for i in range(400)]
+    rows.append((1000, rows[7][1] + " more"))
+    got = {(r.doc_id, k) for r in line_dedup.report(frame(spark, rows)).collect() for k in r.removed_lines}
+    assert got == {(1000, 0)} and 1 <= sum(proposed) < 40
+
+
 def test_line_dedup_of_rows_out_of_order(spark):
     copy = [f"w{i}" for i in range(12)]
     near = [" ".join([*copy[:-1], f"v{i}"]) for i in range(3)]
