@@ -8,12 +8,13 @@ class. Classes are joined when the Jaccard similarity of their sets is at least
 * prefix filter: two similar lines share a word of the longer line's prefix and the shorter line's (shorter)
   index prefix; words that occur in one line only are never sent;
 * length, positional and parity filters;
-* words in many prefixes first propose only the earliest line they occur in; lines found similar to an earlier
-  one are settled, and two settled lines are not compared any more, so a large group of near copies costs a few
-  comparisons per line and not their square;
-* then all prefix rows, packed in blocks by a leading part of the word's hash, meet in one shuffle, and each task
-  compares the lines of its words;
-* the surviving pairs are verified on their whole sets.
+* prefix rows, packed in blocks by a leading part of the word's hash, meet in one shuffle, and each task compares
+  the lines of its words;
+* of the earlier lines that a line may be similar to, each of its prefix words proposes the few nearest; these are
+  verified on whole sets. A line found similar to an earlier one is settled, so a group of near copies costs a few
+  pairs per line and not its square;
+* lines that are not settled and have more possible partners are open: the words of their prefixes meet once more,
+  and all their pairs are verified.
 
 A line goes when an equal or similar line stands earlier, by document id, then position.
 """
@@ -21,11 +22,10 @@ A line goes when an equal or similar line stands earlier, by document id, then p
 from __future__ import annotations
 
 from fractions import Fraction
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.llm import textops as X
@@ -38,15 +38,15 @@ RANKED_WORDS = 1 << 18
 _RANK_BITS = 22
 #: Classes with most copies, whose lines are sent from their first place only; others once per batch.
 HOT_CLASSES = 1 << 18
-#: A word in more prefixes than this proposes its earliest line before all the others.
-FEW = 1024
+#: The lines of a word in more prefix rows than this meet the earliest ones first, so many at most.
+FEW, LEADERS = 1024, 16
 #: The rows of a word in more lines than this are dealt to cells, each for two of so many groups of lines.
 MANY, GROUPS = 1 << 12, 8
-#: A prefix row carries so many words of its line's prefix before it, so that most pairs are proposed once only.
-BEFORE = 2
+#: Earlier lines that a prefix word proposes to a line at first.
+NEAREST = 2
 #: Blocks of prefix rows by hash.
 _BLOCKS = 1 << 11
-#: Settled lines known to every task (16 MB); what is beyond is compared like the others.
+#: Open lines sent to every task as they are (16 MB); more are sent as a bit table, which lets a few others pass.
 SETTLED = 1 << 21
 #: Pairs of rows that a task looks at together.
 _AT_ONCE = 1 << 20
@@ -155,29 +155,22 @@ def prefix_lengths(sizes: np.ndarray, similarity: Fraction) -> tuple[np.ndarray,
     return probe, index
 
 
-_PREFIXES = "word int, d1 long, bits long, bits2 long, size int, rest int, indexed int, doc long"
-
-
 def _half(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(32)).astype(np.uint32)
 
 
-def _before(words: np.ndarray, head: np.ndarray) -> list:
-    """Per row of a line that begins at row ``head``: the line's first words, the row's own from this row on."""
-    at = np.arange(len(words))
-    return [np.where(head + i < at, words[np.minimum(head + i, max(len(words) - 1, 0))], words) for i in range(BEFORE)]
-
-
 def _prefix_rows(batch, least: int, similarity: Fraction, ranks, shared, hot) -> list | None:
     """doc_id, place, text -> the prefix words of every line, as columns: hash, d1, two of parities, size, position,
-    document, and the first words (halves of hashes) of the line that are sent, as far as they stand before this one.
+    document, place, line number.
 
-    A line is sent once per batch; a line of a hot class only where the class stands first.
+    A line is sent once per batch, where it stands first; a line of a hot class only where the class stands first.
     """
     hot_d1, hot_place, hot_line = hot.value
+    docs, places = batch.column(0).fill_null(_NO_ID).to_numpy(), batch.column(1).to_numpy()
+    order = np.lexsort((places, docs))
+    docs, places = docs[order], places[order]
     texts, parts = X.raw_texts(batch.column(2)), []
-    docs = batch.column(0).fill_null(_NO_ID).to_numpy()
-    places = batch.column(1).to_numpy()
+    texts = [texts[i] for i in order.tolist()]
     for a, b in X.pieces(texts):
         x = _Lines(texts[a:b], least)
         if not len(x.lines):
@@ -203,8 +196,8 @@ def _prefix_rows(batch, least: int, similarity: Fraction, ranks, shared, hot) ->
         probe, _ = prefix_lengths(x.sizes, similarity)
         keep = (position < np.repeat(probe, x.sizes)) & common & np.repeat(sent, x.sizes)
         line, words = np.repeat(np.arange(len(x.lines)), x.sizes)[keep], h[keep]
-        head = np.searchsorted(line, line)  # the line's first row
-        parts.append([words, *(v[line] for v in (one, *x.parities(), x.sizes)), position[keep], docs[a:b][x.text][line], *_before(_half(words), head)])
+        text = x.text[line]
+        parts.append([words, *(v[line] for v in (one, *x.parities(), x.sizes)), position[keep], docs[a:b][text], places[a:b][text], x.line_no[line]])
     if not parts:
         return None
     rows = [np.concatenate(v) for v in zip(*parts, strict=True)]
@@ -219,29 +212,11 @@ def _rank_table(ranked) -> np.ndarray:
     return ranks
 
 
-def _prefixes(least: int, similarity: Fraction, ranked, shared, hot, often):
-    """doc_id, place, text -> the prefix words that may be in ``often``. word is half of its hash: sharing it
-    proposes, no more. d1 and bits tell the line, size its words, rest those from this one on, indexed the shorter
-    prefix, doc the document.
-    """
-
-    def run(batches):
-        ranks = _rank_table(ranked)
-        for batch in batches:
-            if rows := _prefix_rows(batch, least, similarity, ranks, shared, hot):
-                wanted = present(often.value, rows[0])
-                h, one, low, high, size, position, doc = (v[wanted] for v in rows[:7])
-                numbers = [size, size - position, position < prefix_lengths(size, similarity)[1]]
-                columns = [_half(h).view(np.int32), *map(X.signed, (one, low, high)), *(v.astype(np.int32) for v in numbers), doc]
-                yield pa.record_batch([pa.array(c) for c in columns], [f.split()[0] for f in _PREFIXES.split(", ")])
-
-    return run
-
-
-def _blocks(least: int, similarity: Fraction, ranked, shared, hot, many):
+def _blocks(least: int, similarity: Fraction, ranked, shared, hot, many, wanted=None):
     """doc_id, place, text -> block, rows: all prefix rows of a batch whose keys fall in a block, column by column.
 
-    The key is half of the word's hash. A row of a word in ``many`` gets one key per cell of its line's group.
+    The key is half of the word's hash. A row of a word in ``many`` gets one key per cell of its line's group. With
+    ``wanted`` only the rows of keys that may be in it.
     """
 
     def run(batches):
@@ -250,7 +225,7 @@ def _blocks(least: int, similarity: Fraction, ranked, shared, hot, many):
             rows = _prefix_rows(batch, least, similarity, ranks, shared, hot)
             if not rows or not len(rows[0]):
                 continue
-            h, one, low, high, size, position, _, *before = rows
+            h, one, low, high, size, position, doc, place, line = rows
             word, key = _half(h), _half(h)
             copied = np.flatnonzero(present(many.value, h))
             group = (one[copied] >> np.uint64(16)) % np.uint64(GROUPS)
@@ -260,89 +235,175 @@ def _blocks(least: int, similarity: Fraction, ranked, shared, hot, many):
                 keys.append(_half(X.mixed(word[copied].astype(np.uint64) * np.uint64(GROUPS * GROUPS + 1) + cell)))
                 at.append(copied)
             key, at = np.concatenate(keys), np.concatenate(at)
+            if wanted is not None:
+                keep = present(wanted.value, key.astype(np.uint64) << np.uint64(32))
+                key, at = key[keep], at[keep]
+                if not len(key):
+                    continue
             order = np.argsort((key.astype(np.uint64) << np.uint64(32)) | size[at].astype(np.uint64))
             key, at = key[order], at[order]
-            small = np.uint16 if size.max() <= np.iinfo(np.uint16).max else np.uint32
-            before = [np.where(w[at] == word[at], key, w[at]) for w in before]
-            columns = [key, *(v[at] for v in (one, low, high)), *before, size[at].astype(small), position[at].astype(small)]
+            small = max(size.max(), line.max()) <= np.iinfo(np.uint16).max
+            near = int(doc.max()) - int(doc.min()) <= np.iinfo(np.uint32).max
+            base = int(doc.min()) if near else 0
+            doc = (doc - base).astype(np.uint32) if near else doc
+            numbers = (v.astype(np.uint16 if small else np.uint32) for v in (line, size, position))
+            columns = [key, *(v[at] for v in (one, low, high, doc, place, *numbers))]
             block = (key >> np.uint32(32 - _BLOCKS.bit_length() + 1)).astype(np.int32)
             ends = np.append(np.flatnonzero(block[1:] != block[:-1]) + 1, len(block))
             blobs = [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True)]
-            counts = np.diff(np.append(0, ends))
-            yield pa.record_batch([pa.array(block[ends - 1]), pa.array(counts.astype(np.int32)), pa.array(blobs, pa.binary())], ["block", "n", "rows"])
+            counts = np.diff(np.append(0, ends)).astype(np.int32)
+            same = lambda v, t: pa.array(np.full(len(ends), v), t)
+            arrays = [pa.array(block[ends - 1]), pa.array(counts), same(base, pa.int64()), same(near, pa.bool_()), same(small, pa.bool_()), pa.array(blobs, pa.binary())]
+            yield pa.record_batch(arrays, [f.split()[0] for f in _PACKED.split(", ")])
 
     return run
 
 
-def _columns(blob: bytes, n: int) -> list:
-    """The columns of a block's part: key, d1, two of parities, words before, size, position."""
-    small = np.uint16 if len(blob) == n * (28 + 4 * BEFORE + 4) else np.uint32
+_PACKED = "block int, n int, base long, near boolean, small boolean, rows binary"
+
+
+def _columns(n: int, base: int, near: bool, small: bool, blob: memoryview) -> list:
+    """The columns of a block's part: key, d1, two of parities, document, place, line number, size, position."""
+    number = np.uint16 if small else np.uint32
     out, at = [], 0
-    for kind in (np.uint32, *[np.uint64] * 3, *[np.uint32] * BEFORE, small, small):
+    for kind in (np.uint32, *[np.uint64] * 3, np.uint32 if near else np.int64, np.int64, number, number, number):
         out.append(np.frombuffer(blob, kind, n, at))
         at += out[-1].nbytes
+    out[4] = out[4].astype(np.int64) + base
     return out
 
 
-def _proposed(parts: list, similarity: Fraction, settled: np.ndarray) -> np.ndarray:
-    """Pairs of lines (d1 and d1, the smaller first) of a block that share a prefix word and pass the filters."""
-    key, one, low, high, *before, size, position = (np.concatenate(c) for c in zip(*parts, strict=True))
-    size, position = size.astype(np.int64), position.astype(np.int64)
-    order = np.lexsort((size, key))
-    key, one, low, high, size, position, *before = (v[order] for v in (key, one, low, high, size, position, *before))
-    up, down = similarity.numerator, similarity.denominator
-    indexed, rest = position < prefix_lengths(size, similarity)[1], size - position
-    known = np.zeros(len(one), dtype=bool)
-    if len(settled):
-        known = settled[np.minimum(np.searchsorted(settled, one), len(settled) - 1)] == one
-    # Partners of a row stand behind it, with the same key, and are not too long.
-    number, far = np.cumsum(np.append(0, key[1:] != key[:-1])), int(size.max()) + 1
-    until = np.searchsorted(number * far + size, number * far + np.minimum(size * down // up, far - 1), side="right")
-    n = until - np.arange(len(key)) - 1
-    sums, out, a = np.cumsum(n), [], 0
-    while a < len(key):
-        done = sums[a - 1] if a else 0
-        b = max(a + 1, int(np.searchsorted(sums, done + _AT_ONCE, side="right")))
-        i = np.repeat(np.arange(a, b), n[a:b])
-        j = np.arange(len(i)) - (np.repeat(sums[a:b] - n[a:b], n[a:b]) - done) + i + 1
-        a = b
+class _Block:
+    """The prefix rows of a block by key, then size."""
+
+    def __init__(self, parts: list, similarity: Fraction):
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        order = np.argsort((columns[0].astype(np.uint64) << np.uint64(32)) | columns[7].astype(np.uint64))
+        self.key, self.one, self.low, self.high, self.doc, self.place, self.line, size, position = (v[order] for v in columns)
+        self.size = size = size.astype(np.int64)
+        self.up, self.down = similarity.numerator, similarity.denominator
+        self.indexed, self.rest = position < prefix_lengths(size, similarity)[1], size - position
+        number, far = np.cumsum(np.append(0, self.key[1:] != self.key[:-1])), int(size.max()) + 1
+        # Partners of a row have its key and are neither too short nor too long.
+        at = number * far + size
+        self.begin = np.searchsorted(at, number * far - (-size * self.up // self.down))
+        self.end = np.searchsorted(at, number * far + np.minimum(size * self.down // self.up, far - 1), side="right")
+        self.starts = np.append(np.flatnonzero(np.append(True, number[1:] != number[:-1])), len(number))
+
+    def near(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(earlier, later, least number of words that only one has) of the pairs of rows that pass the filters.
+
+        ``i`` stands before ``j`` in the block.
+        """
+        up, down = self.up, self.down
+        size, one, low, high, rest = self.size, self.one, self.low, self.high, self.rest
         for passes in (
-            lambda i, j: (indexed[i] | (size[i] == size[j]) & indexed[j]) & ~(known[i] & known[j]) & (one[i] != one[j]),
+            lambda i, j: (self.indexed[i] | (size[i] == size[j]) & self.indexed[j]) & (one[i] != one[j]) & (size[j] * up <= size[i] * down),
             lambda i, j: np.bitwise_count(low[i] ^ low[j]).astype(np.int64) * (up + down) <= (size[i] + size[j]) * (down - up),
             lambda i, j: np.minimum(rest[i], rest[j]) * (up + down) >= (size[i] + size[j]) * up,
-            lambda i, j: (np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j])) * (up + down) <= (size[i] + size[j]) * (down - up),
         ):
             keep = passes(i, j)
             i, j = i[keep], j[keep]
-        # If a carried word before both rows is shared, the pair is proposed there: it stands earlier in both lines,
-        # so the filters that hold here hold there. The key itself stands for no word.
-        for x, y in product(before, before):
-            keep = (x[i] != y[j]) | (x[i] == key[i])
-            i, j = i[keep], j[keep]
-        out.append(np.unique(np.stack([np.minimum(one[i], one[j]), np.maximum(one[i], one[j])], axis=1), axis=0))
-    return np.unique(np.concatenate(out), axis=0)
+        apart = np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j])
+        keep = apart * (up + down) <= (size[i] + size[j]) * (down - up)
+        i, j, apart = i[keep], j[keep], apart[keep]
+        first = self.line[i] < self.line[j]
+        for v in (self.place, self.doc):
+            first = (v[i] < v[j]) | (v[i] == v[j]) & first
+        return np.where(first, i, j), np.where(first, j, i), apart
+
+    def covered(self, a: int, b: int) -> tuple[np.ndarray, list]:
+        """Rows a to b, of one key: those that no leader (an early row) is near to, and the leaders' pairs."""
+        left = np.lexsort((self.line[a:b], self.place[a:b], self.doc[a:b])) + a
+        leaders, found = [], []
+        while len(left) > 1 and len(leaders) < LEADERS:
+            leader, left = left[0], left[1:]
+            leaders.append(leader)
+            found.append(self.near(np.minimum(leader, left), np.maximum(leader, left)))
+            left = np.setdiff1d(left, found[-1][1], assume_unique=True)
+        return np.append(np.array(leaders, dtype=np.int64), left), found
+
+    def nearest(self, found: list, most: int | None, all_seen: np.ndarray) -> np.ndarray:
+        """(d1 of the earlier, d1 of the later, key, whether that key may have more for the later line), no repeats."""
+        i, j, apart = (np.concatenate(v) for v in zip(*found, strict=True))
+        rows = np.stack([self.key[j].astype(np.uint64), self.one[j], apart.astype(np.uint64), self.one[i], (~all_seen[j]).astype(np.uint64)])
+        rows = rows[:, np.lexsort(rows[::-1])]
+        new = np.ones(rows.shape[1], dtype=bool)
+        new[1:] = (rows[:, 1:] != rows[:, :-1]).any(axis=0)
+        key, later, _, earlier, unseen = rows = rows[:, new]
+        if not len(key):
+            return np.zeros((4, 0), dtype=np.uint64)
+        most = len(key) if most is None else most
+        head = np.flatnonzero(np.append(True, (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)))
+        n = np.diff(np.append(head, len(key)))
+        more = np.repeat((n > most) | (np.maximum.reduceat(unseen, head) > 0), n)
+        keep = np.arange(len(key)) - np.repeat(head, n) < most
+        return np.stack([earlier, later, key, more.astype(np.uint64)])[:, keep]
+
+
+def _proposed(parts: list, similarity: Fraction, few: int, most: int, opened) -> np.ndarray:
+    """Pairs of lines of a block that share a prefix word and pass the filters: see ``_Block.nearest``.
+
+    Without ``opened`` the ``most`` nearest ones of every line and word, else all of the lines that are in it.
+    """
+    x, found = _Block(parts, similarity), []
+    n, at = len(x.key), np.arange(len(x.key))
+    if opened is None:
+        # All rows look at those behind them; where leaders were tried, only rows without one look, and both ways.
+        target, begin = np.ones(n, dtype=bool), at + 1
+        sizes = np.diff(x.starts)
+        for k in np.flatnonzero(sizes > few).tolist():
+            a, b = x.starts[k], x.starts[k + 1]
+            left, pairs = x.covered(a, b)
+            found += pairs
+            target[a:b] = False
+            target[left] = True
+            begin[a:b] = x.begin[a:b]
+    else:
+        target, begin = opened(x.one), x.begin
+    count = np.where(target, x.end - begin, 0)
+    sums, a = np.cumsum(count), 0
+    while a < n:
+        done = sums[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(sums, done + _AT_ONCE, side="right")))
+        i = np.repeat(np.arange(a, b), count[a:b])
+        j = np.arange(len(i)) - (np.repeat(sums[a:b] - count[a:b], count[a:b]) - done) + begin[i]
+        i, j = np.minimum(i, j), np.maximum(i, j)
+        i, j, apart = x.near(i, j)
+        keep = target[j]
+        found.append((i[keep], j[keep], apart[keep]))
+        a = b
+    return x.nearest(found, most if opened is None else None, target)
+
 
+def _compared(similarity: Fraction, few: int, most: int, opened=None):
+    """Blocks in order -> the pairs of lines proposed. ``opened`` holds the d1 of open lines, sorted, or a bit table."""
 
-def _compared(similarity: Fraction, settled):
-    """block, n, rows in order of block -> pairs (a1, b1) of lines."""
+    def held(one):
+        table = opened.value
+        if table.dtype == np.uint8:
+            return present(table, one)
+        return table[np.minimum(np.searchsorted(table, one), len(table) - 1)] == one
 
     def run(batches):
         block, parts = None, []
         for batch in batches:
-            for at, n, blob in zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2), strict=True):
+            numbers = zip(*(batch.column(k).to_pylist() for k in range(5)), batch.column(5), strict=True)
+            for at, n, base, near, small, blob in numbers:
                 if at != block and parts:
-                    yield _pairs(_proposed(parts, similarity, settled.value))
+                    yield _pairs(_proposed(parts, similarity, few, most, opened and held))
                     parts = []
                 block = at
-                parts.append(_columns(memoryview(blob.as_buffer()), n))
+                parts.append(_columns(n, base, near, small, memoryview(blob.as_buffer())))
         if parts:
-            yield _pairs(_proposed(parts, similarity, settled.value))
+            yield _pairs(_proposed(parts, similarity, few, most, opened and held))
 
     return run
 
 
-def _pairs(lines: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(X.signed(np.ascontiguousarray(lines[:, k]))) for k in (0, 1)], ["a1", "b1"])
+def _pairs(rows: np.ndarray) -> pa.RecordBatch:
+    numbers = [pa.array(X.signed(np.ascontiguousarray(v))) for v in rows[:3]]
+    return pa.record_batch([*numbers, pa.array(rows[3] > 0)], ["a1", "b1", "key", "more"])
 
 
 def _sets(least: int, wanted, homes):
@@ -371,7 +432,7 @@ def _verified(similarity: Fraction):
             keep = []
             for s, t in zip(batch.column(4), batch.column(5), strict=True):
                 s, t = np.asarray(s.values), np.asarray(t.values)
-                union = len(np.union1d(s, t))
+                union = len(s) + len(t) - len(np.intersect1d(s, t, assume_unique=True))
                 keep.append((len(s) + len(t) - union) * similarity.denominator >= similarity.numerator * union)
             yield batch.select(["a1", "a2", "b1", "b2"]).filter(pa.array(keep, pa.bool_()))
 
@@ -419,45 +480,36 @@ class LineDedup:
         keys = most.column("d1").to_numpy().view(np.uint64)
         order = np.argsort(keys)
         hot = self.spark.sparkContext.broadcast((keys[order], *(most.column(c).to_numpy()[order] for c in ("place", "line_no"))))
-        often = bitset(counts.where(F.col("n") > FEW), F.col("word"))
-        rows = self.places.mapInArrow(_prefixes(self.joined, self.similarity, ranked, shared, hot, often), _PREFIXES)
-        rows = s.store(rows, "prefixes")
-        crowded = s.store(rows.groupBy("word").count().where(F.col("count") > FEW).select("word"), "crowded")
-        crowd = rows.join(_sent(crowded), "word")
-        lead = crowd.groupBy("word").agg(F.min(F.struct("doc", "d1", "bits", "bits2", "size", "rest", "indexed")).alias("l"))
-        lead = s.store(lead.select("word", "l.*").drop("doc"), "leaders")
-        crowd = crowd.select(*lead.columns)
-        stars = s.store(self._near(_sent(lead), crowd, F.col("x.d1") != F.col("y.d1")).distinct(), "candidates")
-        s.drop(rows)
-        sets = self._sets(stars, classes, None)
-        settled = s.store(self._late(self._verified(stars, sets), classes), "settled")
-        # A fixed number of lines: 16 MB at most.
-        known = settled.select("d1").distinct()
-        known = (known if settled.count() <= SETTLED else known.orderBy("d1").limit(SETTLED)).toArrow()
-        known = self.spark.sparkContext.broadcast(np.sort(known.column("d1").to_numpy().view(np.uint64)))
         many = bitset(counts.where(F.col("n") > MANY), F.col("word"))
-        blocks = self.places.mapInArrow(_blocks(self.joined, self.similarity, ranked, shared, hot, many), "block int, n int, rows binary")
-        blocks = blocks.repartition("block").sortWithinPartitions("block")
-        pairs = s.store(blocks.mapInArrow(_compared(self.similarity, known), "a1 long, b1 long").distinct(), "candidates")
-        for sent in (shared, ranked, hot, often, known, many):
-            sent.destroy()
-        late = self._late(self._verified(pairs, self._sets(pairs, classes, sets)), classes)
-        return late.unionByName(settled).distinct()
-
-    def _near(self, x: DataFrame, y: DataFrame, apart: Column) -> DataFrame:
-        """Pairs (a1, b1) of lines of ``x`` and ``y`` that share a prefix word and pass the filters."""
-        x, y = x.alias("x"), y.alias("y")
-        up, down = self.similarity.numerator, self.similarity.denominator
-        total = F.col("x.size") + F.col("y.size")
-        shorter = F.when(F.col("x.size") < F.col("y.size"), F.col("x.indexed")).when(F.col("x.size") > F.col("y.size"), F.col("y.indexed"))
-        near = (
-            (F.col("x.word") == F.col("y.word"))
-            & (F.coalesce(shorter, F.greatest("x.indexed", "y.indexed")) == 1)
-            & (F.greatest("x.size", "y.size") * up <= F.least("x.size", "y.size") * down)
-            & (F.least("x.rest", "y.rest") * (up + down) >= total * up)
-            & (sum(F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("bits", "bits2")) * (up + down) <= total * (down - up))
-        )
-        return x.join(y, near & apart).select(F.col("x.d1").alias("a1"), F.col("y.d1").alias("b1"))
+        packing = (self.joined, self.similarity, ranked, shared, hot, many)
+        pairs = s.store(self._candidates(_blocks(*packing), _compared(self.similarity, FEW, NEAREST)), "candidates")
+        sets = self._sets(pairs, classes, None)
+        settled = s.store(self._late(self._verified(pairs, sets), classes), "settled")
+        unsettled = pairs.join(_sent(settled.select(F.col("d1").alias("b1")).distinct()), "b1", "left_anti")
+        opened = s.store(unsettled.where("more").select("b1", "keys"), "open")
+        late, sent = settled, [shared, ranked, hot, many]
+        if not opened.isEmpty():
+            lines = opened.select("b1").distinct()
+            if lines.count() <= SETTLED:
+                lines = lines.toArrow().column("b1").to_numpy().view(np.uint64)
+                lines = self.spark.sparkContext.broadcast(np.sort(lines))
+            else:
+                lines = bitset(lines, F.col("b1"))
+            wanted = bitset(opened.select(F.explode("keys").alias("key")), F.shiftleft("key", 32))
+            sent += [lines, wanted]
+            rest = self._candidates(_blocks(*packing, wanted), _compared(self.similarity, FEW, NEAREST, lines))
+            rest = s.store(rest.join(pairs.select("a1", "b1"), ["a1", "b1"], "left_anti"), "candidates")
+            more = self._late(self._verified(rest, self._sets(rest, classes, sets)), classes)
+            late = more.unionByName(settled).distinct()
+        for x in sent:
+            x.destroy()
+        return late
+
+    def _candidates(self, pack, compare) -> DataFrame:
+        """Pairs (a1 earlier, b1 later) of lines that may be similar, with their keys."""
+        blocks = self.places.mapInArrow(pack, _PACKED).repartition("block").sortWithinPartitions("block")
+        pairs = blocks.mapInArrow(compare, "a1 long, b1 long, key long, more boolean")
+        return pairs.groupBy("a1", "b1").agg(F.collect_set("key").alias("keys"), F.max("more").alias("more"))
 
     def _sets(self, pairs: DataFrame, classes: DataFrame, known: DataFrame | None) -> DataFrame:
         """Whole sets of the lines of ``pairs``, each read where it stands first; those known are not read again."""

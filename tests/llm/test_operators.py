@@ -365,6 +365,63 @@ def test_line_dedup_proposes_no_long_unlike_lines(spark, monkeypatch):
     assert got == {(1000, 0)} and 1 <= sum(proposed) < 40
 
 
+def _candidates(monkeypatch):
+    """The numbers of pairs that are proposed from here on."""
+    proposed, store = [], line_dedup.Scratch.store
+
+    def stored(self, df, name):
+        table = store(self, df, name)
+        if name == "candidates":
+            proposed.append(table.count())
+        return table
+
+    monkeypatch.setattr(line_dedup.Scratch, "store", stored)
+    return proposed
+
+
+def test_line_dedup_proposes_few_pairs_of_a_group_of_near_copies(spark, monkeypatch):
+    proposed, base = _candidates(monkeypatch), [f"w{i}" for i in range(20)]
+    rows = [(i, " ".join([*base, f"v{i}"])) for i in range(200)] + [(900 + i, f"v{i} x{i}") for i in range(200)]
+    got = {(r.doc_id, k) for r in line_dedup.report(frame(spark, rows)).collect() for k in r.removed_lines}
+    assert got == {(i, 0) for i in range(1, 200)}
+    assert sum(proposed) <= 200 * 5  # of 19,900
+
+
+@pytest.mark.parametrize("few", [1, 1 << 10])
+def test_line_dedup_of_open_lines(spark, monkeypatch, few):
+    """Long lines about as similar as the threshold: the nearest ones by parities often fail."""
+    monkeypatch.setattr(line_dedup, "FEW", few)
+    monkeypatch.setattr(line_dedup, "NEAREST", 1)
+    proposed, rnd, rows = _candidates(monkeypatch), random.Random(8), []
+    for g in range(3):
+        base = [f"w{g}x{k}" for k in range(200)]
+        for i in range(25):
+            gone = set(rnd.sample(range(200), rnd.randrange(16, 32)))
+            words = [w if k not in gone else f"n{g}x{i}x{k}" for k, w in enumerate(base)]
+            rows.append((rnd.choice([100 * g + i, 7]), " ".join(words)))
+    got = [(r.doc_id, r.n_lines, tuple(r.removed_lines)) for r in line_dedup.report(frame(spark, rows)).collect()]
+    assert len(proposed) == 2 and proposed[1] > 0
+    late = 0
+    place = {r.text: r.p for r in frame(spark, rows).selectExpr("text", "xxhash64(text) AS p").collect()}
+    ranked = sorted(rows, key=lambda r: (r[0], place[r[1]]))
+    for n, (_, text) in enumerate(ranked):
+        mine = set(text.split())
+        late += any(5 * len(mine & set(t.split())) >= 4 * len(mine | set(t.split())) for _, t in ranked[:n])
+    assert sum(len(removed) for _, _, removed in got) == late
+
+
+def test_bit_table_takes_one_row_per_block():
+    import numpy as np
+    import pyarrow as pa
+
+    from flowlake.llm import bitset
+
+    places = np.arange(0, 3 * bitset._BLOCK, 5, dtype=np.int32)
+    out = list(bitset._packed(pa.record_batch([pa.array(places[k::4])], ["p"]) for k in range(4)))
+    assert sorted(b.column(0)[0].as_py() for b in out) == [0, 1, 2]
+    assert sum(np.unpackbits(np.frombuffer(b.column(1)[0].as_py(), np.uint8)).sum() for b in out) == len(places)
+
+
 def test_line_dedup_of_rows_out_of_order(spark):
     copy = [f"w{i}" for i in range(12)]
     near = [" ".join([*copy[:-1], f"v{i}"]) for i in range(3)]
