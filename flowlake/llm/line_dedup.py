@@ -44,8 +44,8 @@ FEW, LEADERS = 1024, 16
 MANY, GROUPS = 1 << 12, 8
 #: Earlier lines that a prefix word proposes to a line at first.
 NEAREST = 2
-#: Blocks of prefix rows by hash.
-_BLOCKS = 1 << 11
+#: Words and prefix rows go in blocks by so many leading bits of a hash.
+_BLOCK_BITS = 11
 #: Open lines sent to every task as they are (16 MB); more are sent as a bit table, which lets a few others pass.
 SETTLED = 1 << 21
 #: Pairs of rows that a task looks at together.
@@ -53,6 +53,7 @@ _AT_ONCE = 1 << 20
 #: Rows of at most five numbers (20 MB) that are broadcast at most; longer tables are joined by shuffle.
 MOST_SENT = 1 << 19
 _NO_ID = np.iinfo(np.int64).max
+_D1, _D2 = 0x1234567, 0x89ABCDEF
 
 
 def _by_line(line: np.ndarray, key: np.ndarray, n_lines: int) -> np.ndarray:
@@ -63,16 +64,25 @@ def _by_line(line: np.ndarray, key: np.ndarray, n_lines: int) -> np.ndarray:
 
 
 class _Lines:
-    """The distinct words of every line of a few texts, sorted by line and hash."""
+    """The distinct words of every line of a few texts, sorted by line and hash.
 
-    def __init__(self, texts: list, least: int):
+    With ``probed`` (a bit table) only the lines with a word that may be in it.
+    """
+
+    def __init__(self, texts: list, least: int, probed: np.ndarray | None = None):
         words = X.Words(texts)
         breaks = np.flatnonzero(words.buf == 10)
         ends = words.text_ends - 1  # the separator behind each text also ends its last line
         bounds = np.sort(np.concatenate([breaks, ends]))
-        line = np.searchsorted(bounds, words.starts)
-        order = _by_line(line, words.hashes, len(bounds))
-        line, h = line[order], words.hashes[order]
+        n_words = np.diff(np.searchsorted(words.starts, bounds), prepend=0)
+        line, h = np.repeat(np.arange(len(bounds)), n_words), words.hashes
+        if probed is not None:
+            held = np.zeros(len(bounds), dtype=bool)
+            held[line[present(probed, h)]] = True
+            held = np.repeat(held, n_words)
+            line, h = line[held], h[held]
+        order = _by_line(line, h, len(bounds))
+        line, h = line[order], h[order]
         new = np.ones(len(h), dtype=bool)
         new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
         line, h = line[new], h[new]
@@ -89,10 +99,11 @@ class _Lines:
         self.text = np.searchsorted(last, self.lines)
         self.line_no = self.lines - first[self.text]
 
+    def digest(self, salt: int) -> np.ndarray:
+        return np.add.reduceat(X.mixed(self.hashes, salt), self.starts) if len(self.lines) else np.zeros(0, np.uint64)
+
     def digests(self) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.lines):
-            return (np.zeros(0, np.uint64),) * 2
-        return tuple(np.add.reduceat(X.mixed(self.hashes, salt), self.starts) for salt in (0x1234567, 0x89ABCDEF))
+        return self.digest(_D1), self.digest(_D2)
 
     def parities(self) -> tuple[np.ndarray, np.ndarray]:
         """Per line 128 bits, each telling whether an odd number of its words fall on it.
@@ -100,18 +111,27 @@ class _Lines:
         Bits in which two lines differ come from words that only one of them has, so there are at least that
         many such words. With 64 bits, unlike lines of more than a hundred words differ in too few.
         """
-        bit, upper = np.uint64(1) << (self.hashes & np.uint64(63)), (self.hashes & np.uint64(64)) > 0
-        return tuple(np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), self.starts) for half in (~upper, upper))
+        bit, upper = np.uint64(1) << (self.hashes & np.uint64(63)), (self.hashes >> np.uint64(6)) & np.uint64(1)
+        high = bit * upper
+        return tuple(np.bitwise_xor.reduceat(half, self.starts) for half in (bit ^ high, high))
+
 
+_LISTED = "doc_id long, place long, n_lines long, line_no array<long>, d1 array<long>, d2 array<long>, block int, words binary, counts binary"
 
-_LISTED = "doc_id long, place long, n_lines long, line_no array<long>, d1 array<long>, d2 array<long>, words array<long>, counts array<long>"
+
+def _by_block(block: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
+    """The numbers of the blocks of sorted rows, their rows and, column by column, the bytes of each."""
+    starts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+    ends = np.append(starts[1:], len(block))
+    ranges = list(zip(starts.tolist(), ends.tolist(), strict=True))
+    return block[starts].astype(np.int32), (ends - starts).astype(np.int32), [[c[a:b].tobytes() for a, b in ranges] for c in columns]
 
 
 def _listed(least: int, joined: int):
     """doc_id, place, text -> doc_id, place, n_lines and parallel lists of the lines that take part.
 
-    After the rows of a batch comes one row that holds the batch's distinct words and in how many of its lines of
-    at least ``joined`` words each occurs; only that row's ``words`` is not null.
+    After the rows of a batch come the batch's distinct words, packed in blocks by their leading bits, and in how many
+    of its lines of at least ``joined`` words each occurs; only in these rows ``block`` is not null.
     """
 
     def run(batches):
@@ -130,17 +150,43 @@ def _listed(least: int, joined: int):
             if not texts:
                 continue
             count = np.where(null, 0, np.concatenate(n_lines))
-            none = pa.nulls(len(texts), pa.list_(pa.int64()))
-            columns = [batch.column(0), batch.column(1), pa.array(count), *map(X.long_lists, (nos, d1, d2)), none, none]
+            none = [pa.nulls(len(texts), kind) for kind in (pa.int32(), pa.binary(), pa.binary())]
+            columns = [batch.column(0), batch.column(1), pa.array(count), *map(X.long_lists, (nos, d1, d2)), *none]
             names = [f.split()[0] for f in _LISTED.split(", ")]
             yield pa.record_batch(columns, names)
             words, n = np.unique(np.concatenate(hashes), return_counts=True)
-            nothing = [pa.nulls(1, pa.int64())] * 3 + [pa.nulls(1, pa.list_(pa.int64()))] * 3
-            yield pa.record_batch([*nothing, X.long_lists([X.signed(words)]), X.long_lists([n])], names)
+            if not len(words):
+                continue
+            block, _, blobs = _by_block(words >> np.uint64(64 - _BLOCK_BITS), [words, n.astype(np.uint32)])
+            nothing = [pa.nulls(len(block), pa.int64())] * 3 + [pa.nulls(len(block), pa.list_(pa.int64()))] * 3
+            yield pa.record_batch([*nothing, pa.array(block), *(pa.array(b, pa.binary()) for b in blobs)], names)
 
     return run
 
 
+def _summed(batches):
+    """block, words, counts in the order of blocks -> word, n of the words that occur in more than one line."""
+
+    def total(parts):
+        words, n = (np.concatenate([np.frombuffer(p[k].as_buffer(), kind) for p in parts]) for k, kind in enumerate((np.uint64, np.uint32)))
+        order = np.argsort(words)
+        words, n = words[order], n[order].astype(np.int64)
+        starts = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+        n = np.add.reduceat(n, starts)
+        return pa.record_batch([pa.array(X.signed(words[starts][n > 1])), pa.array(n[n > 1])], ["word", "n"])
+
+    block, parts = None, []
+    for batch in batches:
+        for at, *part in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            if at != block and parts:
+                yield total(parts)
+                parts = []
+            block = at
+            parts.append(part)
+    if parts:
+        yield total(parts)
+
+
 def least_joined(similarity: Fraction) -> int:
     """The fewest words of a line that a line with another set can be similar to: one word more or less at best."""
     up, down = similarity.numerator, similarity.denominator
@@ -159,11 +205,12 @@ def _half(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(32)).astype(np.uint32)
 
 
-def _prefix_rows(batch, least: int, similarity: Fraction, ranks, shared, hot) -> list | None:
+def _prefix_rows(batch, least: int, similarity: Fraction, ranks, shared, hot, probed=None) -> list | None:
     """doc_id, place, text -> the prefix words of every line, as columns: hash, d1, two of parities, size, position,
     document, place, line number.
 
     A line is sent once per batch, where it stands first; a line of a hot class only where the class stands first.
+    With ``probed`` only the lines with a word that may be in it are looked at.
     """
     hot_d1, hot_place, hot_line = hot.value
     docs, places = batch.column(0).fill_null(_NO_ID).to_numpy(), batch.column(1).to_numpy()
@@ -172,10 +219,10 @@ def _prefix_rows(batch, least: int, similarity: Fraction, ranks, shared, hot) ->
     texts, parts = X.raw_texts(batch.column(2)), []
     texts = [texts[i] for i in order.tolist()]
     for a, b in X.pieces(texts):
-        x = _Lines(texts[a:b], least)
+        x = _Lines(texts[a:b], least, None if probed is None else probed.value)
         if not len(x.lines):
             continue
-        one = x.digests()[0]
+        one = x.digest(_D1)
         sent = np.ones(len(one), dtype=bool)
         if len(hot_d1):
             at = np.minimum(np.searchsorted(hot_d1, one), len(hot_d1) - 1)
@@ -185,17 +232,24 @@ def _prefix_rows(batch, least: int, similarity: Fraction, ranks, shared, hot) ->
         able = np.flatnonzero(sent)
         sent[:] = False
         sent[able[np.unique(one[able], return_index=True)[1]]] = True
-        common = present(shared.value, x.hashes)
-        # Rarest first, up to a count of a million; then the hash decides. Words of one line only lead.
-        rank = np.where(common, ranks[x.hashes >> np.uint64(64 - _RANK_BITS)], 0)
-        rank = np.minimum(rank, (1 << 20) - 1).astype(np.uint64)
-        key = (rank << np.uint64(44)) | (x.hashes >> np.uint64(20))
-        order = _by_line(np.repeat(np.arange(len(x.lines)), x.sizes), key, len(x.lines))
-        h, common = x.hashes[order], common[order]
-        position = np.arange(len(h)) - np.repeat(x.starts, x.sizes)
         probe, _ = prefix_lengths(x.sizes, similarity)
-        keep = (position < np.repeat(probe, x.sizes)) & common & np.repeat(sent, x.sizes)
-        line, words = np.repeat(np.arange(len(x.lines)), x.sizes)[keep], h[keep]
+        of, h = np.repeat(np.arange(len(one)), x.sizes), x.hashes
+        if not sent.all():
+            here = sent[of]
+            of, h = of[here], h[here]
+        if not len(h):
+            continue
+        common = present(shared.value, h)
+        # Rarest first, up to a count of a million; then the hash decides. Words of one line only lead.
+        rank = np.where(common, ranks[h >> np.uint64(64 - _RANK_BITS)], 0).astype(np.uint64)
+        key = (rank << np.uint64(44)) | (h >> np.uint64(20))
+        order = _by_line(of, key, len(one))
+        sizes = np.where(sent, x.sizes, 0)
+        position = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        # The rows stay in the order of lines when they are sorted.
+        keep = np.flatnonzero(position < probe[of])
+        keep = keep[common[order[keep]]]
+        line, words = of[keep], h[order[keep]]
         text = x.text[line]
         parts.append([words, *(v[line] for v in (one, *x.parities(), x.sizes)), position[keep], docs[a:b][text], places[a:b][text], x.line_no[line]])
     if not parts:
@@ -209,20 +263,43 @@ def _rank_table(ranked) -> np.ndarray:
     ranks = np.ones(1 << _RANK_BITS, dtype=np.uint32)
     words, counts = ranked.value
     np.maximum.at(ranks, words >> np.uint64(64 - _RANK_BITS), counts)
-    return ranks
+    return np.minimum(ranks, (1 << 20) - 1, out=ranks)
 
 
-def _blocks(least: int, similarity: Fraction, ranked, shared, hot, many, wanted=None):
+def _cell(word: np.ndarray, one: np.ndarray | int, other: np.ndarray | int) -> np.ndarray:
+    """The keys of words (halves of hashes) for lines of two groups."""
+    cell = np.minimum(one, other) * np.uint64(GROUPS) + np.maximum(one, other) + np.uint64(1)
+    return _half(X.mixed(word.astype(np.uint64) * np.uint64(GROUPS * GROUPS + 1) + cell))
+
+
+def _probing(many, wanted):
+    """word -> the words whose prefix rows may have a key in ``wanted``."""
+
+    def run(batches):
+        for batch in batches:
+            h = batch.column(0).to_numpy().view(np.uint64)
+            held, copied = present(wanted.value, h), np.flatnonzero(present(many.value, h))
+            word, keys = _half(h[copied]), np.zeros(len(copied), dtype=bool)
+            for g in range(GROUPS):
+                for k in range(g, GROUPS):
+                    keys |= present(wanted.value, _cell(word, np.uint64(g), np.uint64(k)).astype(np.uint64) << np.uint64(32))
+            held[copied] = keys
+            yield pa.record_batch([batch.column(0).filter(pa.array(held))], ["word"])
+
+    return run
+
+
+def _blocks(least: int, similarity: Fraction, ranked, shared, hot, many, wanted=None, probed=None):
     """doc_id, place, text -> block, rows: all prefix rows of a batch whose keys fall in a block, column by column.
 
     The key is half of the word's hash. A row of a word in ``many`` gets one key per cell of its line's group. With
-    ``wanted`` only the rows of keys that may be in it.
+    ``wanted`` only the rows of keys that may be in it; ``probed`` holds the words that may have such keys.
     """
 
     def run(batches):
         ranks = _rank_table(ranked)
         for batch in batches:
-            rows = _prefix_rows(batch, least, similarity, ranks, shared, hot)
+            rows = _prefix_rows(batch, least, similarity, ranks, shared, hot, probed)
             if not rows or not len(rows[0]):
                 continue
             h, one, low, high, size, position, doc, place, line = rows
@@ -231,8 +308,7 @@ def _blocks(least: int, similarity: Fraction, ranked, shared, hot, many, wanted=
             group = (one[copied] >> np.uint64(16)) % np.uint64(GROUPS)
             keys, at = [np.delete(key, copied)], [np.delete(np.arange(len(h)), copied)]
             for g in map(np.uint64, range(GROUPS)):
-                cell = np.minimum(group, g) * np.uint64(GROUPS) + np.maximum(group, g) + np.uint64(1)
-                keys.append(_half(X.mixed(word[copied].astype(np.uint64) * np.uint64(GROUPS * GROUPS + 1) + cell)))
+                keys.append(_cell(word[copied], group, g))
                 at.append(copied)
             key, at = np.concatenate(keys), np.concatenate(at)
             if wanted is not None:
@@ -248,12 +324,10 @@ def _blocks(least: int, similarity: Fraction, ranked, shared, hot, many, wanted=
             doc = (doc - base).astype(np.uint32) if near else doc
             numbers = (v.astype(np.uint16 if small else np.uint32) for v in (line, size, position))
             columns = [key, *(v[at] for v in (one, low, high, doc, place, *numbers))]
-            block = (key >> np.uint32(32 - _BLOCKS.bit_length() + 1)).astype(np.int32)
-            ends = np.append(np.flatnonzero(block[1:] != block[:-1]) + 1, len(block))
-            blobs = [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True)]
-            counts = np.diff(np.append(0, ends)).astype(np.int32)
-            same = lambda v, t: pa.array(np.full(len(ends), v), t)
-            arrays = [pa.array(block[ends - 1]), pa.array(counts), same(base, pa.int64()), same(near, pa.bool_()), same(small, pa.bool_()), pa.array(blobs, pa.binary())]
+            block, counts, blobs = _by_block(key >> np.uint32(32 - _BLOCK_BITS), columns)
+            blobs = [b"".join(parts) for parts in zip(*blobs, strict=True)]
+            same = lambda v, t: pa.array(np.full(len(block), v), t)
+            arrays = [pa.array(block), pa.array(counts), same(base, pa.int64()), same(near, pa.bool_()), same(small, pa.bool_()), pa.array(blobs, pa.binary())]
             yield pa.record_batch(arrays, [f.split()[0] for f in _PACKED.split(", ")])
 
     return run
@@ -427,14 +501,16 @@ def _sets(least: int, wanted, homes):
 
 
 def _verified(similarity: Fraction):
+    """d1, d2, two sets -> d1, d2 of the rows whose sets are similar."""
+
     def run(batches):
         for batch in batches:
             keep = []
-            for s, t in zip(batch.column(4), batch.column(5), strict=True):
+            for s, t in zip(batch.column(2), batch.column(3), strict=True):
                 s, t = np.asarray(s.values), np.asarray(t.values)
                 union = len(s) + len(t) - len(np.intersect1d(s, t, assume_unique=True))
                 keep.append((len(s) + len(t) - union) * similarity.denominator >= similarity.numerator * union)
-            yield batch.select(["a1", "a2", "b1", "b2"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["d1", "d2"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -465,9 +541,8 @@ class LineDedup:
     def _later(self, listed: DataFrame, classes: DataFrame) -> DataFrame:
         """The classes (d1, d2) that are similar to a class that stands earlier."""
         s = self.scratch
-        counts = listed.where("words IS NOT NULL").select(F.explode(F.arrays_zip("words", "counts")).alias("w"))
-        counts = counts.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n")).where("n > 1")
-        counts = s.store(counts, "word-counts")
+        counts = listed.where("block IS NOT NULL").select("block", "words", "counts").repartition("block").sortWithinPartitions("block")
+        counts = s.store(counts.mapInArrow(_summed, "word long, n long"), "word-counts")
         shared = bitset(counts, F.col("word"))
         # A fixed number of words with their counts: 4 MB at most.
         top = counts.orderBy(F.desc("n"), "word").limit(RANKED_WORDS).toArrow()
@@ -484,7 +559,7 @@ class LineDedup:
         packing = (self.joined, self.similarity, ranked, shared, hot, many)
         pairs = s.store(self._candidates(_blocks(*packing), _compared(self.similarity, FEW, NEAREST)), "candidates")
         sets = self._sets(pairs, classes, None)
-        settled = s.store(self._late(self._verified(pairs, sets), classes), "settled")
+        settled = s.store(self._late(pairs, sets), "settled")
         unsettled = pairs.join(_sent(settled.select(F.col("d1").alias("b1")).distinct()), "b1", "left_anti")
         opened = s.store(unsettled.where("more").select("b1", "keys"), "open")
         late, sent = settled, [shared, ranked, hot, many]
@@ -496,10 +571,11 @@ class LineDedup:
             else:
                 lines = bitset(lines, F.col("b1"))
             wanted = bitset(opened.select(F.explode("keys").alias("key")), F.shiftleft("key", 32))
-            sent += [lines, wanted]
-            rest = self._candidates(_blocks(*packing, wanted), _compared(self.similarity, FEW, NEAREST, lines))
+            probed = bitset(counts.select("word").mapInArrow(_probing(many, wanted), "word long"), F.col("word"))
+            sent += [lines, wanted, probed]
+            rest = self._candidates(_blocks(*packing, wanted, probed), _compared(self.similarity, FEW, NEAREST, lines))
             rest = s.store(rest.join(pairs.select("a1", "b1"), ["a1", "b1"], "left_anti"), "candidates")
-            more = self._late(self._verified(rest, self._sets(rest, classes, sets)), classes)
+            more = self._late(rest, self._sets(rest, classes, sets))
             late = more.unionByName(settled).distinct()
         for x in sent:
             x.destroy()
@@ -512,38 +588,33 @@ class LineDedup:
         return pairs.groupBy("a1", "b1").agg(F.collect_set("key").alias("keys"), F.max("more").alias("more"))
 
     def _sets(self, pairs: DataFrame, classes: DataFrame, known: DataFrame | None) -> DataFrame:
-        """Whole sets of the lines of ``pairs``, each read where it stands first; those known are not read again."""
+        """d1, d2, words (the whole set) and first place of the lines of ``pairs``, each read where it stands first; those
+        known are not read again.
+        """
         ends = pairs.select(F.explode(F.array("a1", "b1")).alias("d1")).distinct()
         if known is not None:
             ends = ends.join(known.select("d1").distinct(), "d1", "left_anti")
-        ends = self.scratch.store(classes.join(ends, "d1").select("d1", "first.place"), "wanted")
-        wanted, homes = bitset(ends, F.col("d1")), bitset(ends, F.col("place"))
+        ends = self.scratch.store(classes.join(ends, "d1").select("d1", "d2", "first"), "wanted")
+        wanted, homes = bitset(ends, F.col("d1")), bitset(ends, F.col("first.place"))
         found = self.places.select("place", "text").mapInArrow(_sets(self.joined, wanted, homes), "d1 long, d2 long, words array<long>")
-        found = found.join(ends.select("d1").distinct(), "d1", "left_semi").dropDuplicates(["d1", "d2"])
+        found = found.join(ends, ["d1", "d2"]).dropDuplicates(["d1", "d2"])
         found = self.scratch.store(found, "sets")
         for sent in (wanted, homes):
             sent.destroy()
         return found if known is None else known.unionByName(found)
 
-    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The pairs (a1, a2, b1, b2) of digests that are similar as whole sets."""
-        side = lambda c: sets.select(F.col("d1").alias(f"{c}1"), F.col("d2").alias(f"{c}2"), F.col("words").alias(f"{c}w"))
-        full = pairs.join(side("a"), "a1").join(side("b"), "b1").select("a1", "a2", "b1", "b2", "aw", "bw")
-        found = full.mapInArrow(_verified(self.similarity), "a1 long, a2 long, b1 long, b2 long")
-        return self.scratch.store(found, "similar")
-
-    def _late(self, similar: DataFrame, classes: DataFrame) -> DataFrame:
-        """The later class (d1, d2) of every pair."""
-        name = lambda c: classes.select(F.col("d1").alias(f"{c}1"), F.col("d2").alias(f"{c}2"), F.col("first").alias(f"{c}f"))
-        both = similar.join(name("a"), ["a1", "a2"]).join(name("b"), ["b1", "b2"])
-        later = F.when(F.col("af") < F.col("bf"), F.struct(F.col("b1").alias("d1"), F.col("b2").alias("d2"))).otherwise(F.struct(F.col("a1").alias("d1"), F.col("a2").alias("d2")))
-        return both.select(later.alias("l")).select("l.*").distinct()
+    def _late(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The later class (d1, d2) of every pair that is similar as whole sets."""
+        side = lambda c: sets.select(F.col("d1").alias(f"{c}1"), F.col("d2").alias(f"{c}2"), F.col("words").alias(f"{c}w"), F.col("first").alias(f"{c}f"))
+        both = pairs.select("a1", "b1").join(side("a"), "a1").join(side("b"), "b1")
+        later = [F.when(F.col("af") < F.col("bf"), F.col(f"b{k}")).otherwise(F.col(f"a{k}")).alias(f"d{k}") for k in (1, 2)]
+        return both.select(*later, "aw", "bw").mapInArrow(_verified(self.similarity), "d1 long, d2 long").distinct()
 
     def _rows(self) -> tuple[DataFrame, DataFrame]:
         """The rows of docs, numbered by ``uid``, and (uid, removed line numbers) where there are any."""
         s = self.scratch
         listed = s.store(self.places.mapInArrow(_listed(self.least, self.joined), _LISTED).withColumn("uid", F.monotonically_increasing_id()), "lines")
-        rows = listed.where("words IS NULL").drop("words", "counts")
+        rows = listed.where("block IS NULL").drop("block", "words", "counts")
         zipped = F.explode(F.arrays_zip("line_no", "d1", "d2")).alias("l")
         lines = rows.select("doc_id", "place", "uid", zipped)
         at = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "place", "uid", F.col("l.line_no").alias("line_no")).alias("at")

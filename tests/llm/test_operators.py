@@ -410,6 +410,75 @@ def test_line_dedup_of_open_lines(spark, monkeypatch, few):
     assert sum(len(removed) for _, _, removed in got) == late
 
 
+def test_line_dedup_of_open_lines_by_cells_of_common_words(spark, monkeypatch):
+    """The words looked for in the second reading are known by the keys of their cells only."""
+    for name, value in (("MANY", 0), ("NEAREST", 1), ("SETTLED", 1)):
+        monkeypatch.setattr(line_dedup, name, value)
+    proposed, rnd, rows = _candidates(monkeypatch), random.Random(8), texts()
+    for i in range(25):
+        gone = set(rnd.sample(range(200), rnd.randrange(16, 32)))
+        rows.append((5000 + i, " ".join(w if k not in gone else f"n{i}x{k}" for k, w in enumerate(f"w{k}" for k in range(200)))))
+    got = {(r.doc_id, k) for r in line_dedup.report(frame(spark, rows)).collect() for k in r.removed_lines}
+    assert len(proposed) == 2 and proposed[1] > 0 and got == brute.late_lines(rows)
+
+
+def test_second_reading_of_line_dedup_looks_at_lines_with_wanted_words_only(monkeypatch):
+    from fractions import Fraction
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    from flowlake.llm import bitset, textops
+
+    def bits(hashes):
+        flags = np.zeros(1 << bitset.BITS, dtype=bool)
+        flags[(np.asarray(hashes, dtype=np.uint64) >> np.uint64(64 - bitset.BITS)).astype(np.int64)] = True
+        return SimpleNamespace(value=np.packbits(flags))
+
+    rnd, sorted_words, by_line = random.Random(6), [], line_dedup._by_line
+    lines = [" ".join(rnd.sample([f"w{k}" for k in range(3000)], 20)) for _ in range(2000)]
+    batch = pa.record_batch([pa.array(range(200)), pa.array(range(200)), pa.array(["\n".join(lines[i::200]) for i in range(200)])], ["doc_id", "place", "text"])
+    words = np.sort(textops.Words([f"w{k}".encode() for k in range(3000)]).hashes)  # the first ones lead in prefixes
+    few, none = words[[5, 70, 900]], np.zeros(0, np.uint64)
+    ranked, hot = SimpleNamespace(value=(none, none.astype(np.uint32))), SimpleNamespace(value=(none, none.view(np.int64), none.view(np.int64)))
+    monkeypatch.setattr(line_dedup, "_by_line", lambda line, key, n: sorted_words.append(len(key)) or by_line(line, key, n))
+
+    def rows(common, *probed):
+        sorted_words.clear()
+        many, found = bits(words[:50] if common else none), set()
+        keys = line_dedup._cell(line_dedup._half(words[:1]), np.uint64(2), np.uint64(3)) if common else line_dedup._half(few)
+        wanted = bits(keys.astype(np.uint64) << np.uint64(32))
+        if probed:
+            column = pa.record_batch([pa.array(words.view(np.int64))], ["word"])
+            held = [w for b in line_dedup._probing(many, wanted)([column]) for w in b.column(0).to_numpy().view(np.uint64).tolist()]
+            assert set(held) == set((words[:1] if common else few).tolist())
+            probed = [bits(held)]
+        for b in line_dedup._blocks(5, Fraction("0.8"), ranked, bits(words), hot, many, wanted, *probed)([batch]):
+            for _, n, base, near, small, blob in zip(*(c.to_pylist() for c in b.columns)):
+                found |= set(zip(*(c.tolist() for c in line_dedup._columns(n, base, near, small, memoryview(blob)))))
+        return found, sum(sorted_words)
+
+    for common in (False, True):
+        (whole, all_words), (got, some_words) = rows(common), rows(common, True)
+        assert got == whole and len(got) > 0 and some_words < all_words / 10
+
+
+def test_line_dedup_counts_words_of_several_batches():
+    import numpy as np
+    import pyarrow as pa
+
+    batch = lambda *texts: pa.record_batch([pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "place", "text"])
+    out = list(line_dedup._listed(1, 2)([batch("a b a\nb c\nc", None, "d a"), batch(""), batch("d e\nf")]))
+    packed = [r for b in out for r in b.to_pylist() if r["block"] is not None]
+    blocks = pa.Table.from_pylist(sorted(packed, key=lambda r: r["block"])).select(["block", "words", "counts"]).to_batches()
+    got = {(w, n) for b in line_dedup._summed(blocks) for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+    from flowlake.llm import textops
+
+    a, b, d = textops.Words([b"a", b"b", b"d"]).hashes.view(np.int64).tolist()
+    assert got == {(a, 2), (b, 2), (d, 2)}
+
+
 def test_bit_table_takes_one_row_per_block():
     import numpy as np
     import pyarrow as pa
