@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from flowlake import runtime
 from flowlake import schema as S
 from flowlake.functions import hotkeys
 from flowlake.operators import flows as O
@@ -196,6 +197,18 @@ def test_all_hot_keys_are_found(spark):
     assert sorted(r["count"] for r in cuts.join(same, "left").groupBy(cuts.part()).count().collect()) == [90, 90]
 
 
+def test_large_lookups_of_slices_are_not_broadcast(spark, monkeypatch):
+    """Their files may be small enough for the planner's own limit when their rows are not."""
+    df = spark.createDataFrame(random_packets(3), COLUMNS)
+    plain = bag(O.packet_direction(df, hot_rows=None))
+    monkeypatch.setattr(runtime, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(hotkeys, "SENT_BYTES", 0)
+    hot = O.packet_direction(df, hot_rows=3)
+    plan = hot._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 3, plan
+    assert bag(hot) == plain
+
+
 def test_hot_keys_take_one_wide_shuffle(spark, sf_dir):
     """Packets are shuffled once, hot or not; what follows are partial sums of flows."""
     df = O.flow_features(T.packets(spark, sf_dir), timeout_s=T.PACKET_TIMEOUT_S, hot_rows=20)
